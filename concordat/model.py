@@ -6,7 +6,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 INFO, WARNING, ERROR = "INFO", "WARNING", "ERROR"
 
@@ -91,6 +93,20 @@ class CheckResult:
         return self.issues.filter(self.issues.severity == ERROR).isEmpty()
 
 
+def local_table(spark: SparkSession, rows: Sequence[Sequence[Any]], schema: T.StructType | str) -> DataFrame:
+    """A few rows of plain values as a table.
+
+    Through Arrow they become part of the plan itself: no Python worker reads them, and the planner
+    knows how small they are.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    columns = [list(values) for values in zip(*rows)] if rows else [[] for _ in schema.fields]
+    arrow_schema = to_arrow_schema(schema)
+    arrays = [pa.array(values, type=field.type) for values, field in zip(columns, arrow_schema)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow_schema), schema)
+
+
 def issue(
     dataset_id: str,
     stage: str,
@@ -106,4 +122,4 @@ def issue(
 
 def issues_frame(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     """Findings as a table whose eight columns are the same when there are none."""
-    return spark.createDataFrame(list(rows), ISSUE_SCHEMA)
+    return local_table(spark, rows, ISSUE_SCHEMA)

@@ -13,22 +13,23 @@ from dataclasses import dataclass
 from functools import cached_property, reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.casting import as_date, as_number, cast_to
 from ..functions.text import is_blank, is_missing, ref, strip
 from ..model import (
     DEFAULT_DATE_FORMATS,
     ERROR,
-    INFO,
-    STEP_ISSUE_SCHEMA,
+    ISSUE_COLUMNS,
+    STEP_SCHEMA,
     WARNING,
     CheckResult,
     DatasetSpec,
     issue,
     issues_frame,
+    local_table,
 )
-from .probes import N_ROWS, Probe, issue_columns, probe_aggregates, probe_issues, probe_lines, run_probes
+from .probes import N_ROWS, Probe, probe_aggregates, probe_findings, probe_issues, probe_lines, run_probes
 
 COLUMN_STEP = "column_validation"
 DTYPE_STEP = "dtype_validation"
@@ -112,7 +113,8 @@ def _column_issues(df: DataFrame, spec: DatasetSpec) -> list[tuple]:
 def validate_columns(df: DataFrame, spec: DatasetSpec) -> CheckResult:
     missing, extra = column_differences(df, spec)
     spark = df.sparkSession
-    metrics = spark.createDataFrame(
+    metrics = local_table(
+        spark,
         [(len(df.columns), len(missing), len(extra))],
         "n_columns long, missing_required_count long, unexpected_count long",
     )
@@ -229,13 +231,12 @@ def _sanity_probe() -> Probe:
 
 def _check(df: DataFrame, spec: DatasetSpec, step: str, probes: Sequence[Probe], metrics) -> CheckResult:
     """Check made of probes alone; ``metrics`` turns the probe lines into the check's own table."""
-    spark = df.sparkSession
+    lines = run_probes(df, probes or [_sanity_probe()])
     if not probes:
-        lines = probe_lines(df.limit(0).agg(F.count(F.lit(1)).alias(N_ROWS)), [_sanity_probe()]).limit(0)
-    else:
-        lines = run_probes(df, probes)
-    issues = issue_columns(probe_issues(lines, spec.dataset_id)) if probes else issues_frame(spark, [])
-    return CheckResult(f"{spec.dataset_id}_{step}", spec.dataset_id, metrics(lines), issues)
+        lines = lines.limit(0)
+    return CheckResult(
+        f"{spec.dataset_id}_{step}", spec.dataset_id, metrics(lines), probe_issues(lines, spec.dataset_id)
+    )
 
 
 def dtype_metrics(lines: DataFrame) -> DataFrame:
@@ -306,32 +307,20 @@ def key_metrics(df: DataFrame, key: str, value: Column | None = None, data_type:
     )
 
 
-def _key_issues(metrics: DataFrame, key: str, dataset_id: str, with_info: bool, stage: str = "uniqueness") -> DataFrame:
-    def found(check: str, severity: str, message: str, count: Column, fires: Column) -> Column:
-        return F.struct(
-            F.lit(f"{KEY_STEP}").alias("step_name"),
-            F.lit(dataset_id).alias("dataset_id"),
-            F.lit(stage).alias("stage"),
-            F.lit(check).alias("check_name"),
-            F.lit(severity).alias("severity"),
-            F.replace(F.lit(message), F.lit("{n}"), F.coalesce(count.cast("string"), F.lit(""))).alias("message"),
-            F.lit(key).alias("column_name"),
-            count.cast("long").alias("row_count"),
-            F.lit(None).cast("string").alias("output_path"),
-            fires.alias("fires"),
-        )
-
-    blank, repeated = F.col("blank_key_count"), F.col("duplicate_key_count")
-    rows = [
-        found("blank_primary_key", ERROR, "{n} blank/null primary key values", blank, blank > 0),
-        found("duplicate_primary_key", ERROR, "{n} duplicated primary key rows", repeated, repeated > 0),
+def _key_probes(key: str, with_info: bool, stage: str = "uniqueness") -> list[Probe]:
+    shared = {"step": KEY_STEP, "stage": stage, "column_name": key}
+    probes = [
+        Probe(check_name="blank_primary_key", severity=ERROR, message="{n} blank/null primary key values",
+              count_name="blank_key_count", **shared),
+        Probe(check_name="duplicate_primary_key", severity=ERROR, message="{n} duplicated primary key rows",
+              count_name="duplicate_key_count", **shared),
     ]
     if with_info:
-        clean = (blank == 0) & (repeated == 0)
-        rows.append(
-            found("primary_key_validation", INFO, "Primary key validation passed", F.lit(None).cast("long"), clean)
+        probes.append(
+            Probe(check_name="", severity=ERROR, message="", count_name="defects", pass_check=KEY_STEP,
+                  pass_message="Primary key validation passed", **shared)
         )
-    return metrics.select(F.inline(F.array(*rows))).filter("fires").drop("fires")
+    return probes
 
 
 _NO_KEY_METRICS = "primary_key string, blank_key_count long, duplicate_key_count long, unique_key_count long"
@@ -345,12 +334,14 @@ def validate_primary_key(df: DataFrame, spec: DatasetSpec, with_info: bool = Fal
     spark, key, dataset_id = df.sparkSession, spec.primary_key, spec.dataset_id
     step = f"{dataset_id}_{KEY_STEP}"
     if not key:
-        return CheckResult(step, dataset_id, spark.createDataFrame([], _NO_KEY_METRICS), issues_frame(spark, []))
+        return CheckResult(step, dataset_id, local_table(spark, [], _NO_KEY_METRICS), issues_frame(spark, []))
     if key not in df.columns:
-        metrics = spark.createDataFrame([(key, 0, 0, 0)], _NO_KEY_METRICS)
+        metrics = local_table(spark, [(key, 0, 0, 0)], _NO_KEY_METRICS)
         return CheckResult(step, dataset_id, metrics, issues_frame(spark, [_absent_key(dataset_id, key)]))
     metrics = key_metrics(df, key)
-    return CheckResult(step, dataset_id, metrics, issue_columns(_key_issues(metrics, key, dataset_id, with_info)))
+    counts = metrics.withColumn("defects", F.col("blank_key_count") + F.col("duplicate_key_count"))
+    issues = probe_issues(probe_lines(counts, _key_probes(key, with_info)), dataset_id)
+    return CheckResult(step, dataset_id, metrics, issues.filter(F.col("check_name") != ""))
 
 
 def duplicate_rows(df: DataFrame, subset: Sequence[str]) -> DataFrame:
@@ -371,21 +362,13 @@ def detect_duplicates(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of repeated keys, and the finding about them (counted from the keys alone)."""
     keys = df.groupBy(*[ref(c) for c in subset]).agg(F.count(F.lit(1)).alias("n"))
-    total = keys.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("n"))
-    n, shown = F.col("n"), str(list(subset))
-    issues = total.select(
-        F.lit(dataset_id).alias("dataset_id"),
-        F.lit(stage).alias("stage"),
-        F.lit("duplicate_rows").alias("check_name"),
-        F.when(n > 0, F.lit(ERROR)).otherwise(F.lit(INFO)).alias("severity"),
-        F.when(n > 0, F.concat(F.lit("Detected "), n.cast("string"), F.lit(f" duplicated rows for subset={shown}")))
-        .otherwise(F.lit(f"No duplicated rows for subset={shown}"))
-        .alias("message"),
-        F.lit(None).cast("string").alias("column_name"),
-        F.when(n > 0, n).alias("row_count"),
-        F.lit(None).cast("string").alias("output_path"),
+    total = keys.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("repeated"))
+    probe = Probe(
+        "duplicates", stage, "duplicate_rows", ERROR, f"Detected {{n}} duplicated rows for subset={list(subset)}",
+        count_name="repeated", pass_check="duplicate_rows",
+        pass_message=f"No duplicated rows for subset={list(subset)}",
     )
-    return duplicate_rows(df, subset), issues
+    return duplicate_rows(df, subset), probe_issues(probe_lines(total, [probe]), dataset_id)
 
 
 # --- value lists ------------------------------------------------------------------------------
@@ -417,7 +400,7 @@ def invalid_values(
             text = _text_of(values.value(name), values.data_type(name))
             outside[name] = F.when(~text.isin(*listed), text) if listed else text
     if not outside:
-        return df.sparkSession.createDataFrame([], "column_name string, value string, failing_rows long")
+        return local_table(df.sparkSession, [], "column_name string, value string, failing_rows long")
     pairs = [F.struct(F.lit(name).alias("column_name"), value.alias("value")) for name, value in outside.items()]
     return (
         df.filter(reduce(lambda a, b: a | b, [value.isNotNull() for value in outside.values()]))
@@ -428,48 +411,33 @@ def invalid_values(
     )
 
 
-def invalid_value_counts(invalid: DataFrame) -> DataFrame:
-    return invalid.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("invalid_value_count"), F.sum("failing_rows").alias("failing_rows")
-    )
+def _domain_probes(columns: Iterable[str], stage: str, with_info: bool) -> list[Probe]:
+    """Distinct bad values per column: conditions on the table of invalid values."""
+    label = "invalid domain values" if with_info else "invalid values"
+    return [
+        Probe(
+            ALLOWED_STEP, stage, "invalid_domain_value", ERROR, f"{{n}} distinct {label} in {name}", column_name=name,
+            condition=F.col("column_name") == name, pass_check="domain_validation" if with_info else None,
+            pass_message=f"All values in {name} are within the expected domain.",
+        )
+        for name in columns
+    ]
 
 
 def _domain_issues(
-    counts: DataFrame, columns: Sequence[str], dataset_id: str, stage: str, with_info: bool
+    invalid: DataFrame, columns: Sequence[str], dataset_id: str, stage: str, with_info: bool
 ) -> DataFrame:
     """One finding per checked column; the values themselves are in the invalid value table."""
-    spark = counts.sparkSession
-    checked = spark.createDataFrame([(i, c) for i, c in enumerate(columns)], "seq int, column_name string")
-    n = F.coalesce(F.col("invalid_value_count"), F.lit(0))
-    label = "invalid domain values" if with_info else "invalid values"
-    joined = checked.join(counts, "column_name", "left").filter(F.lit(with_info) | (n > 0))
-    return joined.select(
-        F.lit(ALLOWED_STEP).alias("step_name"),
-        F.lit(dataset_id).alias("dataset_id"),
-        F.lit(stage).alias("stage"),
-        F.when(n > 0, F.lit("invalid_domain_value")).otherwise(F.lit("domain_validation")).alias("check_name"),
-        F.when(n > 0, F.lit(ERROR)).otherwise(F.lit(INFO)).alias("severity"),
-        F.when(
-            n > 0,
-            F.concat(
-                n.cast("string"), F.lit(f" distinct {label} in "), "column_name", F.lit(" ("),
-                F.col("failing_rows").cast("string"), F.lit(" rows)"),
-            ),
-        )
-        .otherwise(F.concat(F.lit("All values in "), "column_name", F.lit(" are within the expected domain.")))
-        .alias("message"),
-        "column_name",
-        F.when(n > 0, n).cast("long").alias("row_count"),
-        F.lit(None).cast("string").alias("output_path"),
-    )
+    if not columns:
+        return issues_frame(invalid.sparkSession, [])
+    return probe_issues(run_probes(invalid, _domain_probes(columns, stage, with_info)), dataset_id)
 
 
 def validate_allowed_values(df: DataFrame, spec: DatasetSpec) -> CheckResult:
     """Data trimmed, list as given; nulls ignored."""
     invalid = invalid_values(df, spec.allowed_values)
-    issues = issue_columns(
-        _domain_issues(invalid_value_counts(invalid), list(spec.allowed_values), spec.dataset_id, "domain", False)
-    )
+    present = [c for c in spec.allowed_values if c in df.columns]
+    issues = _domain_issues(invalid, present, spec.dataset_id, "domain", False)
     return CheckResult(f"{spec.dataset_id}_{ALLOWED_STEP}", spec.dataset_id, invalid, issues)
 
 
@@ -485,7 +453,7 @@ def validate_domains(
         for c in rules if c not in df.columns
     ]
     invalid = invalid_values(df, rules, strip_allowed=True)
-    issues = issue_columns(_domain_issues(invalid_value_counts(invalid), present, dataset_id, stage, True))
+    issues = _domain_issues(invalid, present, dataset_id, stage, True)
     if absent:
         issues = issues.unionByName(issues_frame(df.sparkSession, absent))
     return CheckResult(f"{dataset_id}_domains", dataset_id, invalid, issues)
@@ -502,7 +470,7 @@ def validate_required_fields(
     absent = [c for c in required if c not in df.columns]
     if absent:
         rows = [issue(dataset_id, stage, "missing_columns", ERROR, f"Missing required columns: {absent}")]
-        empty = spark.createDataFrame([], "column_name string, missing_count long")
+        empty = local_table(spark, [], "column_name string, missing_count long")
         return CheckResult(step, dataset_id, empty, issues_frame(spark, rows))
     values = Values(df.schema, DatasetSpec(dataset_id), coerce=False)
     probes = [
@@ -520,7 +488,7 @@ def validate_required_fields(
     metrics = lines.filter(F.col("column_name").isNotNull()).select(
         "column_name", F.col("failing_rows").alias("missing_count")
     )
-    issues = issue_columns(probe_issues(lines, dataset_id)).filter(F.col("check_name") != "")
+    issues = probe_issues(lines, dataset_id).filter(F.col("check_name") != "")
     return CheckResult(step, dataset_id, metrics, issues)
 
 
@@ -550,9 +518,9 @@ def validate_ranges(
         )
     missing = issues_frame(spark, absent)
     if not probes:
-        return CheckResult(step, dataset_id, spark.createDataFrame([], "column_name string, failing_rows long"), missing)
+        return CheckResult(step, dataset_id, local_table(spark, [], "column_name string, failing_rows long"), missing)
     lines = run_probes(df, probes)
-    issues = issue_columns(probe_issues(lines, dataset_id))
+    issues = probe_issues(lines, dataset_id)
     return CheckResult(
         step, dataset_id, lines.select("column_name", "failing_rows"), issues.unionByName(missing) if absent else issues
     )
@@ -570,7 +538,7 @@ def parse_dates_safely(
         column_name=column_name, condition=ref(column_name).isNotNull() & parsed.isNull(),
         pass_check="date_parse", pass_message=f"Date parsing succeeded for {column_name}",
     )
-    issues = issue_columns(probe_issues(run_probes(df, [probe]), dataset_id))
+    issues = probe_issues(run_probes(df, [probe]), dataset_id)
     return df.withColumn(column_name, parsed), issues
 
 
@@ -605,126 +573,140 @@ class SuitePlan:
         """Also fit for ``DataFrame.observe``: none of them is a distinct aggregate."""
         return probe_aggregates(self.probes)
 
-    def key_counts(self) -> Row | None:
+    def key_counts(self) -> dict[str, Any]:
         key = self.spec.primary_key
         if not key or key not in self.values:
-            return None
-        return key_metrics(self.df, key, self.values.value(key), self.values.data_type(key)).first()
+            return {}
+        return key_metrics(self.df, key, self.values.value(key), self.values.data_type(key)).first().asDict()
+
+    @cached_property
+    def domain_probes(self) -> list[Probe]:
+        return _domain_probes([c for c in self.spec.allowed_values if c in self.values], "domain", with_info=False)
 
     def invalid_values(self) -> DataFrame:
         return invalid_values(self.df, self.spec.allowed_values, values=self.values)
 
+    def invalid_counts(self) -> dict[str, Any]:
+        """One row: the distinct bad values per column."""
+        if not self.domain_probes:
+            return {}
+        return self.invalid_values().agg(*probe_aggregates(self.domain_probes)).first().asDict()
+
 
 @dataclass(frozen=True)
 class SuiteResult:
-    """Tables of one dataset's checks. All but ``invalid_values`` are small and already computed."""
+    """Outcome of one dataset's checks: a few counted numbers, and the table of invalid values."""
 
+    spark: SparkSession
     dataset_id: str
-    step_results: DataFrame
-    step_issues: DataFrame
-    dtypes: DataFrame
-    missingness: DataFrame
-    rules: DataFrame
-    keys: DataFrame
+    step_rows: list[tuple]
+    finding_rows: list[tuple[str, tuple]]
+    type_rows: list[tuple]
+    missing_rows: list[tuple]
+    rule_rows: list[tuple]
+    key_row: dict[str, Any]
     invalid_values: DataFrame
 
+    @property
+    def step_results(self) -> DataFrame:
+        return local_table(self.spark, self.step_rows, STEP_SCHEMA)
+
     @property
     def issues(self) -> DataFrame:
-        return issue_columns(self.step_issues)
+        return issues_frame(self.spark, [row for _, row in self.finding_rows])
 
-    def succeeded(self) -> bool:
-        return self.step_issues.filter(F.col("severity") == ERROR).isEmpty()
+    @property
+    def dtypes(self) -> DataFrame:
+        schema = "column_name string, expected string, observed string, invalid_count long"
+        return local_table(self.spark, self.type_rows, schema)
 
+    @property
+    def missingness(self) -> DataFrame:
+        return local_table(self.spark, self.missing_rows, "column_name string, missing_count long, missing_pct double")
 
-def _one_row(df: DataFrame, row: Mapping[str, Any], schema: T.StructType) -> DataFrame:
-    return df.sparkSession.createDataFrame([tuple(row[f.name] for f in schema.fields)], schema)
+    @property
+    def rules(self) -> DataFrame:
+        return local_table(self.spark, self.rule_rows, "rule_name string, rule_type string, failing_rows long")
+
+    @property
+    def keys(self) -> DataFrame:
+        return local_table(self.spark, [tuple(self.key_row.values())] if self.key_row else [], _NO_KEY_METRICS)
+
+    def succeeded(self) -> bool:
+        return all(row[ISSUE_COLUMNS.index("severity")] != ERROR for _, row in self.finding_rows)
 
 
 def suite_result(
-    plan: SuitePlan, counts: Mapping[str, int], key_row: Row | None, invalid: DataFrame, invalid_counts: Sequence[Row],
-    started_at: dt.datetime | None = None, finished_at: dt.datetime | None = None,
+    plan: SuitePlan,
+    counts: Mapping[str, int],
+    key_row: dict[str, Any],
+    invalid: DataFrame,
+    invalid_counts: Mapping[str, int],
+    started_at: dt.datetime,
 ) -> SuiteResult:
-    """Assemble the tables from the few rows the passes returned."""
-    spark, spec = plan.df.sparkSession, plan.spec
-    count_schema = T.StructType([T.StructField(name, T.LongType()) for name in counts])
-    lines = probe_lines(_one_row(plan.df, counts, count_schema), plan.probes)
-
-    static = [(COLUMN_STEP, *row) for row in _column_issues(plan.df, spec)]
-    if spec.primary_key and spec.primary_key not in plan.values:
-        static.append((KEY_STEP, *_absent_key(spec.dataset_id, spec.primary_key)))
-    keys = spark.createDataFrame([tuple(key_row)] if key_row is not None else [], _NO_KEY_METRICS)
-    per_column = spark.createDataFrame(
-        [tuple(r) for r in invalid_counts], "column_name string, invalid_value_count long, failing_rows long"
-    )
-    step_issues = reduce(
-        DataFrame.unionByName,
-        [
-            spark.createDataFrame(static, STEP_ISSUE_SCHEMA),
-            probe_issues(lines, spec.dataset_id),
-            _key_issues(keys, spec.primary_key or "", spec.dataset_id, with_info=False),
-            _domain_issues(
-                per_column, [c for c in spec.allowed_values if c in plan.values], spec.dataset_id, "domain", False
-            ),
-        ],
-    ).withColumn("step_name", F.concat(F.lit(spec.dataset_id + "_"), "step_name"))
-
-    missing, extra = column_differences(plan.df, spec)
-    fixed = {
-        COLUMN_STEP: {
-            "n_columns": len(plan.df.columns), "missing_required_count": len(missing), "unexpected_count": len(extra)
-        },
-        KEY_STEP: {} if key_row is None else key_row.asDict(),
-        ALLOWED_STEP: {f"{r[0]}.invalid_value_count": r[1] for r in invalid_counts},
-        SANITY_STEP: {"n_rows": counts[N_ROWS], "n_columns": len(plan.df.columns)},
-    }
+    """Assemble the outcome from the few rows the passes returned."""
+    spec, name = plan.spec, plan.spec.dataset_id
+    found = [(COLUMN_STEP, row) for row in _column_issues(plan.df, spec)]
+    found += probe_findings(counts, plan.probes, name)
+    if key_row:
+        found += probe_findings(key_row, _key_probes(spec.primary_key, with_info=False), name)
+    elif spec.primary_key:
+        found.append((KEY_STEP, _absent_key(name, spec.primary_key)))
+    if invalid_counts:
+        found += probe_findings(invalid_counts, plan.domain_probes, name)
+
+    n_rows, width = counts[N_ROWS], len(plan.df.columns)
+    types, missing, rules = [], [], []
     for i, probe in enumerate(plan.probes):
-        if probe.step == RULE_STEP:
-            fixed.setdefault(RULE_STEP, {})[f"{probe.check_name}.failing_rows"] = counts.get(f"p{i}")
+        n = counts.get(probe.counted_as(i))
+        if probe.step == DTYPE_STEP:
+            types.append((probe.column_name, *probe.detail.split("|", 1), n))
         elif probe.step == MISSING_STEP:
-            fixed.setdefault(MISSING_STEP, {})[f"{probe.column_name}.missing_count"] = counts[f"p{i}"]
-        elif probe.step == DTYPE_STEP:
-            fixed.setdefault(DTYPE_STEP, {})[f"{probe.column_name}.invalid_count"] = counts[f"p{i}"]
-    steps = spark.createDataFrame(
-        [
-            (f"{spec.dataset_id}_{step}", {k: str(v) for k, v in fixed.get(step, {}).items() if v is not None})
-            for step in SUITE
-        ],
-        "step_name string, metrics map<string,string>",
-    )
-    return SuiteResult(
-        spec.dataset_id,
-        step_table(steps, step_issues, spec.dataset_id, started_at, finished_at),
-        step_issues,
-        dtype_metrics(lines),
-        missingness_metrics(lines),
-        rule_metrics(lines),
-        keys,
-        invalid,
-    )
+            missing.append((probe.column_name, n, round(n / max(n_rows, 1), 4)))
+        elif probe.step == RULE_STEP:
+            rules.append((probe.check_name, probe.detail, n))
+    absent, extra = column_differences(plan.df, spec)
+    metrics = {
+        COLUMN_STEP: {"n_columns": width, "missing_required_count": len(absent), "unexpected_count": len(extra)},
+        DTYPE_STEP: {f"{r[0]}.invalid_count": r[3] for r in types},
+        MISSING_STEP: {f"{r[0]}.missing_count": r[1] for r in missing},
+        KEY_STEP: key_row,
+        ALLOWED_STEP: {
+            f"{probe.column_name}.invalid_values": invalid_counts.get(probe.counted_as(i))
+            for i, probe in enumerate(plan.domain_probes)
+        },
+        RULE_STEP: {f"{r[0]}.failing_rows": r[2] for r in rules},
+        SANITY_STEP: {"n_rows": n_rows, "n_columns": width},
+    }
+    steps = [
+        step_row(f"{name}_{step}", name, [row for s, row in found if s == step], metrics[step], started_at)
+        for step in SUITE
+    ]
+    findings = [(f"{name}_{step}", row) for step, row in found]
+    return SuiteResult(plan.df.sparkSession, name, steps, findings, types, missing, rules, key_row, invalid)
 
 
-def step_table(
-    steps: DataFrame, step_issues: DataFrame, dataset_id: str,
-    started_at: dt.datetime | None = None, finished_at: dt.datetime | None = None,
+def step_row(
+    step_name: str,
+    dataset_id: str | None,
+    issues: Sequence[tuple],
+    metrics: Mapping[str, Any],
+    started_at: dt.datetime,
     artifacts: Mapping[str, str] | None = None,
-) -> DataFrame:
-    """One row per step; a step succeeds when it raised no ERROR."""
-    spark = steps.sparkSession
-    per_step = step_issues.groupBy("step_name").agg(
-        F.count(F.lit(1)).alias("issue_count"), F.count_if(F.col("severity") == ERROR).alias("errors")
-    )
-    span = (finished_at - started_at).total_seconds() if started_at and finished_at else None
-    files = F.create_map(*[F.lit(p) for pair in (artifacts or {}).items() for p in pair])
-    return steps.join(per_step, "step_name", "left").select(
-        "step_name",
-        F.lit(dataset_id).alias("dataset_id"),
-        (F.coalesce("errors", F.lit(0)) == 0).alias("success"),
-        F.coalesce("issue_count", F.lit(0)).alias("issue_count"),
-        "metrics",
-        files.cast("map<string,string>").alias("artifacts"),
-        F.lit(started_at).cast("timestamp").alias("started_at"),
-        F.lit(finished_at).cast("timestamp").alias("finished_at"),
-        F.lit(None if span is None else round(span, 4)).cast("double").alias("duration_seconds"),
+) -> tuple:
+    """A row of the step table; a step succeeds when it raised no ERROR."""
+    finished_at = dt.datetime.now(dt.timezone.utc)
+    severity = ISSUE_COLUMNS.index("severity")
+    return (
+        step_name,
+        dataset_id,
+        all(row[severity] != ERROR for row in issues),
+        len(issues),
+        {k: str(v) for k, v in metrics.items() if v is not None},
+        dict(artifacts or {}),
+        started_at,
+        finished_at,
+        round((finished_at - started_at).total_seconds(), 4),
     )
 
 
@@ -744,10 +726,4 @@ def validate(
     started_at = dt.datetime.now(dt.timezone.utc)
     plan = SuitePlan(df, spec, as_of, strict_nulls, coerce)
     counts = df.agg(*plan.aggregates()).first().asDict()
-    key_row = plan.key_counts()
-    invalid = plan.invalid_values()
-    # one row per column of the contract
-    invalid_counts = invalid_value_counts(invalid).collect() if spec.allowed_values else []
-    return suite_result(
-        plan, counts, key_row, invalid, invalid_counts, started_at, dt.datetime.now(dt.timezone.utc)
-    )
+    return suite_result(plan, counts, plan.key_counts(), plan.invalid_values(), plan.invalid_counts(), started_at)

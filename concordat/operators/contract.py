@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.casting import as_date, as_number
 from ..functions.text import ref
+from ..model import local_table
 
 # Declared type name to Spark type.
 CONTRACT_TYPES = {
@@ -90,7 +91,7 @@ def contract_failures(df: DataFrame, spec: DatasetSchemaSpec) -> DataFrame:
             cases.append((name, "greater_than_or_equal_to", value < F.lit(bounds["min"])))
         if bounds.get("max") is not None:
             cases.append((name, "less_than_or_equal_to", value > F.lit(bounds["max"])))
-    missing = spark.createDataFrame(absent, FAILURE_SCHEMA)
+    missing = local_table(spark, absent, FAILURE_SCHEMA)
     if not cases:
         return missing
     failed = [F.coalesce(condition, F.lit(False)) for _, _, condition in cases]

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from ..functions.text import is_truthy, ref, strip
+from ..model import local_table
 from .merge import merge_rows
 
 SOURCES = ("once", "quince")
@@ -54,7 +55,8 @@ def codebook_coverage(
 ) -> DataFrame:
     """Which source holds each question of a loaded codebook."""
     spark = codebook.sparkSession
-    names = spark.createDataFrame(
+    names = local_table(
+        spark,
         [(c, c in once.columns, c in quince.columns) for c in dict.fromkeys([*once.columns, *quince.columns])],
         "question_name string, in_a boolean, in_b boolean",
     )

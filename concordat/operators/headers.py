@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.text import canonical_name, clean_text, ref
-from ..model import ERROR, issue, issues_frame
+from ..model import ERROR, issue, issues_frame, local_table
 
 AUDIT_SCHEMA = "raw_column string, mapped_column string, mapping_type string, details string"
 
@@ -159,7 +159,8 @@ def map_headers(df: DataFrame, mapping: Mapping[str, Any], dataset_id: str = "si
             )
     kinds = Counter(kind for _, _, kind, _ in audit)
     counts = (len(audit), len({raw for raw, target, _, _ in audit if target}), kinds["automatic"], kinds["unmapped"])
-    metrics = spark.createDataFrame(
+    metrics = local_table(
+        spark,
         [counts],
         "raw_column_count long, mapped_column_count long, automatic_mapped_count long, unmapped_column_count long",
     )
@@ -168,7 +169,7 @@ def map_headers(df: DataFrame, mapping: Mapping[str, Any], dataset_id: str = "si
         for name, domain in domains.items()
     }
     return HeaderMapping(
-        table, spark.createDataFrame(audit, AUDIT_SCHEMA), metrics, issues_frame(spark, found), views, not found
+        table, local_table(spark, audit, AUDIT_SCHEMA), metrics, issues_frame(spark, found), views, not found
     )
 
 

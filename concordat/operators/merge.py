@@ -10,13 +10,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from ..functions.text import ref
-from ..model import ERROR, WARNING, CheckResult, MergeStep, issue, issues_frame
+from ..model import CheckResult, ERROR, MergeStep, WARNING, issue, issues_frame, local_table
 from ..session import checkpointed
-from .probes import Probe, issue_columns, probe_issues, run_probes
+from .probes import Probe, probe_findings, probe_issues, run_probes
 
 INDICATOR = "_merge"
 HOW = ("left", "right", "inner", "outer", "cross")
@@ -37,53 +38,39 @@ EXPECTATIONS = {"one_to_one_or_many": ("one_to_one", "one_to_many")}
 def validate_merge_keys(left: DataFrame, right: DataFrame, on: Sequence[str], step_name: str) -> CheckResult:
     """Keys absent from a side are errors; rows with a null key part are warnings."""
     spark, name = left.sparkSession, f"{step_name}_merge_key_validation"
-    absent = [
-        issue(step_name, "merge", f"missing_{side}_key", ERROR, f"Missing {side} key column: {key}", column_name=key)
-        for key in on
-        for side, df in (("left", left), ("right", right))
-        if key not in df.columns
-    ]
+    absent = absent_keys(left, right, on, step_name)
     if absent or not on:
-        empty = spark.createDataFrame([], "side string, null_key_rows long")
+        empty = local_table(spark, [], "side string, null_key_rows long")
         return CheckResult(name, step_name, empty, issues_frame(spark, absent))
     lines = reduce(
         DataFrame.unionByName,
         [
-            run_probes(
-                df.select(*[ref(k) for k in on]),
-                [
-                    Probe(
-                        name, "merge", f"{side}_null_keys", WARNING, f"{{n}} {side} rows contain null merge keys",
-                        condition=reduce(lambda a, b: a | b, [ref(k).isNull() for k in on]), detail=side,
-                    )
-                ],
-            )
+            run_probes(df, [_null_key_probe(step_name, side, condition=_has_null(on))])
             for side, df in (("left", left), ("right", right))
         ],
     )
     metrics = lines.select(F.col("detail").alias("side"), F.col("failing_rows").alias("null_key_rows"))
-    return CheckResult(name, step_name, metrics, issue_columns(probe_issues(lines, step_name)))
+    return CheckResult(name, step_name, metrics, probe_issues(lines, step_name))
 
 
-def key_check_from_histogram(histogram: DataFrame, on: Sequence[str], step_name: str) -> CheckResult:
-    """The null key counts of ``validate_merge_keys`` without another pass over the tables."""
-    has_null = reduce(lambda a, b: a | b, [ref(k).isNull() for k in on])
-    sums = histogram.filter(has_null).agg(
-        *[F.coalesce(F.sum(f"{side}_n"), F.lit(0)).alias(side) for side in ("left", "right")]
-    )
-    metrics = sums.unpivot([], ["left", "right"], "side", "null_key_rows")
-    issues = metrics.filter(F.col("null_key_rows") > 0).select(
-        F.lit(step_name).alias("dataset_id"),
-        F.lit("merge").alias("stage"),
-        F.concat("side", F.lit("_null_keys")).alias("check_name"),
-        F.lit(WARNING).alias("severity"),
-        F.concat(F.col("null_key_rows").cast("string"), F.lit(" "), "side", F.lit(" rows contain null merge keys"))
-        .alias("message"),
-        F.lit(None).cast("string").alias("column_name"),
-        F.col("null_key_rows").alias("row_count"),
-        F.lit(None).cast("string").alias("output_path"),
+def absent_keys(left: DataFrame, right: DataFrame, on: Sequence[str], step_name: str) -> list[tuple]:
+    return [
+        issue(step_name, "merge", f"missing_{side}_key", ERROR, f"Missing {side} key column: {key}", column_name=key)
+        for key in on
+        for side, df in (("left", left), ("right", right))
+        if key not in df.columns
+    ]
+
+
+def _has_null(on: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [ref(k).isNull() for k in on])
+
+
+def _null_key_probe(step_name: str, side: str, **count: Any) -> Probe:
+    return Probe(
+        f"{step_name}_merge_key_validation", "merge", f"{side}_null_keys", WARNING,
+        f"{{n}} {side} rows contain null merge keys", detail=side, **count,
     )
-    return CheckResult(f"{step_name}_merge_key_validation", step_name, metrics, issues)
 
 
 # --- histogram and metrics --------------------------------------------------------------------
@@ -101,14 +88,26 @@ def key_histogram(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataF
     return both.groupBy(*keys).agg(F.sum("l").alias("left_n"), F.sum("r").alias("right_n"))
 
 
-def merge_metrics(histogram: DataFrame, how: str, expected_cardinality: str | None = None) -> DataFrame:
-    """The one-row audit of a join, computed from the key histogram."""
+def merge_metrics(
+    histogram: DataFrame, how: str, expected_cardinality: str | None = None, on: Sequence[str] = ()
+) -> DataFrame:
+    """The one-row audit of a join, computed from the key histogram.
+
+    With ``on`` also the rows per side with a null key part and the rows of the largest key.
+    """
     left_n, right_n = F.col("left_n"), F.col("right_n")
     zero = F.lit(0).cast("long")
 
     def total(value: Column) -> Column:
         return F.coalesce(F.sum(value), F.lit(0))
 
+    extras = []
+    if on:
+        extras = [
+            total(F.when(_has_null(on), left_n)).alias("left_null_keys"),
+            total(F.when(_has_null(on), right_n)).alias("right_null_keys"),
+            F.coalesce(F.max(F.greatest(left_n, right_n)), zero).alias("max_key_rows"),
+        ]
     sums = histogram.agg(
         total(left_n).alias("left_rows"),
         total(right_n).alias("right_rows"),
@@ -118,6 +117,7 @@ def merge_metrics(histogram: DataFrame, how: str, expected_cardinality: str | No
         total(F.when(left_n > 1, left_n - 1)).alias("left_repeats"),
         total(F.when(right_n > 1, right_n - 1)).alias("right_repeats"),
         F.coalesce(F.max(left_n * right_n), zero).alias("max_key_fanout"),
+        *extras,
     )
     merged = F.col("both_count") + F.col("left_only_count") + F.col("right_only_count")
     return _finish_metrics(sums.withColumn("merged_rows", merged), expected_cardinality)
@@ -164,37 +164,31 @@ def _finish_metrics(sums: DataFrame, expected: str | None) -> DataFrame:
         F.lit(expected).cast("string").alias("expected_cardinality"),
         meets.alias("cardinality_matches_expectation"),
         "max_key_fanout",
+        *[c for c in ("left_null_keys", "right_null_keys", "max_key_rows") if c in sums.columns],
     )
 
 
-def merge_issues(metrics: DataFrame, step_name: str) -> DataFrame:
-    def found(check: str, severity: str, message: Column, count: Column, fires: Column) -> Column:
-        return F.struct(
-            F.lit(step_name).alias("dataset_id"),
-            F.lit("merge").alias("stage"),
-            F.lit(check).alias("check_name"),
-            F.lit(severity).alias("severity"),
-            message.alias("message"),
-            F.lit(None).cast("string").alias("column_name"),
-            count.cast("long").alias("row_count"),
-            F.lit(None).cast("string").alias("output_path"),
-            F.coalesce(fires, F.lit(False)).alias("fires"),
+def merge_findings(metrics: Mapping[str, Any], step_name: str) -> list[tuple]:
+    """Issue rows of one metrics row."""
+    rows, extra = [], metrics["unexpected_duplication"]
+    if extra > 0:
+        rows.append(
+            issue(step_name, "merge", "unexpected_duplication", WARNING,
+                  f"Merged table contains {extra} unexpected duplicated rows compared to source tables",
+                  row_count=extra)
+        )
+    if metrics["cardinality_matches_expectation"] is False:
+        rows.append(
+            issue(step_name, "merge", "cardinality_mismatch", ERROR,
+                  f"Observed cardinality {metrics['observed_cardinality']} does not match expected "
+                  f"{metrics['expected_cardinality']}")
         )
+    return rows
 
-    extra = F.col("unexpected_duplication")
-    duplication = F.concat(
-        F.lit("Merged table contains "), extra.cast("string"),
-        F.lit(" unexpected duplicated rows compared to source tables"),
-    )
-    mismatch = F.concat(
-        F.lit("Observed cardinality "), "observed_cardinality",
-        F.lit(" does not match expected "), F.coalesce("expected_cardinality", F.lit("")),
-    )
-    rows = F.array(
-        found("unexpected_duplication", WARNING, duplication, extra, extra > 0),
-        found("cardinality_mismatch", ERROR, mismatch, F.lit(None), ~F.col("cardinality_matches_expectation")),
-    )
-    return metrics.select(F.inline(rows)).filter("fires").drop("fires")
+
+def merge_issues(metrics: DataFrame, step_name: str) -> DataFrame:
+    """Findings about a metrics table, which has one row."""
+    return issues_frame(metrics.sparkSession, merge_findings(metrics.first().asDict(), step_name))
 
 
 # --- the join ---------------------------------------------------------------------------------
@@ -276,7 +270,7 @@ def merge_rows(
         key_types = [left.schema[k].dataType.simpleString() for k in on]
         fields = [f"h{i} {t}" for i, t in enumerate(key_types)]
         columns_of_hot = ", ".join([*fields, "slices int, split_left boolean, on_both_sides boolean"])
-        hot = spark.createDataFrame([tuple(r) for r in hot_keys], columns_of_hot)
+        hot = local_table(spark, [tuple(r) for r in hot_keys], columns_of_hot)
         sliced_left = _sliced(marked_left, l_keys, hot, F.col("split_left"), "s_left")
         sliced_right = _sliced(marked_right, r_keys, hot, ~F.col("split_left"), "s_right")
         pairs = [*zip(l_keys, r_keys), ("s_left", "s_right")]
@@ -312,18 +306,33 @@ def merge_rows(
 
 @dataclass(frozen=True)
 class MergeResult:
-    """Joined rows with their origin, the one-row metrics and the findings."""
+    """Joined rows with their origin, and the audit as plain values of one row."""
 
     step_name: str
     merged: DataFrame
-    metrics: DataFrame
-    issues: DataFrame
-    key_check: CheckResult | None = None
+    metrics_row: dict[str, Any]
+    null_keys: dict[str, int]
+    schema: T.StructType
 
     @property
     def table(self) -> DataFrame:
         return self.merged.drop(INDICATOR)
 
+    @property
+    def metrics(self) -> DataFrame:
+        return local_table(self.merged.sparkSession, [tuple(self.metrics_row.values())], self.schema)
+
+    def findings(self) -> list[tuple]:
+        return merge_findings(self.metrics_row, self.step_name)
+
+    @property
+    def issues(self) -> DataFrame:
+        return issues_frame(self.merged.sparkSession, self.findings())
+
+    def key_findings(self) -> list[tuple]:
+        probes = [_null_key_probe(self.step_name, side, count_name=f"{side}_null_keys") for side in ("left", "right")]
+        return [row for _, row in probe_findings(self.null_keys, probes, self.step_name)]
+
     def unmatched(self) -> tuple[DataFrame, DataFrame]:
         return extract_unmatched(self.merged)
 
@@ -338,15 +347,20 @@ def perform_merge(
     hot_rows: int = HOT_KEY_ROWS,
 ) -> MergeResult:
     """Audited join: the key histogram is computed once and serves the metrics and the hot keys."""
-    key_check = None
+    hot: list[Row] = []
+    null_keys = {"left_null_keys": 0, "right_null_keys": 0}
     if how == "cross":
-        metrics, hot = cross_metrics(left, right, expected_cardinality), []
+        metrics = cross_metrics(left, right, expected_cardinality)
+        row = metrics.first().asDict()
     else:
         histogram = checkpointed(key_histogram(left, right, on))
-        key_check = key_check_from_histogram(histogram, on, step_name)
-        metrics, hot = merge_metrics(histogram, how, expected_cardinality), find_hot_keys(histogram, on, hot_rows)
-    merged = merge_rows(left, right, how, on, hot_keys=hot)
-    return MergeResult(step_name, merged, metrics, merge_issues(metrics, step_name), key_check)
+        metrics = merge_metrics(histogram, how, expected_cardinality, on)
+        row = metrics.first().asDict()
+        null_keys = {name: row.pop(name) for name in null_keys}
+        if row.pop("max_key_rows") > hot_rows:
+            hot = find_hot_keys(histogram, on, hot_rows)
+    schema = T.StructType([f for f in metrics.schema.fields if f.name in row])
+    return MergeResult(step_name, merge_rows(left, right, how, on, hot_keys=hot), row, null_keys, schema)
 
 
 def extract_unmatched(merged: DataFrame, indicator: str = INDICATOR) -> tuple[DataFrame, DataFrame]:

@@ -1,18 +1,18 @@
 """Counting many conditions over a table in one pass.
 
-A probe is one thing to count plus the finding it turns into. All probes of a table compile to one
+A probe is one number to count plus the finding it turns into. All probes of a table compile to one
 global aggregate: a single scan, partial sums per task, one row out. The row is then turned on its
 side into one line per probe, so metrics and findings are ordinary tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..model import INFO, ISSUE_COLUMNS
+from ..model import INFO, ISSUE_COLUMNS, issue
 
 N_ROWS = "n_rows"
 
@@ -25,17 +25,23 @@ class Probe:
     severity: str
     message: str  # {n} stands for the count
     column_name: str | None = None
-    condition: Column | None = None  # rows to count; None leaves the count null
+    condition: Column | None = None  # rows to count
+    count_name: str | None = None  # or a column that already holds the count; neither: no count
     detail: str | None = None
     empty_table: bool = False  # fires when the table has no rows
     pass_check: str | None = None  # INFO finding when nothing was counted
     pass_message: str | None = None
     finding: bool = True  # False: a metric only
 
+    def counted_as(self, position: int) -> str | None:
+        if self.condition is not None:
+            return f"p{position}"
+        return self.count_name
+
 
 def probe_aggregates(probes: Sequence[Probe]) -> list[Column]:
     counted = [
-        F.count_if(probe.condition).alias(f"p{i}")
+        F.count_if(probe.condition).alias(probe.counted_as(i))
         for i, probe in enumerate(probes)
         if probe.condition is not None
     ]
@@ -46,12 +52,11 @@ def probe_lines(counts: DataFrame, probes: Sequence[Probe]) -> DataFrame:
     """One line per probe from the one-row table of counts."""
 
     def line(i: int, probe: Probe) -> Column:
+        name = probe.counted_as(i)
         if probe.empty_table:
-            failing = F.when(F.col(N_ROWS) == 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
-        elif probe.condition is None:
-            failing = F.lit(None).cast("long")
+            failing = (F.col(N_ROWS) == 0).cast("long")
         else:
-            failing = F.col(f"p{i}")
+            failing = F.lit(None).cast("long") if name is None else F.col(name)
         texts = {
             "step_name": probe.step,
             "stage": probe.stage,
@@ -64,7 +69,6 @@ def probe_lines(counts: DataFrame, probes: Sequence[Probe]) -> DataFrame:
             "pass_message": probe.pass_message,
         }
         return F.struct(
-            F.lit(i).alias("seq"),
             *[F.lit(value).cast("string").alias(key) for key, value in texts.items()],
             F.lit(probe.finding).alias("finding"),
             F.lit(not probe.empty_table).alias("counted"),
@@ -72,7 +76,8 @@ def probe_lines(counts: DataFrame, probes: Sequence[Probe]) -> DataFrame:
         )
 
     lines = F.array(*[line(i, probe) for i, probe in enumerate(probes)])
-    return counts.select(N_ROWS, F.inline(lines))
+    total = F.col(N_ROWS) if N_ROWS in counts.columns else F.lit(None).cast("long").alias(N_ROWS)
+    return counts.select(total, F.inline(lines))
 
 
 def run_probes(df: DataFrame, probes: Sequence[Probe]) -> DataFrame:
@@ -81,23 +86,35 @@ def run_probes(df: DataFrame, probes: Sequence[Probe]) -> DataFrame:
 
 def probe_issues(lines: DataFrame, dataset_id: str) -> DataFrame:
     """Findings of the probes that fired, plus the INFO of those that passed and carry one."""
-    fired = F.col("failing_rows").isNull() | (F.col("failing_rows") > 0)
+    n = F.col("failing_rows")
+    fired = n.isNull() | (n > 0)
     passed = F.col("pass_check").isNotNull() & ~fired
-    shown = F.when(fired & F.col("counted"), F.col("failing_rows"))
-    return lines.filter(F.col("finding") & (fired | passed)).select(
-        "step_name",
+    found = lines.filter(F.col("finding") & (fired | passed)).select(
         F.lit(dataset_id).alias("dataset_id"),
         "stage",
         F.when(fired, F.col("check_name")).otherwise(F.col("pass_check")).alias("check_name"),
         F.when(fired, F.col("severity")).otherwise(F.lit(INFO)).alias("severity"),
-        F.when(fired, F.replace("message", F.lit("{n}"), F.coalesce(F.col("failing_rows").cast("string"), F.lit(""))))
+        F.when(fired, F.replace("message", F.lit("{n}"), F.coalesce(n.cast("string"), F.lit(""))))
         .otherwise(F.col("pass_message"))
         .alias("message"),
         "column_name",
-        shown.alias("row_count"),
+        F.when(fired & F.col("counted"), n).alias("row_count"),
         F.lit(None).cast("string").alias("output_path"),
     )
-
-
-def issue_columns(step_issues: DataFrame) -> DataFrame:
-    return step_issues.select(*ISSUE_COLUMNS)
+    return found.select(*ISSUE_COLUMNS)
+
+
+def probe_findings(counts: Mapping[str, int], probes: Sequence[Probe], dataset_id: str) -> list[tuple[str, tuple]]:
+    """Step and issue row of every probe that fired, from counts already at hand."""
+    found = []
+    for i, probe in enumerate(probes):
+        name = probe.counted_as(i)
+        n = int(counts[N_ROWS] == 0) if probe.empty_table else None if name is None else counts[name]
+        if probe.finding and (n is None or n > 0):
+            message = probe.message.replace("{n}", "" if n is None else str(n))
+            shown = None if probe.empty_table else n
+            row = issue(
+                dataset_id, probe.stage, probe.check_name, probe.severity, message, probe.column_name, shown
+            )
+            found.append((probe.step, row))
+    return found

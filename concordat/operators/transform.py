@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.casting import cast_to
 from ..functions.text import recode, ref, strip
-from ..model import DEFAULT_DATE_FORMATS
+from ..model import DEFAULT_DATE_FORMATS, local_table
 from ..session import checkpointed
 
 
@@ -86,7 +86,7 @@ def harmonize_variables(
         elif isinstance(entry, str):
             rows.append((name, entry, "direct_mapping", ""))
     # no hint: the table's size is known to the planner, which broadcasts it when small
-    lookup = spark.createDataFrame(rows, "__name string, __harmonized string, __rule string, __notes string")
+    lookup = local_table(spark, rows, "__name string, __harmonized string, __rule string, __notes string")
 
     if order_by:
         df = with_row_index(df, order_by, "__row")

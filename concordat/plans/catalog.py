@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from ..model import CheckResult, issues_frame
+from ..model import local_table
 from ..operators.catalog import build_catalog, catalog_summary
 from ..sources import write_table
-from .tables import RunLog, RunResult, _now, new_run_id, write_reports
+from .tables import MERGE_METRICS_SCHEMA, RunLog, RunResult, _now, new_run_id, write_reports
 
 
 @dataclass
@@ -30,14 +30,10 @@ def run_catalog(variables: DataFrame, *, out_dir: str, run_id: str | None = None
     write_table(built, path)
     catalog = spark.read.schema(built.schema).parquet(path)
     # six rows
-    summary = spark.createDataFrame(catalog_summary(catalog).collect(), "metric string, value long")
-    totals = summary.groupBy().pivot("metric").agg(F.first("value"))
-    log.add_check(
-        CheckResult("variable_catalog_build", "variable_catalog", totals, issues_frame(spark, [])),
-        started_at,
-        {"catalog": path},
-    )
-    none = spark.createDataFrame([], "step_name string, left_only_count long, right_only_count long")
+    totals = [tuple(row) for row in catalog_summary(catalog).collect()]
+    summary = local_table(spark, totals, "metric string, value long")
+    log.add_step("variable_catalog_build", "variable_catalog", [], dict(totals), started_at, {"catalog": path})
+    none = local_table(spark, [], MERGE_METRICS_SCHEMA)
     run = write_reports(
         RunResult(run_id, {"variable_catalog": catalog}, {}, log.step_results(), log.step_issues(), none), out_dir
     )

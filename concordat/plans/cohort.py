@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..model import DatasetSpec
+from ..model import DatasetSpec, local_table
 from ..operators.harmonize import (
     SOURCES,
     codebook_coverage,
@@ -20,7 +20,7 @@ from ..operators.headers import select_variables, strip_names
 from ..operators.merge import HOT_KEY_ROWS, find_hot_keys, key_histogram
 from ..session import checkpointed
 from ..sources import write_table
-from .tables import RunLog, RunResult, curate, new_run_id, write_reports
+from .tables import MERGE_METRICS_SCHEMA, RunLog, RunResult, curate, new_run_id, write_reports
 
 
 @dataclass
@@ -73,7 +73,7 @@ def harmonize_cohort(
     name = "merged_harmonized_analysis"
     tables[name], result = curate(merged, _spec(name, id_column, merged), f"{root}/analytic/{name}.parquet")
     log.add_suite(result)
-    none = spark.createDataFrame([], "step_name string, left_only_count long, right_only_count long")
+    none = local_table(spark, [], MERGE_METRICS_SCHEMA)
     run = write_reports(RunResult(run_id, tables, {}, log.step_results(), log.step_issues(), none), out_dir)
     return CohortResult(run, coverage, coverage_counts(coverage, sources), tables[name])
 

@@ -6,19 +6,26 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from ..model import ERROR, STEP_ISSUE_SCHEMA, STEP_SCHEMA, CheckResult, DatasetSpec, MergeStep, issue
-from ..operators.checks import SuitePlan, SuiteResult, cast_expected_types, invalid_value_counts, step_table, suite_result
+from ..model import ERROR, STEP_ISSUE_SCHEMA, STEP_SCHEMA, DatasetSpec, MergeStep, issue, local_table
+from ..operators.checks import SuitePlan, SuiteResult, cast_expected_types, step_row, suite_result
 from ..operators.headers import HeaderMapping, clean_base_table, domain_views, map_headers
-from ..operators.merge import INDICATOR, perform_merge
+from ..operators.merge import INDICATOR, absent_keys, perform_merge
 from ..operators.reports import counts_by_stage, exclusion_totals, run_summary
 from ..sources import read_table_from_spec, validate_file_input, write_table
 
 
+MERGE_METRICS_SCHEMA = (
+    "step_name string, left_rows long, right_rows long, merged_rows long, both_count long, left_only_count long, "
+    "right_only_count long, match_rate_against_left double, unmatched_left long, unmatched_right long, "
+    "unexpected_duplication long, observed_cardinality string, expected_cardinality string, "
+    "cardinality_matches_expectation boolean, max_key_fanout long"
+)
+
+
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
@@ -29,37 +36,33 @@ def new_run_id(prefix: str = "run") -> str:
 
 @dataclass
 class RunLog:
-    """Steps and findings of a run. Each entry is a small table."""
+    """Steps and findings of a run, as the few plain rows they are."""
 
     spark: SparkSession
-    steps: list[DataFrame] = field(default_factory=list)
-    findings: list[DataFrame] = field(default_factory=list)
+    steps: list[tuple] = field(default_factory=list)
+    findings: list[tuple] = field(default_factory=list)
 
     def add_suite(self, result: SuiteResult) -> None:
-        self.steps.append(result.step_results)
-        self.findings.append(result.step_issues)
-
-    def add_check(
-        self, result: CheckResult, started_at: dt.datetime, artifacts: Mapping[str, str] | None = None
+        self.steps += result.step_rows
+        self.findings += [(step, *row) for step, row in result.finding_rows]
+
+    def add_step(
+        self,
+        step_name: str,
+        dataset_id: str,
+        issues: Sequence[tuple],
+        metrics: Mapping[str, Any],
+        started_at: dt.datetime,
+        artifacts: Mapping[str, str] | None = None,
     ) -> None:
-        """Evaluate a check's findings and its one-row metrics now, and keep them as values."""
-        found = self.spark.createDataFrame(
-            [(result.step_name, *row) for row in result.issues.collect()], STEP_ISSUE_SCHEMA
-        )
-        rows = result.metrics.take(2)
-        metrics = {k: str(v) for k, v in rows[0].asDict().items() if v is not None} if len(rows) == 1 else {}
-        step = self.spark.createDataFrame([(result.step_name, metrics)], "step_name string, metrics map<string,string>")
-        self.steps.append(step_table(step, found, result.dataset_id or "", started_at, _now(), artifacts))
-        self.findings.append(found)
-
-    def add_finding(self, step_name: str, row: tuple) -> None:
-        self.findings.append(self.spark.createDataFrame([(step_name, *row)], STEP_ISSUE_SCHEMA))
+        self.steps.append(step_row(step_name, dataset_id, issues, metrics, started_at, artifacts))
+        self.findings += [(step_name, *row) for row in issues]
 
     def step_results(self) -> DataFrame:
-        return reduce(DataFrame.unionByName, self.steps, self.spark.createDataFrame([], STEP_SCHEMA))
+        return local_table(self.spark, self.steps, STEP_SCHEMA)
 
     def step_issues(self) -> DataFrame:
-        return reduce(DataFrame.unionByName, self.findings, self.spark.createDataFrame([], STEP_ISSUE_SCHEMA))
+        return local_table(self.spark, self.findings, STEP_ISSUE_SCHEMA)
 
 
 @dataclass
@@ -127,9 +130,9 @@ def curate(
     counts = observation.get
     curated = df.sparkSession.read.schema(cast_expected_types(df, spec).schema).parquet(path)
     written = SuitePlan(curated, spec, as_of, strict_nulls, coerce=False)
-    invalid = written.invalid_values()
-    invalid_counts = invalid_value_counts(invalid).collect() if spec.allowed_values else []
-    return curated, suite_result(plan, counts, written.key_counts(), invalid, invalid_counts, started_at, _now())
+    return curated, suite_result(
+        plan, counts, written.key_counts(), written.invalid_values(), written.invalid_counts(), started_at
+    )
 
 
 def wide_export_domains(
@@ -159,32 +162,30 @@ def merge_and_write(
     """Run an ordered merge plan; every result is written before a later step reads it."""
     spark, working = log.spark, dict(tables)
     written: dict[str, WrittenMerge] = {}
-    metrics: list[DataFrame] = []
+    rows: list[tuple] = []
     for step in steps:
         started_at = _now()
         absent = [name for name in (step.left, step.right) if name not in working]
         if absent:
             row = issue(step.name, "merge", "missing_input_table", ERROR, f"Tables not available: {absent}")
-            log.add_finding(f"{step.name}_merge", row)
+            log.add_step(f"{step.name}_merge", step.name, [row], {}, started_at)
             continue
         left, right = working[step.left], working[step.right]
+        if any(key not in left.columns or key not in right.columns for key in step.on):
+            raise KeyError("; ".join(row[4] for row in absent_keys(left, right, step.on, step.name)))
         result = perform_merge(left, right, step.how, list(step.on), step.name, step.expected_relationship)
         path = f"{out_dir}/{step.name}.parquet"
         write_table(result.merged, path, partition_by=[INDICATOR])
-        merged = spark.read.schema(result.merged.schema).parquet(path)
-        written[step.name] = WrittenMerge(path, merged)
+        written[step.name] = WrittenMerge(path, spark.read.schema(result.merged.schema).parquet(path))
         working[step.name] = written[step.name].table
-        if result.key_check is not None:
-            log.add_check(result.key_check, started_at)
-        # one row; as a value, so that no report runs the histogram again
-        one_row = spark.createDataFrame(result.metrics.collect(), result.metrics.schema)
-        log.add_check(
-            CheckResult(f"{step.name}_merge", step.name, one_row, result.issues), started_at, {"merged": path}
+        log.add_step(
+            f"{step.name}_merge_key_validation", step.name, result.key_findings(), result.null_keys, started_at
+        )
+        log.add_step(
+            f"{step.name}_merge", step.name, result.findings(), result.metrics_row, started_at, {"merged": path}
         )
-        metrics.append(one_row.select(F.lit(step.name).alias("step_name"), "*"))
-    if metrics:
-        return written, reduce(DataFrame.unionByName, metrics)
-    return written, spark.createDataFrame([], "step_name string, left_only_count long, right_only_count long")
+        rows.append((step.name, *result.metrics_row.values()))
+    return written, local_table(spark, rows, MERGE_METRICS_SCHEMA)
 
 
 def curate_and_merge(
@@ -214,12 +215,16 @@ def curate_and_merge(
         if source is None:
             started_at = _now()
             check = validate_file_input(spark, spec, include_hash=hash_inputs)
-            log.add_check(check, started_at)
-            if not check.succeeded():
+            issues = [tuple(row) for row in check.issues.collect()]
+            sizes = check.metrics.agg(F.count(F.lit(1)).alias("files"), F.sum("size_bytes").alias("size_bytes"))
+            log.add_step(check.step_name, spec.dataset_id, issues, sizes.first().asDict(), started_at)
+            if issues:
                 if fail_fast:
                     raise FileNotFoundError(f"Critical input error for {spec.dataset_id}")
                 continue
             source = read_table_from_spec(spark, spec)
+            if hash_inputs:
+                write_table(check.metrics, f"{root}/reports/files_{spec.dataset_id}.parquet")
         path = f"{root}/curated/{spec.dataset_id}.parquet"
         curated[spec.dataset_id], result = curate(source, spec, path, as_of=as_of, strict_nulls=strict_nulls)
         invalid[spec.dataset_id] = result.invalid_values

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..model import ERROR, INFO, CheckResult, DatasetSpec, issue, issues_frame
+from ..model import CheckResult, DatasetSpec, ERROR, INFO, issue, issues_frame, local_table
 
 FILE_COLUMNS = ("path", "name", "size_bytes", "modified_at", "suffix")
 # Files up to this size are hashed from their content column; larger ones are streamed.
@@ -101,7 +101,7 @@ def validate_file_input(spark: SparkSession, spec: DatasetSpec, include_hash: bo
     step = f"{spec.dataset_id}_input_validation"
     found, issues = validate_file_exists(spark, spec.path, spec.dataset_id, with_info=False)
     if not found:
-        empty = spark.createDataFrame([], "path string, size_bytes long, sha256 string")
+        empty = local_table(spark, [], "path string, size_bytes long, sha256 string")
         return CheckResult(step, spec.dataset_id, empty, issues)
     metadata = collect_file_metadata(spark, spec.path, include_hash)
     shown = ["path", "size_bytes", *(["sha256"] if include_hash else [])]
