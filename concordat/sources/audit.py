@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -19,7 +20,7 @@ CHUNK_BYTES = 4 * 1024 * 1024
 
 def audit_files(spark: SparkSession, path: str | Sequence[str], recursive: bool = True) -> DataFrame:
     """Path, name, size, time and suffix of every file under ``path``; contents are not read."""
-    listed = _binary(spark, path, recursive)
+    listed = _with_empty_files(_binary(spark, path, recursive))
     name = F.element_at(F.split("path", "/"), -1)
     extension = F.regexp_extract(name, r"(\.[^.]+)$", 1)
     return listed.select(
@@ -36,6 +37,16 @@ def _binary(spark: SparkSession, path: str | Sequence[str], recursive: bool) ->
     return spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(paths)
 
 
+def _with_empty_files(files: DataFrame) -> DataFrame:
+    """The scan leaves out files without a byte, but the listing, which the driver holds, has them."""
+    found = files.select("path", "modificationTime", "length")
+    listing = local_table(files.sparkSession, [(unquote(uri),) for uri in files.inputFiles()], "uri string")
+    # the listing writes file:///a where the scan writes file:/a
+    as_scanned = F.regexp_replace("uri", "^file:/+", "file:/")
+    empty = listing.select(as_scanned.alias("path")).join(found, "path", "left_anti")
+    return found.unionByName(empty.withColumn("length", F.lit(0).cast("long")), allowMissingColumns=True)
+
+
 def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """SHA-256 of files too large for one content value, a chunk at a time."""
     from pyarrow import fs
@@ -43,7 +54,8 @@ def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         digests = []
         for uri in batch["path"]:
-            filesystem, location = fs.FileSystem.from_uri(uri)
+            scheme, _, location = uri.partition(":")
+            filesystem, location = fs.FileSystem.from_uri(f"{scheme}:{quote(location)}")
             digest = hashlib.sha256()
             with filesystem.open_input_stream(location) as stream:
                 while chunk := stream.read(CHUNK_BYTES):
@@ -59,6 +71,9 @@ def file_hashes(
     files = _binary(spark, path, recursive)
     small = files.filter(F.col("length") <= content_limit).select("path", F.sha2("content", 256).alias("sha256"))
     large = files.filter(F.col("length") > content_limit).select("path")
+    # files without a byte
+    empty = _with_empty_files(files).filter(F.col("length") == 0)
+    small = small.unionByName(empty.select("path", F.sha2(F.lit("").cast("binary"), 256).alias("sha256")))
     # one file per task where there are that many cores: hashing a large file is serial
     spread = large.repartition("path")
     return small.unionByName(spread.mapInPandas(_stream_hashes, "path string, sha256 string"))
