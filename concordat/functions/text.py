@@ -22,7 +22,12 @@ WHITESPACE_RANGES = (
     (0x3000, 0x3000),
 )
 WHITESPACE = "".join(chr(c) for low, high in WHITESPACE_RANGES for c in range(low, high + 1))
-WHITESPACE_CLASS = "[" + "".join(f"\\x{{{low:x}}}-\\x{{{high:x}}}" for low, high in WHITESPACE_RANGES) + "]"
+# The same as a pattern. Single Latin-1 characters become one table lookup in the regex engine, and
+# the rest is only tried beyond them.
+_BEYOND_LATIN = "".join(f"\\x{{{low:x}}}-\\x{{{high:x}}}" for low, high in WHITESPACE_RANGES if low > 0xFF)
+WHITESPACE_CLASS = (
+    "[" + "".join(f"\\x{ord(c):02x}" for c in WHITESPACE if ord(c) <= 0xFF) + f"[\\x{{100}}-\\x{{ffff}}&&[{_BEYOND_LATIN}]]]"
+)
 
 # Texts read as true.
 TRUTHY = ("1", "true", "yes", "y", "x")
@@ -77,7 +82,9 @@ def clean_text(
     steps = []
     if trim:
         steps.append(strip)
-    if replace_newlines:
+    # a line break replaced by space would be collapsed with its neighbours anyway
+    redundant = collapse_whitespace and replace_newlines_with != "" and replace_newlines_with.isspace()
+    if replace_newlines and not redundant:
         literal = re.sub(r"([\\$])", r"\\\1", replace_newlines_with)
         steps.append(lambda c: F.regexp_replace(c, r"[\r\n]+", literal))
     if collapse_whitespace:

@@ -8,7 +8,7 @@ yields every metric without running the join, as well as the keys hot enough to
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any
 
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from ..functions.text import ref
 from ..model import CheckResult, ERROR, MergeStep, WARNING, issue, issues_frame, local_table
-from ..session import checkpointed
+from ..session import stored
 from .probes import Probe, probe_findings, probe_issues, run_probes
 
 INDICATOR = "_merge"
@@ -346,14 +346,17 @@ def perform_merge(
     expected_cardinality: str | None = None,
     hot_rows: int = HOT_KEY_ROWS,
 ) -> MergeResult:
-    """Audited join: the key histogram is computed once and serves the metrics and the hot keys."""
+    """Audited join. The key histogram gives the metrics and says whether any key is hot.
+
+    Only then a second pass over the keys finds out which, and the join is spread accordingly.
+    """
     hot: list[Row] = []
     null_keys = {"left_null_keys": 0, "right_null_keys": 0}
     if how == "cross":
         metrics = cross_metrics(left, right, expected_cardinality)
         row = metrics.first().asDict()
     else:
-        histogram = checkpointed(key_histogram(left, right, on))
+        histogram = key_histogram(left, right, on)
         metrics = merge_metrics(histogram, how, expected_cardinality, on)
         row = metrics.first().asDict()
         null_keys = {name: row.pop(name) for name in null_keys}
@@ -376,12 +379,17 @@ def unmatched_rows(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFr
 
 
 def merge_chain(tables: Mapping[str, DataFrame], steps: Sequence[MergeStep]) -> dict[str, MergeResult]:
-    """Run an ordered plan; every step may use the tables and the steps before it."""
+    """Run an ordered plan; every step may use the tables and the steps before it.
+
+    A result that a later step uses is stored first, so that no step runs the ones before it again.
+    """
     working, results = dict(tables), {}
-    for step in steps:
+    for position, step in enumerate(steps):
         result = perform_merge(
             working[step.left], working[step.right], step.how, list(step.on), step.name, step.expected_relationship
         )
+        if any(step.name in (later.left, later.right) for later in steps[position + 1 :]):
+            result = replace(result, merged=stored(result.merged))
         results[step.name] = result
         working[step.name] = result.table
     return results

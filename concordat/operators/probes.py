@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..model import INFO, ISSUE_COLUMNS, issue
+from ..model import INFO, ISSUE_COLUMNS, issue, local_table
 
 N_ROWS = "n_rows"
 
@@ -48,36 +48,28 @@ def probe_aggregates(probes: Sequence[Probe]) -> list[Column]:
     return [F.count(F.lit(1)).alias(N_ROWS), *counted]
 
 
-def probe_lines(counts: DataFrame, probes: Sequence[Probe]) -> DataFrame:
-    """One line per probe from the one-row table of counts."""
+LINE_SCHEMA = (
+    "seq int, step_name string, stage string, check_name string, severity string, message string, column_name string, "
+    "detail string, pass_check string, pass_message string, finding boolean, counted boolean"
+)
+
 
-    def line(i: int, probe: Probe) -> Column:
+def probe_lines(counts: DataFrame, probes: Sequence[Probe]) -> DataFrame:
+    """One line per probe: the one-row table of counts unfolded beside what each count stands for."""
+    numbers, texts = [], []
+    for i, probe in enumerate(probes):
         name = probe.counted_as(i)
         if probe.empty_table:
-            failing = (F.col(N_ROWS) == 0).cast("long")
+            numbers.append((F.col(N_ROWS) == 0).cast("long"))
         else:
-            failing = F.lit(None).cast("long") if name is None else F.col(name)
-        texts = {
-            "step_name": probe.step,
-            "stage": probe.stage,
-            "check_name": probe.check_name,
-            "severity": probe.severity,
-            "message": probe.message,
-            "column_name": probe.column_name,
-            "detail": probe.detail,
-            "pass_check": probe.pass_check,
-            "pass_message": probe.pass_message,
-        }
-        return F.struct(
-            *[F.lit(value).cast("string").alias(key) for key, value in texts.items()],
-            F.lit(probe.finding).alias("finding"),
-            F.lit(not probe.empty_table).alias("counted"),
-            failing.alias("failing_rows"),
+            numbers.append(F.lit(None).cast("long") if name is None else F.col(name))
+        texts.append(
+            (i, probe.step, probe.stage, probe.check_name, probe.severity, probe.message, probe.column_name,
+             probe.detail, probe.pass_check, probe.pass_message, probe.finding, not probe.empty_table)
         )
-
-    lines = F.array(*[line(i, probe) for i, probe in enumerate(probes)])
     total = F.col(N_ROWS) if N_ROWS in counts.columns else F.lit(None).cast("long").alias(N_ROWS)
-    return counts.select(total, F.inline(lines))
+    unfolded = counts.select(total, F.posexplode(F.array(*numbers)).alias("seq", "failing_rows"))
+    return unfolded.join(local_table(counts.sparkSession, texts, LINE_SCHEMA), "seq")
 
 
 def run_probes(df: DataFrame, probes: Sequence[Probe]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.casting import cast_to
 from ..functions.text import recode, ref, strip
 from ..model import DEFAULT_DATE_FORMATS, local_table
-from ..session import checkpointed
+from ..session import stored
 
 
 def normalize_categories(df: DataFrame, mappings: Mapping[str, Mapping[str, str]]) -> DataFrame:
@@ -54,7 +54,7 @@ def with_row_index(df: DataFrame, order_by: Sequence[str], name: str) -> DataFra
     position = F.monotonically_increasing_id()
     # the partition id lets the sort split rows that tie on everything else
     order = [*[ref(c) for c in order_by], F.spark_partition_id()]
-    ordered = checkpointed(df.orderBy(*order).withColumn("__pos", position))
+    ordered = stored(df.orderBy(*order).withColumn("__pos", position))
     part, offset = F.shiftright("__pos", 33), F.col("__pos").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = ordered.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)

@@ -18,7 +18,7 @@ from ..operators.harmonize import (
 )
 from ..operators.headers import select_variables, strip_names
 from ..operators.merge import HOT_KEY_ROWS, find_hot_keys, key_histogram
-from ..session import checkpointed
+from ..session import stored
 from ..sources import write_table
 from .tables import MERGE_METRICS_SCHEMA, RunLog, RunResult, curate, new_run_id, write_reports
 
@@ -53,7 +53,7 @@ def harmonize_cohort(
     if id_column not in once.columns or id_column not in quince.columns:
         raise ValueError(f"patient_id column '{id_column}' must exist in both source datasets")
 
-    loaded = checkpointed(load_codebook(codebook, question_name_column, review_column, order_by))
+    loaded = stored(load_codebook(codebook, question_name_column, review_column, order_by))
     questions, review = codebook_questions(loaded, question_name_column, review_column, order_by)
     coverage = codebook_coverage(loaded, once, quince, question_name_column, review_column, sources)
     write_table(coverage, f"{root}/reports/codebook_coverage.parquet")
@@ -65,7 +65,7 @@ def harmonize_cohort(
         tables[name], result = curate(view, _spec(name, id_column, view), f"{root}/curated/{name}.parquet")
         log.add_suite(result)
     a, b = (tables[f"{s}_raw_analysis"] for s in sources)
-    histogram = checkpointed(key_histogram(a.select(id_column), b.select(id_column), [id_column]))
+    histogram = key_histogram(a.select(id_column), b.select(id_column), [id_column])
     merged = harmonized_merge(
         a, b, id_column, questions, review, sources=sources,
         hot_keys=find_hot_keys(histogram, [id_column], hot_rows),

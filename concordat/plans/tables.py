@@ -216,15 +216,16 @@ def curate_and_merge(
             started_at = _now()
             check = validate_file_input(spark, spec, include_hash=hash_inputs)
             issues = [tuple(row) for row in check.issues.collect()]
-            sizes = check.metrics.agg(F.count(F.lit(1)).alias("files"), F.sum("size_bytes").alias("size_bytes"))
-            log.add_step(check.step_name, spec.dataset_id, issues, sizes.first().asDict(), started_at)
+            # written before it is summed up: hashing reads the files whole, so it is done once
+            listing = f"{root}/reports/files_{spec.dataset_id}.parquet"
+            files = spark.read.schema(check.metrics.schema).parquet(write_table(check.metrics, listing))
+            sizes = files.agg(F.count(F.lit(1)).alias("files"), F.sum("size_bytes").alias("size_bytes")).first()
+            log.add_step(check.step_name, spec.dataset_id, issues, sizes.asDict(), started_at, {"files": listing})
             if issues:
                 if fail_fast:
                     raise FileNotFoundError(f"Critical input error for {spec.dataset_id}")
                 continue
             source = read_table_from_spec(spark, spec)
-            if hash_inputs:
-                write_table(check.metrics, f"{root}/reports/files_{spec.dataset_id}.parquet")
         path = f"{root}/curated/{spec.dataset_id}.parquet"
         curated[spec.dataset_id], result = curate(source, spec, path, as_of=as_of, strict_nulls=strict_nulls)
         invalid[spec.dataset_id] = result.invalid_values

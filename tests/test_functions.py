@@ -82,3 +82,11 @@ def test_clean_text_options(spark):
 )
 def test_canonical_names(raw, name):
     assert canonical_name(raw) == name
+
+
+def test_collapse_covers_every_kind_of_space(spark):
+    text = "".join(f"{i}{c}" for i, c in enumerate(WHITESPACE)) + "éx‐y"
+    expected = " ".join(str(i) for i in range(len(WHITESPACE))) + " éx‐y"
+    assert evaluate(spark, [text], clean_text) == [expected]
+    assert evaluate(spark, ["a\nb"], lambda c: clean_text(c, replace_newlines_with="")) == ["ab"]
+    assert evaluate(spark, ["a\r\n\t b"], lambda c: clean_text(c, replace_newlines_with="\t")) == ["a b"]
