@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import is_truthy, ref, strip
 from ..model import local_table
-from .merge import merge_rows
+from .merge import HOT_KEY_ROWS, hot_keys_of, merge_rows
 
 SOURCES = ("once", "quince")
 MAX_VARIABLES = 100_000
@@ -103,7 +103,7 @@ def harmonized_merge(
     needs_review: Iterable[str] = (),
     *,
     sources: tuple[str, str] = SOURCES,
-    hot_keys: Sequence[Row] = (),
+    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Full outer join on the id with, per variable, the first source's value or else the second's.
 
@@ -121,7 +121,7 @@ def harmonized_merge(
         "outer",
         [id_column],
         indicator=None,
-        hot_keys=hot_keys,
+        hot_keys=hot_keys_of(once, quince, [id_column], hot_rows),
     )
     a_types, b_types = dict(once.dtypes), dict(quince.dtypes)
 

@@ -125,15 +125,14 @@ def merge_metrics(
 
 def cross_metrics(left: DataFrame, right: DataFrame, expected_cardinality: str | None = None) -> DataFrame:
     """Audit of a cross join, from the two row counts."""
-    sides = left.agg(F.count(F.lit(1)).alias("left_rows")).crossJoin(
-        right.agg(F.count(F.lit(1)).alias("right_rows"))
-    )
+    rows, none = F.count(F.lit(1)), F.lit(0).cast("long")
+    counted = left.agg(rows.alias("l"), none.alias("r")).unionByName(right.agg(none.alias("l"), rows.alias("r")))
+    sides = counted.agg(F.sum("l").alias("left_rows"), F.sum("r").alias("right_rows"))
     product = F.col("left_rows") * F.col("right_rows")
-    zero = F.lit(0).cast("long")
     sums = sides.select(
-        "left_rows", "right_rows", product.alias("both_count"), zero.alias("left_only_count"),
-        zero.alias("right_only_count"), F.greatest(F.col("left_rows") - 1, zero).alias("left_repeats"),
-        F.greatest(F.col("right_rows") - 1, zero).alias("right_repeats"), product.alias("max_key_fanout"),
+        "left_rows", "right_rows", product.alias("both_count"), none.alias("left_only_count"),
+        none.alias("right_only_count"), F.greatest(F.col("left_rows") - 1, none).alias("left_repeats"),
+        F.greatest(F.col("right_rows") - 1, none).alias("right_repeats"), product.alias("max_key_fanout"),
         product.alias("merged_rows"),
     )
     return _finish_metrics(sums, expected_cardinality)
@@ -211,6 +210,13 @@ def find_hot_keys(histogram: DataFrame, on: Sequence[str], hot_rows: int = HOT_K
     )
 
 
+def hot_keys_of(left: DataFrame, right: DataFrame, on: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> list[Row]:
+    """Hot keys of a join: one pass over the keys, and a second only where there are any."""
+    histogram = key_histogram(left, right, on)
+    largest = histogram.agg(F.max(F.greatest("left_n", "right_n"))).first()[0] or 0
+    return find_hot_keys(histogram, on, hot_rows) if largest > hot_rows else []
+
+
 def _null_safe(pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
 
@@ -247,7 +253,8 @@ def merge_rows(
     """Join with each key emitted once, clashing columns suffixed and the origin of every row named.
 
     Broadcast or sort-merge is left to the planner, which knows the sizes. ``hot_keys`` (see
-    ``find_hot_keys``) spreads the named keys over several tasks; the result is the same without.
+    ``hot_keys_of``) spreads the named keys over several tasks; the rows are the same without.
+    ``perform_merge`` finds them by itself.
     """
     if how not in HOW:
         raise ValueError(f"Unsupported join type: {how}")

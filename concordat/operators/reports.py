@@ -23,14 +23,13 @@ def counts_by_stage(step_results: DataFrame) -> DataFrame:
 
 def run_summary(step_results: DataFrame, issues: DataFrame) -> DataFrame:
     """One row: a run succeeds when it has no ERROR."""
-    steps = step_results.agg(F.count(F.lit(1)).alias("validations_executed"))
-    found = issues.agg(
-        F.count_if(F.upper("severity") == ERROR).alias("error_count"),
-        F.count_if(F.upper("severity") == WARNING).alias("warning_count"),
-    )
-    return steps.crossJoin(found).select(
-        (F.col("error_count") == 0).alias("success"), "validations_executed", "error_count", "warning_count"
+    steps = step_results.select(F.lit("STEP").alias("kind"))
+    counted = steps.unionByName(issues.select(F.upper("severity").alias("kind"))).agg(
+        F.count_if(F.col("kind") == "STEP").alias("validations_executed"),
+        F.count_if(F.col("kind") == ERROR).alias("error_count"),
+        F.count_if(F.col("kind") == WARNING).alias("warning_count"),
     )
+    return counted.select((F.col("error_count") == 0).alias("success"), "*")
 
 
 def exclusion_totals(merge_metrics: DataFrame) -> DataFrame:

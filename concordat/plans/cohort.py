@@ -17,7 +17,7 @@ from ..operators.harmonize import (
     load_codebook,
 )
 from ..operators.headers import select_variables, strip_names
-from ..operators.merge import HOT_KEY_ROWS, find_hot_keys, key_histogram
+from ..operators.merge import HOT_KEY_ROWS
 from ..session import stored
 from ..sources import write_table
 from .tables import MERGE_METRICS_SCHEMA, RunLog, RunResult, curate, new_run_id, write_reports
@@ -65,11 +65,7 @@ def harmonize_cohort(
         tables[name], result = curate(view, _spec(name, id_column, view), f"{root}/curated/{name}.parquet")
         log.add_suite(result)
     a, b = (tables[f"{s}_raw_analysis"] for s in sources)
-    histogram = key_histogram(a.select(id_column), b.select(id_column), [id_column])
-    merged = harmonized_merge(
-        a, b, id_column, questions, review, sources=sources,
-        hot_keys=find_hot_keys(histogram, [id_column], hot_rows),
-    )
+    merged = harmonized_merge(a, b, id_column, questions, review, sources=sources, hot_rows=hot_rows)
     name = "merged_harmonized_analysis"
     tables[name], result = curate(merged, _spec(name, id_column, merged), f"{root}/analytic/{name}.parquet")
     log.add_suite(result)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from concordat.model import DatasetSpec
-from concordat.operators import checks, headers
+from concordat.functions.text import ref
+from concordat.operators import headers
 
 from .registry import query, table
 
@@ -89,9 +89,8 @@ audit as (select * from (values
 def header_mapping_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit beside how many rows of the mapped table each header fills."""
     mapped = mapped_orders(spark, sf_dir)
-    profile = checks.profile_missingness(mapped.table, DatasetSpec("orders")).metrics
-    rows = mapped.table.agg(F.count(F.lit(1)).alias("n"))
-    filled = profile.crossJoin(rows).select("column_name", (F.col("n") - F.col("missing_count")).alias("filled_rows"))
+    counts = mapped.table.agg(*[F.count(ref(c)).alias(c) for c in mapped.table.columns])
+    filled = counts.unpivot([], [ref(c) for c in counts.columns], "column_name", "filled_rows")
     name = F.when(F.col("mapped_column") == "", F.col("raw_column")).otherwise(F.col("mapped_column"))
     return mapped.audit.join(filled, name == filled["column_name"]).drop("column_name")
 

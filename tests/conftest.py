@@ -12,8 +12,8 @@ from concordat import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests",
-        "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.default.parallelism": "4"},
+        "local[4]",
+        **{"spark.sql.shuffle.partitions": "3", "spark.ui.enabled": "false", "spark.default.parallelism": "2"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
