@@ -1,4 +1,4 @@
-from .casting import as_date, as_number, cast_to
+from .casting import as_date, as_number, cast_to, without_nan
 from .text import (
     canonical_name,
     clean_text,
@@ -24,4 +24,5 @@ __all__ = [
     "recode",
     "ref",
     "strip",
+    "without_nan",
 ]

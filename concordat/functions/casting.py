@@ -17,9 +17,16 @@ def _is_text(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.StringType, T.VarcharType, T.CharType))
 
 
+def without_nan(value: Column, data_type: T.DataType) -> Column:
+    """NaN is a missing value, so it becomes null."""
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(value), value)
+    return value
+
+
 def as_number(value: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+        return without_nan(value, data_type).cast("double")
     if isinstance(data_type, (T.NumericType, T.BooleanType)):
         return value.cast("double")
     if _is_text(data_type):

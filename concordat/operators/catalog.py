@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.casting import as_number
 from ..functions.text import is_missing, is_selected, is_truthy, ref, strip
@@ -28,8 +28,17 @@ def _present(source: str) -> str:
     return f"PRESENT_{source.upper()}"
 
 
-def source_studies(sources: Sequence[str] = SOURCES) -> Column:
-    return F.concat_ws(",", *[F.when(is_truthy(ref(_present(s))), F.lit(s)) for s in sources])
+def is_present(df: DataFrame, source: str) -> Column:
+    """Any number but zero, or a truthy word."""
+    name = _present(source)
+    data_type = df.schema[name].dataType
+    if isinstance(data_type, T.NumericType):
+        return F.coalesce(as_number(ref(name), data_type) != 0, F.lit(False))
+    return is_truthy(ref(name))
+
+
+def source_studies(df: DataFrame, sources: Sequence[str] = SOURCES) -> Column:
+    return F.concat_ws(",", *[F.when(is_present(df, s), F.lit(s)) for s in sources])
 
 
 def needs_review(df: DataFrame) -> Column:
@@ -73,7 +82,7 @@ def build_catalog(
         F.coalesce(strip(ref(question_name_column).cast("string")), F.lit("")).alias("canonical_variable_name"),
         ref(question_name_column),
         ref("MERGE_STATUS"),
-        source_studies(sources).alias("source_studies"),
+        source_studies(variables, sources).alias("source_studies"),
         needs_review(variables).alias("needs_harmonization_review"),
         *[ref(c) for c in details],
     )

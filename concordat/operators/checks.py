@@ -15,8 +15,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.casting import as_date, as_number, cast_to
-from ..functions.text import is_blank, is_missing, ref, strip
+from ..functions.casting import as_date, as_number, cast_to, without_nan
+from ..functions.text import is_missing, ref, strip
 from ..model import (
     DEFAULT_DATE_FORMATS,
     ERROR,
@@ -136,9 +136,7 @@ def _dtype_probes(raw: Values) -> list[Probe]:
         condition, check = None, f"{expected}_cast"
         if expected in ("numeric", "date"):
             parsed = raw.number(name) if expected == "numeric" else raw.date(name)
-            present = ref(name).isNotNull()
-            if isinstance(raw.types[name], (T.DoubleType, T.FloatType)):
-                present = present & ~F.isnan(ref(name))
+            present = without_nan(ref(name), raw.types[name]).isNotNull()
             condition = present & parsed.isNull()
         probes.append(
             Probe(
@@ -188,7 +186,8 @@ def rule_condition(rule: Mapping[str, Any], values: Values, as_of: dt.date | Non
         number = values.number(known("column"))
         return F.coalesce((number < F.lit(rule["min"])) | (number > F.lit(rule["max"])), F.lit(False))
     if kind == "in_set":
-        value = values.value(known("column"))
+        name = known("column")
+        value = without_nan(values.value(name), values.data_type(name))
         allowed = [str(v) for v in rule["values"]]
         listed = value.cast("string").isin(*allowed) if allowed else F.lit(False)
         # a null is outside every list unless the rule lets it through
@@ -298,7 +297,7 @@ def key_metrics(df: DataFrame, key: str, value: Column | None = None, data_type:
     """Blank, repeated and distinct keys from one key histogram."""
     value = ref(key) if value is None else value
     data_type = df.schema[key].dataType if data_type is None else data_type
-    histogram = df.select(value.alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    histogram = df.select(without_nan(value, data_type).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     return histogram.agg(
         F.lit(key).alias("primary_key"),
         F.coalesce(F.sum(F.when(is_missing(F.col("k"), data_type), F.col("n"))), F.lit(0)).alias("blank_key_count"),
@@ -375,10 +374,7 @@ def detect_duplicates(
 
 
 def _text_of(value: Column, data_type: T.DataType) -> Column:
-    text = strip(value.cast("string"))
-    if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(value), text)
-    return text
+    return strip(without_nan(value, data_type).cast("string"))
 
 
 def invalid_values(

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.casting import without_nan
 from ..functions.text import is_truthy, ref, strip
 from ..model import local_table
 from .merge import HOT_KEY_ROWS, hot_keys_of, merge_rows
@@ -115,9 +116,13 @@ def harmonized_merge(
     a_vars = [q for q in variables if q in once.columns]
     b_vars = [q for q in variables if q in quince.columns]
     suffix_a, suffix_b = (f"__{s}" for s in sources)
+
+    def side(df: DataFrame, names: Sequence[str], suffix: str) -> DataFrame:
+        return df.select(ref(id_column), *[without_nan(ref(q), df.schema[q].dataType).alias(q + suffix) for q in names])
+
     joined = merge_rows(
-        once.select(ref(id_column), *[ref(q).alias(q + suffix_a) for q in a_vars]),
-        quince.select(ref(id_column), *[ref(q).alias(q + suffix_b) for q in b_vars]),
+        side(once, a_vars, suffix_a),
+        side(quince, b_vars, suffix_b),
         "outer",
         [id_column],
         indicator=None,

@@ -73,7 +73,8 @@ def harmonize_variables(
 ) -> tuple[DataFrame, DataFrame]:
     """Add ``HARMONIZED_VARIABLE`` and return the trace, one row per input row.
 
-    Rows without a name are called ``row_<i>`` by their place in ``order_by``, which only then is needed.
+    Rows without a name are called ``row_<i>`` by their place in ``order_by``. The table is sorted
+    for that only when there are such rows.
     """
     spark = df.sparkSession
     entries = mappings.get("variables", mappings)
@@ -88,12 +89,14 @@ def harmonize_variables(
     # no hint: the table's size is known to the planner, which broadcasts it when small
     lookup = local_table(spark, rows, "__name string, __harmonized string, __rule string, __notes string")
 
-    if order_by:
-        df = with_row_index(df, order_by, "__row")
-    else:
-        df = df.withColumn("__row", F.lit(None).cast("long"))
     raw = ref(question_name_col).cast("string") if question_name_col in df.columns else F.lit("")
     named = df.withColumn("__q", F.coalesce(strip(raw), F.lit("")))
+    if named.filter(F.col("__q") == "").isEmpty():
+        named = named.withColumn("__row", F.lit(None).cast("long"))
+    elif order_by:
+        named = with_row_index(named, order_by, "__row")
+    else:
+        raise ValueError("Rows without a variable name are numbered, which needs order_by")
     joined = named.join(lookup, F.col("__q") == F.col("__name"), "left")
     fallback = F.when(F.col("__q") != "", F.col("__q")).otherwise(F.concat(F.lit("row_"), F.col("__row").cast("string")))
     joined = joined.withColumn("HARMONIZED_VARIABLE", F.coalesce("__harmonized", fallback))

@@ -18,6 +18,19 @@ RECOMMENDED_CONF = {
 }
 
 
+def sized_conf(shuffled_bytes: int, cores: int, partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Settings that keep a partition of the largest shuffle near ``partition_bytes``.
+
+    The count is where adaptive execution starts; it merges small partitions and splits skewed ones.
+    """
+    partitions = max(2 * cores, -(-shuffled_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def build_session(app_name: str = "concordat", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:

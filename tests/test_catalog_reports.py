@@ -94,3 +94,12 @@ def test_exclusions(spark, rows):
 
 def test_local_tables_are_part_of_the_plan(spark, plan_of):
     assert "LocalTableScan" in plan_of(local_table(spark, [(1, "a")], "n int, s string"))
+
+
+def test_presence_as_a_number(spark, rows):
+    df = spark.createDataFrame(
+        [("a", 1.0, 0), ("b", float("nan"), 2), ("c", None, None)],
+        "QUESTION_NAME string, PRESENT_ONCE double, PRESENT_QUINCE int",
+    )
+    named = df.select("QUESTION_NAME", catalog.source_studies(df))
+    assert rows(named) == [("a", "once"), ("b", "quince"), ("c", "")]

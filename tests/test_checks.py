@@ -279,3 +279,13 @@ def test_names_with_dots_and_quotes(spark, rows):
     assert rows(checks.profile_missingness(df, spec()).metrics) == [("a.b", 0, 0.0), ("c`d", 1, 0.5)]
     assert checks.duplicate_rows(df, ["a.b"]).count() == 2
     assert checks.validate(df, spec(primary_key="a.b")).key_row["duplicate_key_count"] == 1
+
+
+def test_nan_is_a_missing_value_everywhere(spark, rows):
+    df = frame(spark, "k double", (float("nan"),), (None,), (1.0,))
+    rules = [{"name": n, "type": "in_set", "column": "k", "values": ["1.0"], "allow_na": a} for n, a in (("s", False), ("l", True))]
+    assert rule_counts(checks.run_business_rules(df, spec(rules=rules))) == {"s": 2, "l": 0}
+    metrics = checks.validate_primary_key(df, spec(primary_key="k")).metrics.first()
+    assert (metrics.blank_key_count, metrics.duplicate_key_count, metrics.unique_key_count) == (2, 1, 1)
+    assert checks.invalid_values(df, {"k": ["1.0"]}).isEmpty()
+    assert rows(checks.validate_dtypes(df, spec(expected_dtypes={"k": "numeric"})).metrics, "invalid_count") == [(0,)]

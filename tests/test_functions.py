@@ -90,3 +90,10 @@ def test_collapse_covers_every_kind_of_space(spark):
     assert evaluate(spark, [text], clean_text) == [expected]
     assert evaluate(spark, ["a\nb"], lambda c: clean_text(c, replace_newlines_with="")) == ["ab"]
     assert evaluate(spark, ["a\r\n\t b"], lambda c: clean_text(c, replace_newlines_with="\t")) == ["a b"]
+
+
+def test_session_sizes():
+    from concordat.session import sized_conf
+
+    assert sized_conf(100 * 2**40, 4000)["spark.sql.shuffle.partitions"] == "819200"
+    assert sized_conf(1, 8)["spark.sql.shuffle.partitions"] == "16"

@@ -86,3 +86,10 @@ def test_coverage(spark, rows):
         ("d", False, False, False, True),
     ]
     assert rows(harmonize.coverage_counts(coverage)) == [(1, 1, 1, 2)]
+
+
+def test_nan_gives_way_to_the_other_source(spark, rows):
+    once = spark.createDataFrame([("a", float("nan")), ("b", 1.0)], "id string, v double")
+    quince = spark.createDataFrame([("a", 2.0), ("b", float("nan"))], "id string, v double")
+    merged = harmonize.harmonized_merge(once, quince, "id", ["v"], ["v"])
+    assert rows(merged, "id", "v", "v__source_conflict_flag") == [("a", 2.0, False), ("b", 1.0, False)]

@@ -69,3 +69,9 @@ def test_row_index_with_ties(spark):
     numbered = transform.with_row_index(df, ["k"], "i")
     assert sorted(r.i for r in numbered.collect()) == list(range(500))
     assert numbered.filter("(k = 0) != (i < 250)").isEmpty()
+
+
+def test_nameless_rows_need_an_order(spark):
+    df = spark.createDataFrame([(" ",)], "QUESTION_NAME string")
+    with pytest.raises(ValueError, match="order_by"):
+        transform.harmonize_variables(df, MAP, "once")
