@@ -134,3 +134,31 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_table(table(spark, sf_dir, "customer"), path)
     casts = {"c_custkey": "bigint", "c_acctbal": "numeric"}
     return cast_columns(read_table(spark, path), casts).select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+
+
+@query("select o_orderkey, o_orderstatus, round(o_totalprice, 2) as o_totalprice, o_orderpriority from orders")
+def tsv_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as tab-separated files, read back and cast."""
+    from concordat.operators.transform import cast_columns
+
+    path = f"{scratch(spark, 'tsv')}/orders"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    orders.write.option("header", True).option("sep", "\t").csv(path)
+    casts = {"o_orderkey": "bigint", "o_totalprice": "numeric"}
+    return cast_columns(read_table(spark, path, "tsv"), casts)
+
+
+@query(
+    """select cast(l_orderkey as varchar) as l_orderkey, cast(l_linenumber as varchar) as l_linenumber,
+           l_returnflag as flag, l_linestatus as flag_2 from lineitem"""
+)
+def two_row_header_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as an export of many files, each with its header row, two columns of one name."""
+    from concordat.sources import read_two_row_header
+
+    path = f"{scratch(spark, 'export')}/lines"
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    lines.toDF("l_orderkey", "l_linenumber", "flag", " flag").write.option("header", True).csv(path)
+    return read_two_row_header(
+        spark, path, demographics_column_end="B", demographics_header_row=1, clinical_header_row=1
+    )
