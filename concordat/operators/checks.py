@@ -42,35 +42,21 @@ SUITE = (COLUMN_STEP, DTYPE_STEP, MISSING_STEP, KEY_STEP, ALLOWED_STEP, RULE_STE
 
 
 class Values:
-    """Column expressions of a table by name, as they stand or cast to the declared types."""
+    """Column expressions of a table by name, as they stand or as the cast columns beside them."""
 
-    def __init__(self, schema: T.StructType, spec: DatasetSpec, coerce: bool):
+    def __init__(self, schema: T.StructType, spec: DatasetSpec, casts: Mapping[str, str] | None = None):
         self.types = {f.name: f.dataType for f in schema.fields}
         self.spec = spec
-        self.coerce = coerce
+        self.casts = casts or {}
 
     def __contains__(self, name: str) -> bool:
         return name in self.types
 
-    def target(self, name: str) -> str | None:
-        """Declared type when it is one the table is cast to."""
-        wanted = self.spec.expected_dtypes.get(name)
-        return wanted if wanted in ("numeric", "date", "string") else None
-
     def value(self, name: str) -> Column:
-        target = self.target(name) if self.coerce else None
-        raw = ref(name)
-        return raw if target is None else cast_to(raw, self.types[name], target, self.spec.date_formats)
+        return ref(self.casts.get(name, name))
 
     def data_type(self, name: str) -> T.DataType:
-        target = self.target(name) if self.coerce else None
-        if target == "numeric":
-            return T.DoubleType()
-        if target == "string":
-            return T.StringType()
-        if target == "date" and not isinstance(self.types[name], (T.TimestampType, T.TimestampNTZType)):
-            return T.DateType()
-        return self.types[name]
+        return cast_type(self.types[name], self.spec.expected_dtypes[name]) if name in self.casts else self.types[name]
 
     def number(self, name: str) -> Column:
         return as_number(self.value(name), self.data_type(name))
@@ -82,10 +68,30 @@ class Values:
         return is_missing(self.value(name), self.data_type(name))
 
 
+def cast_type(data_type: T.DataType, target: str | None) -> T.DataType:
+    """Type of a column once cast to its declared type; a column of another declaration keeps its own."""
+    if target == "numeric":
+        return T.DoubleType()
+    if target == "string":
+        return T.StringType()
+    if target == "date" and not isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        return T.DateType()
+    return data_type
+
+
+def declared_casts(schema: T.StructType, spec: DatasetSpec) -> dict[str, Column]:
+    """Casts of the columns whose declared type is not the one they have."""
+    return {
+        f.name: cast_to(ref(f.name), f.dataType, spec.expected_dtypes[f.name], spec.date_formats)
+        for f in schema.fields
+        if cast_type(f.dataType, spec.expected_dtypes.get(f.name)) != f.dataType
+    }
+
+
 def cast_expected_types(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Declared columns cast to their declared types, bad values to null, in one projection."""
-    values = Values(df.schema, spec, coerce=True)
-    return df.select(*[values.value(name).alias(name) for name in df.columns])
+    casts = declared_casts(df.schema, spec)
+    return df.select(*[casts.get(name, ref(name)).alias(name) for name in df.columns])
 
 
 # --- columns (schema only, no job) ------------------------------------------------------------
@@ -126,17 +132,17 @@ def validate_columns(df: DataFrame, spec: DatasetSpec) -> CheckResult:
 # --- probes per check -------------------------------------------------------------------------
 
 
-def _dtype_probes(raw: Values) -> list[Probe]:
-    """Values present but not castable, counted on the values as read."""
+def _dtype_probes(values: Values) -> list[Probe]:
+    """Values present as read, but not castable."""
     probes = []
-    for name, expected in raw.spec.expected_dtypes.items():
-        if name not in raw:
+    for name, expected in values.spec.expected_dtypes.items():
+        if name not in values:
             continue
-        observed = raw.types[name].simpleString()
+        observed = values.types[name].simpleString()
         condition, check = None, f"{expected}_cast"
         if expected in ("numeric", "date"):
-            parsed = raw.number(name) if expected == "numeric" else raw.date(name)
-            present = without_nan(ref(name), raw.types[name]).isNotNull()
+            parsed = values.number(name) if expected == "numeric" else values.date(name)
+            present = without_nan(ref(name), values.types[name]).isNotNull()
             condition = present & parsed.isNull()
         probes.append(
             Probe(
@@ -259,11 +265,11 @@ def rule_metrics(lines: DataFrame) -> DataFrame:
 
 
 def validate_dtypes(df: DataFrame, spec: DatasetSpec) -> CheckResult:
-    return _check(df, spec, DTYPE_STEP, _dtype_probes(Values(df.schema, spec, coerce=False)), dtype_metrics)
+    return _check(df, spec, DTYPE_STEP, _dtype_probes(Values(df.schema, spec)), dtype_metrics)
 
 
 def profile_missingness(df: DataFrame, spec: DatasetSpec) -> CheckResult:
-    probes = _missing_probes(Values(df.schema, spec, coerce=False))
+    probes = _missing_probes(Values(df.schema, spec))
     return _check(df, spec, MISSING_STEP, probes, missingness_metrics)
 
 
@@ -275,7 +281,7 @@ def run_business_rules(
     ``as_of`` stands for today. A comparison of dates with a null side passes; ``strict_nulls``
     makes it fail for rules without ``allow_na``.
     """
-    probes = _rule_probes(Values(df.schema, spec, coerce=False), as_of, strict_nulls)
+    probes = _rule_probes(Values(df.schema, spec), as_of, strict_nulls)
     return _check(df, spec, RULE_STEP, probes, rule_metrics)
 
 
@@ -388,7 +394,7 @@ def invalid_values(
 
     One scan for all columns; valid values are dropped before anything is shuffled.
     """
-    values = values or Values(df.schema, DatasetSpec(""), coerce=False)
+    values = values or Values(df.schema, DatasetSpec(""))
     lists = {c: [str(v).strip() if strip_allowed else str(v) for v in listed] for c, listed in allowed.items()}
     outside = {}
     for name, listed in lists.items():
@@ -468,7 +474,7 @@ def validate_required_fields(
         rows = [issue(dataset_id, stage, "missing_columns", ERROR, f"Missing required columns: {absent}")]
         empty = local_table(spark, [], "column_name string, missing_count long")
         return CheckResult(step, dataset_id, empty, issues_frame(spark, rows))
-    values = Values(df.schema, DatasetSpec(dataset_id), coerce=False)
+    values = Values(df.schema, DatasetSpec(dataset_id))
     probes = [
         Probe("required_fields", stage, "required_field_missing_values", WARNING,
               f"Column {c} has {{n}} missing/blank values", column_name=c, condition=values.missing(c))
@@ -492,7 +498,7 @@ def validate_ranges(
     df: DataFrame, range_rules: Mapping[str, Mapping[str, float]], dataset_id: str, stage: str = "business_rules"
 ) -> CheckResult:
     spark, step = df.sparkSession, f"{dataset_id}_ranges"
-    values = Values(df.schema, DatasetSpec(dataset_id), coerce=False)
+    values = Values(df.schema, DatasetSpec(dataset_id))
     absent, probes = [], []
     for name, bounds in range_rules.items():
         if name not in values:
@@ -551,15 +557,32 @@ class SuitePlan:
     strict_nulls: bool = False
     coerce: bool = True
 
+    @cached_property
+    def casts(self) -> dict[str, str]:
+        """Name of the cast column standing beside each column that needs one."""
+        names = declared_casts(self.df.schema, self.spec) if self.coerce else {}
+        return {name: f"__cast{i}" for i, name in enumerate(names)}
+
+    @cached_property
+    def prepared(self) -> DataFrame:
+        """The table with its cast columns beside it, so every value is parsed once for all checks."""
+        if not self.casts:
+            return self.df
+        casts = declared_casts(self.df.schema, self.spec)
+        return self.df.select("*", *[casts[name].alias(alias) for name, alias in self.casts.items()])
+
     @cached_property
     def values(self) -> Values:
-        return Values(self.df.schema, self.spec, self.coerce)
+        return Values(self.df.schema, self.spec, self.casts)
+
+    def curated(self, prepared: DataFrame) -> DataFrame:
+        """The cast table out of a prepared one."""
+        return prepared.select(*[ref(self.casts.get(name, name)).alias(name) for name in self.df.columns])
 
     @cached_property
     def probes(self) -> list[Probe]:
-        raw = Values(self.df.schema, self.spec, coerce=False)
         return [
-            *_dtype_probes(raw),
+            *_dtype_probes(self.values),
             *_missing_probes(self.values),
             *_rule_probes(self.values, self.as_of, self.strict_nulls),
             _sanity_probe(),
@@ -573,14 +596,14 @@ class SuitePlan:
         key = self.spec.primary_key
         if not key or key not in self.values:
             return {}
-        return key_metrics(self.df, key, self.values.value(key), self.values.data_type(key)).first().asDict()
+        return key_metrics(self.prepared, key, self.values.value(key), self.values.data_type(key)).first().asDict()
 
     @cached_property
     def domain_probes(self) -> list[Probe]:
         return _domain_probes([c for c in self.spec.allowed_values if c in self.values], "domain", with_info=False)
 
     def invalid_values(self) -> DataFrame:
-        return invalid_values(self.df, self.spec.allowed_values, values=self.values)
+        return invalid_values(self.prepared, self.spec.allowed_values, values=self.values)
 
     def invalid_counts(self) -> dict[str, Any]:
         """One row: the distinct bad values per column."""
@@ -721,5 +744,5 @@ def validate(
     """
     started_at = dt.datetime.now(dt.timezone.utc)
     plan = SuitePlan(df, spec, as_of, strict_nulls, coerce)
-    counts = df.agg(*plan.aggregates()).first().asDict()
+    counts = plan.prepared.agg(*plan.aggregates()).first().asDict()
     return suite_result(plan, counts, plan.key_counts(), plan.invalid_values(), plan.invalid_counts(), started_at)

@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..model import ERROR, STEP_ISSUE_SCHEMA, STEP_SCHEMA, DatasetSpec, MergeStep, issue, local_table
-from ..operators.checks import SuitePlan, SuiteResult, cast_expected_types, step_row, suite_result
+from ..operators.checks import SuitePlan, SuiteResult, step_row, suite_result
 from ..operators.headers import HeaderMapping, clean_base_table, domain_views, map_headers
 from ..operators.merge import INDICATOR, absent_keys, perform_merge
 from ..operators.reports import counts_by_stage, exclusion_totals, run_summary
@@ -126,9 +126,10 @@ def curate(
     started_at = _now()
     plan = SuitePlan(df, spec, as_of, strict_nulls, coerce=True)
     observation = Observation(f"{spec.dataset_id}_{uuid.uuid4().hex[:8]}")
-    write_table(cast_expected_types(df.observe(observation, *plan.aggregates()), spec), path)
+    table = plan.curated(plan.prepared.observe(observation, *plan.aggregates()))
+    write_table(table, path)
     counts = observation.get
-    curated = df.sparkSession.read.schema(cast_expected_types(df, spec).schema).parquet(path)
+    curated = df.sparkSession.read.schema(table.schema).parquet(path)
     written = SuitePlan(curated, spec, as_of, strict_nulls, coerce=False)
     return curated, suite_result(
         plan, counts, written.key_counts(), written.invalid_values(), written.invalid_counts(), started_at

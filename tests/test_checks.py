@@ -262,7 +262,7 @@ def test_suite_without_coercion_sees_text(spark):
 def test_fused_checks_scan_once(spark, plan_of, tmp_path):
     frame(spark, "id string, day string, score string, kind string", *SUITE_ROWS).write.parquet(str(tmp_path / "t"))
     plan = checks.SuitePlan(spark.read.parquet(str(tmp_path / "t")), SUITE)
-    text = plan_of(plan.df.agg(*plan.aggregates()))
+    text = plan_of(plan.prepared.agg(*plan.aggregates()))
     assert text.count("FileScan") == 1
     assert "Python" not in text
 
