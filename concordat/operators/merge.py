@@ -22,8 +22,11 @@ from .probes import Probe, probe_findings, probe_issues, run_probes
 INDICATOR = "_merge"
 HOW = ("left", "right", "inner", "outer", "cross")
 
-# Rows of one key beyond which the key is spread over several tasks, and the rows of such a slice.
+# A key is spread over several tasks when it has more than this many rows on a side, or joins to more
+# than a hundred times as many rows. The same numbers bound a slice.
 HOT_KEY_ROWS = 2_000_000
+HOT_KEY_FANOUT = 100
+MAX_SLICES = 4_096
 # The list of hot keys is broadcast, so its length is bounded. Keys past the bound are joined the
 # ordinary way, with nothing lost.
 MAX_HOT_KEYS = 1_000
@@ -193,16 +196,22 @@ def merge_issues(metrics: DataFrame, step_name: str) -> DataFrame:
 # --- the join ---------------------------------------------------------------------------------
 
 
+def _key_load(hot_rows: int) -> Column:
+    """How many slices' worth of work a key of the histogram is."""
+    left_n, right_n = F.col("left_n").cast("double"), F.col("right_n").cast("double")
+    return F.greatest(left_n, right_n, left_n * right_n / HOT_KEY_FANOUT) / hot_rows
+
+
 def find_hot_keys(histogram: DataFrame, on: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> list[Row]:
-    """Keys with more than ``hot_rows`` rows on a side, largest first: at most MAX_HOT_KEYS of them."""
-    larger = F.greatest("left_n", "right_n")
+    """Keys worth more than one slice, heaviest first: at most MAX_HOT_KEYS of them."""
+    load = _key_load(hot_rows)
     return (
-        histogram.filter(larger > hot_rows)
-        .orderBy(larger.desc())
+        histogram.filter(load > 1)
+        .orderBy(load.desc())
         .limit(MAX_HOT_KEYS)
         .select(
             *[ref(k) for k in on],
-            F.least(F.ceil(larger / hot_rows), F.lit(4096)).cast("int").alias("slices"),
+            F.least(F.ceil(load), F.lit(MAX_SLICES)).cast("int").alias("slices"),
             (F.col("left_n") >= F.col("right_n")).alias("split_left"),
             (F.least("left_n", "right_n") > 0).alias("on_both_sides"),
         )
@@ -213,8 +222,8 @@ def find_hot_keys(histogram: DataFrame, on: Sequence[str], hot_rows: int = HOT_K
 def hot_keys_of(left: DataFrame, right: DataFrame, on: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> list[Row]:
     """Hot keys of a join: one pass over the keys, and a second only where there are any."""
     histogram = key_histogram(left, right, on)
-    largest = histogram.agg(F.max(F.greatest("left_n", "right_n"))).first()[0] or 0
-    return find_hot_keys(histogram, on, hot_rows) if largest > hot_rows else []
+    heaviest = histogram.agg(F.max(_key_load(hot_rows))).first()[0] or 0
+    return find_hot_keys(histogram, on, hot_rows) if heaviest > 1 else []
 
 
 def _null_safe(pairs: Sequence[tuple[str, str]]) -> Column:
@@ -367,7 +376,7 @@ def perform_merge(
         metrics = merge_metrics(histogram, how, expected_cardinality, on)
         row = metrics.first().asDict()
         null_keys = {name: row.pop(name) for name in null_keys}
-        if row.pop("max_key_rows") > hot_rows:
+        if row.pop("max_key_rows") > hot_rows or row["max_key_fanout"] > hot_rows * HOT_KEY_FANOUT:
             hot = find_hot_keys(histogram, on, hot_rows)
     schema = T.StructType([f for f in metrics.schema.fields if f.name in row])
     return MergeResult(step_name, merge_rows(left, right, how, on, hot_keys=hot), row, null_keys, schema)

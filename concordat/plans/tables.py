@@ -18,6 +18,9 @@ from ..operators.reports import counts_by_stage, exclusion_totals, run_summary
 from ..sources import read_table_from_spec, validate_file_input, write_table
 
 
+# Partition folders that begin with an underscore are hidden from many readers.
+ORIGIN_PARTITION = "merge_origin"
+
 MERGE_METRICS_SCHEMA = (
     "step_name string, left_rows long, right_rows long, merged_rows long, both_count long, left_only_count long, "
     "right_only_count long, match_rate_against_left double, unmatched_left long, unmatched_right long, "
@@ -70,19 +73,23 @@ class WrittenMerge:
     """A merge as written: one table, partitioned by the origin of its rows."""
 
     path: str
-    merged: DataFrame
+    written: DataFrame
+
+    @property
+    def merged(self) -> DataFrame:
+        return self.written.withColumnRenamed(ORIGIN_PARTITION, INDICATOR)
 
     @property
     def table(self) -> DataFrame:
-        return self.merged.drop(INDICATOR)
+        return self.written.drop(ORIGIN_PARTITION)
 
     @property
     def left_only(self) -> DataFrame:
-        return self.merged.filter(F.col(INDICATOR) == "left_only").drop(INDICATOR)
+        return self.written.filter(F.col(ORIGIN_PARTITION) == "left_only").drop(ORIGIN_PARTITION)
 
     @property
     def right_only(self) -> DataFrame:
-        return self.merged.filter(F.col(INDICATOR) == "right_only").drop(INDICATOR)
+        return self.written.filter(F.col(ORIGIN_PARTITION) == "right_only").drop(ORIGIN_PARTITION)
 
 
 @dataclass
@@ -176,8 +183,9 @@ def merge_and_write(
             raise KeyError("; ".join(row[4] for row in absent_keys(left, right, step.on, step.name)))
         result = perform_merge(left, right, step.how, list(step.on), step.name, step.expected_relationship)
         path = f"{out_dir}/{step.name}.parquet"
-        write_table(result.merged, path, partition_by=[INDICATOR])
-        written[step.name] = WrittenMerge(path, spark.read.schema(result.merged.schema).parquet(path))
+        table = result.merged.withColumnRenamed(INDICATOR, ORIGIN_PARTITION)
+        write_table(table, path, partition_by=[ORIGIN_PARTITION])
+        written[step.name] = WrittenMerge(path, spark.read.schema(table.schema).parquet(path))
         working[step.name] = written[step.name].table
         log.add_step(
             f"{step.name}_merge_key_validation", step.name, result.key_findings(), result.null_keys, started_at

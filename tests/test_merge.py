@@ -196,3 +196,16 @@ def test_chain(spark, rows):
     assert rows(results["all"].table) == [("P1", "d1", None, None), ("P1", "d2", 5, None), ("P2", None, 6, "Y")]
     assert [r.check_name for r in results["all"].issues.collect()] == ["cardinality_mismatch"]
     assert results["pvl"].issues.isEmpty()
+
+
+def test_keys_with_a_large_fan_out_are_spread_too(spark):
+    left = spark.range(0, 60, numPartitions=4).select(F.lit("k").alias("k"), F.col("id").alias("l"))
+    right = spark.range(0, 50, numPartitions=4).select(F.lit("k").alias("k"), F.col("id").alias("r"))
+    hot = merge.hot_keys_of(left, right, ["k"], hot_rows=10)
+    assert [(r.slices, r.split_left) for r in hot] == [(6, True)]
+    # 3000 joined rows are more than a hundred times 25, and 60 rows more than twice as many
+    assert [r.slices for r in merge.hot_keys_of(left, right, ["k"], hot_rows=25)] == [3]
+    assert [r.slices for r in merge.hot_keys_of(left.limit(20), right, ["k"], hot_rows=60)] == []
+    merged = merge.perform_merge(left, right, "outer", ["k"], "demo", hot_rows=10).merged
+    assert merged.count() == merged.distinct().count() == 3000
+    assert merge.hot_keys_of(left, right, ["k"]) == []

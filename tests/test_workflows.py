@@ -102,7 +102,7 @@ def test_tables_are_curated_judged_merged_and_reported(spark, specs, tmp_path, r
 def test_unmatched_rows_are_read_from_their_own_partition(spark, specs, tmp_path, plan_of):
     run = plans.curate_and_merge(spark, specs, STEPS, out_dir=str(tmp_path / "out"), as_of=AS_OF)
     text = plan_of(run.merges["patient_visits_labs"].left_only)
-    assert "PartitionFilters: [isnotnull(_merge" in text
+    assert "PartitionFilters: [isnotnull(merge_origin" in text
 
 
 def test_an_absent_file_is_an_error_and_its_merges_are_skipped(spark, specs, tmp_path):
