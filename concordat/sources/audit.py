@@ -64,48 +64,55 @@ def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": batch["path"], "sha256": digests})
 
 
-def file_hashes(
-    spark: SparkSession, path: str | Sequence[str], recursive: bool = True, content_limit: int = CONTENT_LIMIT
-) -> DataFrame:
-    """Path and SHA-256 of every file, of any size."""
-    files = _binary(spark, path, recursive)
+def _content_hashes(files: DataFrame, content_limit: int) -> DataFrame:
     small = files.filter(F.col("length") <= content_limit).select("path", F.sha2("content", 256).alias("sha256"))
     large = files.filter(F.col("length") > content_limit).select("path")
-    # files without a byte
-    empty = _with_empty_files(files).filter(F.col("length") == 0)
-    small = small.unionByName(empty.select("path", F.sha2(F.lit("").cast("binary"), 256).alias("sha256")))
     # one file per task where there are that many cores: hashing a large file is serial
     spread = large.repartition("path")
     return small.unionByName(spread.mapInPandas(_stream_hashes, "path string, sha256 string"))
 
 
 def collect_file_metadata(
-    spark: SparkSession, path: str | Sequence[str], include_hash: bool = True, recursive: bool = True
+    spark: SparkSession,
+    path: str | Sequence[str],
+    include_hash: bool = True,
+    recursive: bool = True,
+    content_limit: int = CONTENT_LIMIT,
 ) -> DataFrame:
     metadata = audit_files(spark, path, recursive)
     if not include_hash:
         return metadata
-    return metadata.join(file_hashes(spark, path, recursive), "path", "left")
+    hashes = _content_hashes(_binary(spark, path, recursive), content_limit)
+    no_bytes = F.when(F.col("size_bytes") == 0, F.sha2(F.lit("").cast("binary"), 256))
+    joined = metadata.join(hashes, "path", "left")
+    return joined.withColumn("sha256", F.coalesce("sha256", no_bytes))
+
+
+def file_hashes(
+    spark: SparkSession, path: str | Sequence[str], recursive: bool = True, content_limit: int = CONTENT_LIMIT
+) -> DataFrame:
+    """Path and SHA-256 of every file, of any size."""
+    return collect_file_metadata(spark, path, True, recursive, content_limit).select("path", "sha256")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _listed_files(spark: SparkSession, path: str) -> list[str] | None:
+    """Files the listing finds under a path; None when there is no such path."""
     try:
-        _binary(spark, path, False)
+        return _binary(spark, path, True).inputFiles()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return None
         raise
-    return True
 
 
 def validate_file_exists(
     spark: SparkSession, path: str, dataset_id: str, stage: str = "input", with_info: bool = True
 ) -> tuple[bool, DataFrame]:
     """A table may be a file or a folder of files; a folder without any counts as absent."""
-    rows = []
-    if not _exists(spark, path):
+    rows, files = [], _listed_files(spark, path)
+    if files is None:
         rows.append(issue(dataset_id, stage, "file_exists", ERROR, f"Missing file: {path}"))
-    elif audit_files(spark, path).isEmpty():
+    elif not files:
         rows.append(issue(dataset_id, stage, "is_file", ERROR, f"Path is not a file: {path}"))
     elif with_info:
         rows.append(issue(dataset_id, stage, "file_exists", INFO, f"Input file located: {path}"))
