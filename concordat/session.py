@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +20,10 @@ RECOMMENDED_CONF = {
 }
 
 
+#: Stored tables not yet removed, by path.
+_STORED: dict[str, DataFrame] = {}
+
+
 def sized_conf(shuffled_bytes: int, cores: int, partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
     """Settings that keep a partition of the largest shuffle near ``partition_bytes``.
 
@@ -45,13 +49,13 @@ def build_session(app_name: str = "concordat", master: str | None = None, **conf
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without one (tests) gets a temporary folder.
+    Only a local session without one gets a folder of its own, below the warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="concordat-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     return configured.rstrip("/")
 
 
@@ -59,8 +63,23 @@ def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df``: write it to the shared folder and read it from there.
 
     A lost executor then costs a read, not the work before, and each later use reads only the
-    columns it needs.
+    columns it needs. ``discard`` removes the table, ``discard_all`` those of the whole session.
     """
     path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _STORED[path] = table
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``stored`` wrote and nothing reads any more."""
+    for path in [p for p, kept in _STORED.items() if any(kept is t for t in tables)]:
+        spark = _STORED.pop(path).sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard_all() -> None:
+    """Remove every stored table, at the end of a run whose results are written."""
+    discard(*_STORED.values())
