@@ -119,7 +119,8 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", least_words: int = 5
 
     The earliest copy of a run stays. Every row stays; one whose lines all go has an empty text. A null text stays
     null and has no lines. Rows that are equal in id and text are one document, and get the same text; null ids come
-    before all others. Columns of the input keep their names and order, whatever they are.
+    before all others. Columns of the input keep their names and order;
+    the two added come last, with underscores before their names if those are taken.
     """
     found = stored(repeated_lines(docs, id_column, least_words))
     names = {n: free_name(docs, f"{n}_of") for n in ("id", "th", "lines")}
@@ -131,9 +132,8 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", least_words: int = 5
     text = F.when(gone.isNull(), docs["text"]).otherwise(F.array_join(F.transform(left, lambda n: F.get(units, n)), "\n"))
     size = F.when(F.trim(F.coalesce(docs["text"], F.lit(""))) == "", 0).otherwise(F.size(units)).cast("long")
     columns = [text.alias("text") if c == "text" else docs[c] for c in docs.columns]
-    extra = [c for c in ("n_lines", "n_deleted") if c not in docs.columns]
-    added = {"n_lines": size, "n_deleted": F.coalesce(F.size(gone), F.lit(0)).cast("long")}
-    return joined.select(*columns, *(added[c].alias(c) for c in extra))
+    count = F.coalesce(F.size(gone), F.lit(0)).cast("long")
+    return joined.select(*columns, size.alias(free_name(docs, "n_lines")), count.alias(free_name(docs, "n_deleted")))
 
 
 def line_dedup_sql(documents: str = "documents", least_words: int = 50) -> str:

@@ -69,7 +69,7 @@ def poisson_mixture(
 
     The number comes from inverting the Poisson distribution, whose mean is the target repetition rate of the document's
     group, at a uniform number from the hash of seed and key: a task that runs again draws the same, and a document's
-    number changes only with its rate. Columns added: ``copy`` (unique within a document, from 1 without gaps up to a
+    number changes only with its rate. Columns added last (with underscores before them if taken): ``copy`` (unique within a document, from 1 without gaps up to a
     mean of 16) and ``shuffle_key``, by whose hash copies are dealt over partitions and by which they are sorted there.
 
     ``size`` is the UTF-8 length of the text plus one (one for null) unless given. Repeated rows of one key are repeated
@@ -80,6 +80,7 @@ def poisson_mixture(
         size = F.octet_length(F.coalesce("text", F.lit(""))) + 1
     rates = repetition_rates(docs, group, size, weights, budget)
     names = {n: free_name(docs, n) for n in ("group", "rate", "parts", "steps", "part", "number")}
+    copy, order = free_name(docs, "copy"), free_name(docs, "shuffle_key")
     rates = rates.select(*(F.col(n).alias(names[n]) for n in ("group", "rate", "parts", "steps")))
     part, number = names["part"], names["number"]
     joined = docs.join(rates, docs[group].eqNullSafe(rates[names["group"]]))
@@ -88,10 +89,10 @@ def poisson_mixture(
     count = F.size(F.filter(names["steps"], lambda x: x <= F.col(number)))
     counted = drawn.withColumn(number, count).where(F.col(number) > 0)
     numbers = F.explode(F.sequence(F.lit(1).cast("long"), F.col(number).cast("long")))
-    copies = counted.withColumn("copy", numbers).withColumn("copy", F.col("copy") + F.col(part) * PART_COPIES)
-    text = F.concat_ws(":", F.lit(seed).cast("string"), F.lit("order"), F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col("copy").cast("string"))
-    keyed = copies.withColumn("shuffle_key", F.substring(F.md5(text.cast("binary")), 1, 16)).drop(*names.values())
-    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key", key)
+    copies = counted.withColumn(copy, numbers).withColumn(copy, F.col(copy) + F.col(part) * PART_COPIES)
+    text = F.concat_ws(":", F.lit(seed).cast("string"), F.lit("order"), F.coalesce(F.col(key).cast("string"), F.lit("null")), F.col(copy).cast("string"))
+    keyed = copies.withColumn(order, F.substring(F.md5(text.cast("binary")), 1, 16)).drop(*names.values())
+    return keyed.repartition(order).sortWithinPartitions(order, key)
 
 
 def mixture_sql(documents: str = "documents", seed: int = 42, columns: str = "d.*") -> str:

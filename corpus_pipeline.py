@@ -18,7 +18,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs are deleted; a document whose lines all go stays with an empty text."""
     done = linededup.dedup_lines(docs)
-    length = F.when(F.col("n_deleted") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    length = F.when(F.col(done.columns[-1]) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return done.withColumn("n_chars", length).select(*docs.columns)
 
 
