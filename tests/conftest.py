@@ -9,11 +9,12 @@ from concordat import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared").as_uri()
     session = build_session(
         "tests",
         "local[4]",
-        **{"spark.sql.shuffle.partitions": "3", "spark.ui.enabled": "false", "spark.default.parallelism": "2"},
+        **{"spark.sql.shuffle.partitions": "3", "spark.ui.enabled": "false", "spark.default.parallelism": "2", "spark.checkpoint.dir": shared},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
