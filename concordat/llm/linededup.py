@@ -124,7 +124,8 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", least_words: int = 5
     """
     found = stored(repeated_lines(docs, id_column, least_words))
     names = {n: free_name(docs, f"{n}_of") for n in ("id", "th", "lines")}
-    found = found.select(*(F.col(n).alias(v) for n, v in names.items()))
+    # the same join at every size: the texts are shuffled once, and no table is sent to all tasks
+    found = found.select(*(F.col(n).alias(v) for n, v in names.items())).hint("merge")
     same = (F.coalesce(docs[id_column].cast("long"), F.lit(LOWEST)) == F.col(names["id"])) & (F.xxhash64(docs["text"]) == F.col(names["th"]))
     joined = docs.join(found, same, "left")
     units, gone = line_units(docs["text"]), F.col(names["lines"])
