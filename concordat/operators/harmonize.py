@@ -12,7 +12,6 @@ from ..model import local_table
 from .merge import HOT_KEY_ROWS, hot_keys_of, merge_rows
 
 SOURCES = ("once", "quince")
-MAX_VARIABLES = 100_000
 
 
 def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
@@ -88,11 +87,9 @@ def codebook_questions(
     review_column: str = "needs_review",
     order_by: Sequence[str] | None = None,
 ) -> tuple[list[str], set[str]]:
-    """Names that become columns, so they must be known here: a schema, checked to be of schema size."""
+    """Names that become columns, so they must be known here: they are the schema of the result."""
     ordered = codebook.orderBy(*[ref(c) for c in order_by or [question_name_column]])
-    rows = ordered.select(ref(question_name_column), ref(review_column)).take(MAX_VARIABLES + 1)
-    if len(rows) > MAX_VARIABLES:
-        raise ValueError(f"The codebook names more than {MAX_VARIABLES} variables")
+    rows = ordered.select(ref(question_name_column), ref(review_column)).collect()
     return [r[0] for r in rows], {r[0] for r in rows if r[1]}
 
 

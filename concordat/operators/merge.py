@@ -7,6 +7,7 @@ yields every metric without running the join, as well as the keys hot enough to
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -26,10 +27,6 @@ HOW = ("left", "right", "inner", "outer", "cross")
 # than a hundred times as many rows. The same numbers bound a slice.
 HOT_KEY_ROWS = 2_000_000
 HOT_KEY_FANOUT = 100
-MAX_SLICES = 4_096
-# The list of hot keys is broadcast, so its length is bounded. Keys past the bound are joined the
-# ordinary way, with nothing lost.
-MAX_HOT_KEYS = 1_000
 
 # An expectation that several observed cardinalities satisfy.
 EXPECTATIONS = {"one_to_one_or_many": ("one_to_one", "one_to_many")}
@@ -203,15 +200,15 @@ def _key_load(hot_rows: int) -> Column:
 
 
 def find_hot_keys(histogram: DataFrame, on: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> list[Row]:
-    """Keys worth more than one slice, heaviest first: at most MAX_HOT_KEYS of them."""
+    """Keys worth more than one slice, heaviest first: no more than rows divided by ``hot_rows``, or pairs by its
+    hundredfold."""
     load = _key_load(hot_rows)
     return (
         histogram.filter(load > 1)
         .orderBy(load.desc())
-        .limit(MAX_HOT_KEYS)
         .select(
             *[ref(k) for k in on],
-            F.least(F.ceil(load), F.lit(MAX_SLICES)).cast("int").alias("slices"),
+            F.ceil(load).cast("int").alias("slices"),
             (F.col("left_n") >= F.col("right_n")).alias("split_left"),
             (F.least("left_n", "right_n") > 0).alias("on_both_sides"),
         )
@@ -232,16 +229,18 @@ def _null_safe(pairs: Sequence[tuple[str, str]]) -> Column:
 
 def _sliced(side: DataFrame, keys: Sequence[str], hot: DataFrame, splits: Column, slice_name: str) -> DataFrame:
     """Give every row its slice: 0 for ordinary keys; of a hot key, the larger side is dealt out by
-    input partition and the smaller side is copied to every slice.
+    row hash and input partition, and the smaller side is copied to every slice.
 
-    The input partition of a row does not change when a task runs again, so neither does its slice.
+    Neither the hash of a row nor its input partition changes when a task runs again, so its slice does not. The hash
+    spreads a key whose rows lie in one partition; the partition spreads rows that are equal.
     """
+    hashed = [f.name for f in side.schema if not re.search("map<|variant", f.dataType.simpleString())]
     tagged = (
-        side.withColumn("__pid", F.spark_partition_id())
-        .join(F.broadcast(hot), _null_safe([(k, f"h{i}") for i, k in enumerate(keys)]), "left")
+        side.withColumn("__pid", F.xxhash64(*hashed) + F.spark_partition_id())
+        .join(hot, _null_safe([(k, f"h{i}") for i, k in enumerate(keys)]), "left")
     )
     slices = F.col("slices")
-    dealt = F.array(F.pmod(F.col("__pid"), slices))
+    dealt = F.array(F.pmod(F.col("__pid"), slices).cast("int"))
     everywhere = F.sequence(F.lit(0), slices - 1)
     chosen = F.when(slices.isNull(), F.array(F.lit(0))).when(splits, dealt).otherwise(everywhere)
     return tagged.withColumn(slice_name, F.explode(chosen)).select(
@@ -283,7 +282,8 @@ def merge_rows(
         joined = marked_left.join(marked_right, _null_safe(list(zip(l_keys, r_keys))), how)
     else:
         spark = left.sparkSession
-        key_types = [left.schema[k].dataType.simpleString() for k in on]
+        keys_of_both = left.select(*[ref(k) for k in on]).union(right.select(*[ref(k) for k in on]))
+        key_types = [f.dataType.simpleString() for f in keys_of_both.schema]
         fields = [f"h{i} {t}" for i, t in enumerate(key_types)]
         columns_of_hot = ", ".join([*fields, "slices int, split_left boolean, on_both_sides boolean"])
         hot = local_table(spark, [tuple(r) for r in hot_keys], columns_of_hot)
