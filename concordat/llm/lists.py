@@ -32,12 +32,13 @@ def star(size: int, rows: np.ndarray, others: np.ndarray) -> np.ndarray:
     return label
 
 
-def link_lists(postings: DataFrame, key: str, kernel: Kernel, schema: str, block: int = 1024) -> DataFrame:
+def link_lists(postings: DataFrame, key: str, kernel: Kernel, schema: str, block: int = 1024, many: Callable[[pd.DataFrame], pd.DataFrame] | None = None) -> DataFrame:
     """Rows that ``kernel(list, None)`` gives for every list (rows of equal ``key``) of two or more.
 
     The lists are streamed from one sorted shuffle. A list longer than ``block`` is not held: its rows come out again
     with the number of their block, and each two blocks then meet in a task of their own (``kernel(left, right)``,
     or ``kernel(block, None)`` for a block with itself). Memory is bounded by two blocks, and no rows are dropped.
+    Where many lists are short, ``many`` saves calls: it is given whole lists together, sorted by key, four blocks or so.
     """
     out = T.StructType.fromDDL(schema)
     again = T.StructType([T.StructField(f"_{f.name}", f.dataType) for f in postings.schema] + [T.StructField("_block", T.IntegerType())])
@@ -51,14 +52,31 @@ def link_lists(postings: DataFrame, key: str, kernel: Kernel, schema: str, block
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []  # rows of the key that the next batch may go on with
         rows, last, spilt = 0, None, 0
+        ready: list[pd.DataFrame] = []  # whole lists for ``many``
+        waiting = 0
 
         def overflow(part: pd.DataFrame, start: int) -> pd.DataFrame:
             part = part.set_axis([f"_{c}" for c in columns], axis=1)
             return shaped(part.assign(_block=(start + np.arange(len(part))) // block))
 
         def end() -> Iterator[pd.DataFrame]:
-            if not spilt and rows > 1:
+            nonlocal waiting
+            if spilt or rows < 2:
+                return
+            if many is None:
                 yield shaped(kernel(pd.concat(held, ignore_index=True), None))
+            else:
+                ready.extend(held)
+                waiting += rows
+                if waiting >= 4 * block:
+                    yield from flush()
+                    waiting = 0
+
+        def flush() -> Iterator[pd.DataFrame]:
+            if ready:
+                lists = pd.concat(ready, ignore_index=True)
+                ready.clear()
+                yield shaped(many(lists))
 
         for batch in batches:
             if not len(batch):
@@ -79,6 +97,7 @@ def link_lists(postings: DataFrame, key: str, kernel: Kernel, schema: str, block
                         spilt += len(x)
                     held = []
         yield from end()
+        yield from flush()
 
     found = postings.repartition(key).sortWithinPartitions(key).mapInPandas(walk, fields)
     found = stored(found)
