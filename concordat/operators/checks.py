@@ -687,14 +687,18 @@ def suite_result(
     absent, extra = column_differences(plan.df, spec)
     metrics = {
         COLUMN_STEP: {"n_columns": width, "missing_required_count": len(absent), "unexpected_count": len(extra)},
-        DTYPE_STEP: {f"{r[0]}.invalid_count": r[3] for r in types},
-        MISSING_STEP: {f"{r[0]}.missing_count": r[1] for r in missing},
+        DTYPE_STEP: {
+            f"{r[0]}.{key}": value
+            for r in types
+            for key, value in zip(("expected_type", "observed_type", "invalid_count"), r[1:])
+        },
+        MISSING_STEP: {f"{r[0]}.{key}": value for r in missing for key, value in zip(("missing_count", "missing_pct"), r[1:])},
         KEY_STEP: key_row,
         ALLOWED_STEP: {
             f"{probe.column_name}.invalid_values": invalid_counts.get(probe.counted_as(i))
             for i, probe in enumerate(plan.domain_probes)
         },
-        RULE_STEP: {f"{r[0]}.failing_rows": r[2] for r in rules},
+        RULE_STEP: {f"{r[0]}.{key}": value for r in rules for key, value in zip(("rule_type", "failing_rows"), r[1:])},
         SANITY_STEP: {"n_rows": n_rows, "n_columns": width},
     }
     steps = [

@@ -27,6 +27,8 @@ HOW = ("left", "right", "inner", "outer", "cross")
 # than a hundred times as many rows. The same numbers bound a slice.
 HOT_KEY_ROWS = 2_000_000
 HOT_KEY_FANOUT = 100
+# The largest long: what a count beyond it is reported as.
+MOST_ROWS = 2**63 - 1
 
 # An expectation that several observed cardinalities satisfy.
 EXPECTATIONS = {"one_to_one_or_many": ("one_to_one", "one_to_many")}
@@ -88,6 +90,11 @@ def key_histogram(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataF
     return both.groupBy(*keys).agg(F.sum("l").alias("left_n"), F.sum("r").alias("right_n"))
 
 
+def _wide(count: Column) -> Column:
+    """A count whose products and sums are exact, where those of longs overflow."""
+    return count.cast("decimal(19,0)")
+
+
 def merge_metrics(
     histogram: DataFrame, how: str, expected_cardinality: str | None = None, on: Sequence[str] = ()
 ) -> DataFrame:
@@ -97,6 +104,7 @@ def merge_metrics(
     """
     left_n, right_n = F.col("left_n"), F.col("right_n")
     zero = F.lit(0).cast("long")
+    pairs = _wide(left_n) * _wide(right_n)
 
     def total(value: Column) -> Column:
         return F.coalesce(F.sum(value), F.lit(0))
@@ -111,12 +119,12 @@ def merge_metrics(
     sums = histogram.agg(
         total(left_n).alias("left_rows"),
         total(right_n).alias("right_rows"),
-        total(left_n * right_n).alias("both_count"),
+        total(pairs).alias("both_count"),
         (total(F.when(right_n == 0, left_n)) if how in ("left", "outer") else zero).alias("left_only_count"),
         (total(F.when(left_n == 0, right_n)) if how in ("right", "outer") else zero).alias("right_only_count"),
         total(F.when(left_n > 1, left_n - 1)).alias("left_repeats"),
         total(F.when(right_n > 1, right_n - 1)).alias("right_repeats"),
-        F.coalesce(F.max(left_n * right_n), zero).alias("max_key_fanout"),
+        F.coalesce(F.max(pairs), zero).alias("max_key_fanout"),
         *extras,
     )
     merged = F.col("both_count") + F.col("left_only_count") + F.col("right_only_count")
@@ -128,7 +136,7 @@ def cross_metrics(left: DataFrame, right: DataFrame, expected_cardinality: str |
     rows, none = F.count(F.lit(1)), F.lit(0).cast("long")
     counted = left.agg(rows.alias("l"), none.alias("r")).unionByName(right.agg(none.alias("l"), rows.alias("r")))
     sides = counted.agg(F.sum("l").alias("left_rows"), F.sum("r").alias("right_rows"))
-    product = F.col("left_rows") * F.col("right_rows")
+    product = _wide(F.col("left_rows")) * _wide(F.col("right_rows"))
     sums = sides.select(
         "left_rows", "right_rows", product.alias("both_count"), none.alias("left_only_count"),
         none.alias("right_only_count"), F.greatest(F.col("left_rows") - 1, none).alias("left_repeats"),
@@ -146,23 +154,28 @@ def _finish_metrics(sums: DataFrame, expected: str | None) -> DataFrame:
         F.when(repeats[1], F.lit("many")).otherwise(F.lit("one")),
     )
     larger = F.greatest("left_rows", "right_rows")
+
+    def counted(value: Column) -> Column:
+        """An exact count as a long; the largest long stands for all beyond it."""
+        return F.least(value, F.lit(MOST_ROWS)).cast("long")
+
     accepted = EXPECTATIONS.get(expected, (expected,)) if expected else None
     meets = observed.isin(*accepted) if accepted else F.lit(None).cast("boolean")
     return sums.select(
         "left_rows",
         "right_rows",
-        "merged_rows",
-        "both_count",
+        counted(F.col("merged_rows")).alias("merged_rows"),
+        counted(F.col("both_count")).alias("both_count"),
         "left_only_count",
         "right_only_count",
-        F.round(F.col("both_count") / F.greatest(F.col("left_rows"), F.lit(1)), 4).alias("match_rate_against_left"),
+        F.round(F.col("both_count").cast("double") / F.greatest(F.col("left_rows"), F.lit(1)), 4).alias("match_rate_against_left"),
         F.col("left_only_count").alias("unmatched_left"),
         F.col("right_only_count").alias("unmatched_right"),
-        F.greatest(F.col("merged_rows") - larger, F.lit(0)).alias("unexpected_duplication"),
+        counted(F.greatest(F.col("merged_rows") - larger, F.lit(0))).alias("unexpected_duplication"),
         observed.alias("observed_cardinality"),
         F.lit(expected).cast("string").alias("expected_cardinality"),
         meets.alias("cardinality_matches_expectation"),
-        "max_key_fanout",
+        counted(F.col("max_key_fanout")).alias("max_key_fanout"),
         *[c for c in ("left_null_keys", "right_null_keys", "max_key_rows") if c in sums.columns],
     )
 
@@ -170,6 +183,11 @@ def _finish_metrics(sums: DataFrame, expected: str | None) -> DataFrame:
 def merge_findings(metrics: Mapping[str, Any], step_name: str) -> list[tuple]:
     """Issue rows of one metrics row."""
     rows, extra = [], metrics["unexpected_duplication"]
+    if metrics["merged_rows"] >= MOST_ROWS:
+        rows.append(
+            issue(step_name, "merge", "merged_rows_overflow", ERROR,
+                  "Merged table would have more rows than can be counted", row_count=MOST_ROWS)
+        )
     if extra > 0:
         rows.append(
             issue(step_name, "merge", "unexpected_duplication", WARNING,

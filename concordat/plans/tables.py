@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from ..model import ERROR, STEP_ISSUE_SCHEMA, STEP_SCHEMA, DatasetSpec, MergeStep, issue, local_table
 from ..operators.checks import SuitePlan, SuiteResult, step_row, suite_result
 from ..operators.headers import HeaderMapping, clean_base_table, domain_views, map_headers
-from ..operators.merge import INDICATOR, absent_keys, perform_merge
+from ..operators.merge import INDICATOR, MOST_ROWS, absent_keys, perform_merge
 from ..operators.reports import counts_by_stage, exclusion_totals, run_summary
 from ..sources import read_table_from_spec, validate_file_input, write_table
 
 
 # Partition folders that begin with an underscore are hidden from many readers.
 ORIGIN_PARTITION = "merge_origin"
+# Fixed value: the step that maps the headers of a wide export.
+NORMALIZATION_STEP = "single_workbook_normalization"
 
 MERGE_METRICS_SCHEMA = (
     "step_name string, left_rows long, right_rows long, merged_rows long, both_count long, left_only_count long, "
@@ -181,7 +183,13 @@ def merge_and_write(
         left, right = working[step.left], working[step.right]
         if any(key not in left.columns or key not in right.columns for key in step.on):
             raise KeyError("; ".join(row[4] for row in absent_keys(left, right, step.on, step.name)))
+        if ORIGIN_PARTITION in {c.lower() for c in (*left.columns, *right.columns)}:
+            raise ValueError(f"Step {step.name}: rename column {ORIGIN_PARTITION!r}, which names the origin of merged rows")
         result = perform_merge(left, right, step.how, list(step.on), step.name, step.expected_relationship)
+        if result.metrics_row["merged_rows"] >= MOST_ROWS:  # the audit says so; the join would never end
+            log.add_step(f"{step.name}_merge", step.name, result.findings(), result.metrics_row, started_at)
+            rows.append((step.name, *result.metrics_row.values()))
+            continue
         path = f"{out_dir}/{step.name}.parquet"
         table = result.merged.withColumnRenamed(INDICATOR, ORIGIN_PARTITION)
         write_table(table, path, partition_by=[ORIGIN_PARTITION])
@@ -204,6 +212,7 @@ def curate_and_merge(
     *,
     out_dir: str,
     tables: Mapping[str, DataFrame] | None = None,
+    normalization: HeaderMapping | None = None,
     run_id: str | None = None,
     as_of: dt.date | None = None,
     strict_nulls: bool = False,
@@ -212,10 +221,18 @@ def curate_and_merge(
 ) -> RunResult:
     """Judge, cast and write each table, then merge them by plan and write the reports.
 
-    ``tables`` stands in for the files of the specs it names (the domains of a wide export).
+    ``tables`` stands in for the files of the specs it names (the domains of a wide export). ``normalization`` is the
+    header mapping they come from: its counts and findings enter the run, and its audit is written.
     """
     run_id = run_id or new_run_id()
     root, log = f"{out_dir}/{run_id}", RunLog(spark)
+    if normalization is not None:
+        started_at, audit = _now(), f"{root}/reports/header_mapping.parquet"
+        write_table(normalization.audit, audit)
+        log.add_step(
+            NORMALIZATION_STEP, None, [tuple(row) for row in normalization.issues.collect()],
+            normalization.metrics.first().asDict(), started_at, {"header_mapping": audit},
+        )
     given = dict(tables or {})
     curated: dict[str, DataFrame] = {}
     invalid: dict[str, DataFrame] = {}

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator, Sequence
-from urllib.parse import quote, unquote
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -16,6 +15,8 @@ FILE_COLUMNS = ("path", "name", "size_bytes", "modified_at", "suffix")
 # Files up to this size are hashed from their content column; larger ones are streamed.
 CONTENT_LIMIT = 64 * 1024 * 1024
 CHUNK_BYTES = 4 * 1024 * 1024
+# Names that Spark and the streaming library give to the same store.
+STREAM_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 def audit_files(spark: SparkSession, path: str | Sequence[str], recursive: bool = True) -> DataFrame:
@@ -47,29 +48,37 @@ def _with_empty_files(files: DataFrame) -> DataFrame:
     return found.unionByName(empty.withColumn("length", F.lit(0).cast("long")), allowMissingColumns=True)
 
 
-def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """SHA-256 of files too large for one content value, a chunk at a time."""
-    from pyarrow import fs
-
-    for batch in batches:
-        digests = []
-        for uri in batch["path"]:
-            scheme, _, location = uri.partition(":")
-            filesystem, location = fs.FileSystem.from_uri(f"{scheme}:{quote(location)}")
-            digest = hashlib.sha256()
-            with filesystem.open_input_stream(location) as stream:
-                while chunk := stream.read(CHUNK_BYTES):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield pd.DataFrame({"path": batch["path"], "sha256": digests})
-
-
 def _content_hashes(files: DataFrame, content_limit: int) -> DataFrame:
     small = files.filter(F.col("length") <= content_limit).select("path", F.sha2("content", 256).alias("sha256"))
     large = files.filter(F.col("length") > content_limit).select("path")
+    chunk_bytes, schemes = CHUNK_BYTES, dict(STREAM_SCHEMES)
+
+    # built here, so that it travels to the workers by value: they need not have this package
+    def stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """SHA-256 of files too large for one content value, a chunk at a time."""
+        import hashlib
+        from urllib.parse import quote
+
+        from pyarrow import fs
+
+        for batch in batches:
+            digests = []
+            for uri in batch["path"]:
+                scheme, _, location = uri.partition(":")
+                try:
+                    filesystem, location = fs.FileSystem.from_uri(f"{schemes.get(scheme, scheme)}:{quote(location)}")
+                except Exception as error:
+                    raise ValueError(f"Cannot stream {uri} to hash it: {error}") from error
+                digest = hashlib.sha256()
+                with filesystem.open_input_stream(location) as stream:
+                    while chunk := stream.read(chunk_bytes):
+                        digest.update(chunk)
+                digests.append(digest.hexdigest())
+            yield batch[["path"]].assign(sha256=digests)
+
     # one file per task where there are that many cores: hashing a large file is serial
     spread = large.repartition("path")
-    return small.unionByName(spread.mapInPandas(_stream_hashes, "path string, sha256 string"))
+    return small.unionByName(spread.mapInPandas(stream_hashes, "path string, sha256 string"))
 
 
 def collect_file_metadata(

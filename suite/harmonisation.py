@@ -13,9 +13,9 @@ REVIEW = {"brand", "code", "only_once", "nowhere"}
 
 
 def once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of the smaller sizes."""
-    return table(spark, sf_dir, "part").filter("p_size <= 40").select(
-        F.col("p_partkey").alias("patient_id"),
+    """All parts, those of the largest sizes under keys of their own."""
+    return table(spark, sf_dir, "part").select(
+        F.when(F.col("p_size") > 40, -F.col("p_partkey")).otherwise(F.col("p_partkey")).alias("patient_id"),
         F.col("p_brand").alias("brand"),
         F.when(F.col("p_size") != 20, F.col("p_retailprice")).alias("price"),
         F.col("p_size").alias("code"),
@@ -25,12 +25,12 @@ def once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quince(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of the larger sizes, some values missing, some different, codes as text."""
+    """All parts, those of the smallest sizes under keys of their own, some values missing, some different, codes as text."""
     kind = F.col("p_type")
     brand = F.when(kind == "PROMO", F.concat("p_brand", F.lit("x"))).otherwise(F.col("p_brand"))
     code = F.col("p_size").cast("string")
-    return table(spark, sf_dir, "part").filter("p_size >= 11").select(
-        F.col("p_partkey").alias("patient_id"),
+    return table(spark, sf_dir, "part").select(
+        F.when(F.col("p_size") < 11, -F.col("p_partkey")).otherwise(F.col("p_partkey")).alias("patient_id"),
         F.when(kind != "SMALL", brand).alias("brand"),
         F.when(kind == "LARGE", F.col("p_retailprice") + 1).otherwise(F.col("p_retailprice")).alias("price"),
         F.when(kind == "ECONOMY", F.concat(F.lit("0"), code)).otherwise(code).alias("code"),
@@ -39,13 +39,13 @@ def quince(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SOURCES_SQL = """
-a as (select p_partkey as k, p_brand as brand, case when p_size <> 20 then p_retailprice end as price,
-             p_size as code, p_type as oo from part where p_size <= 40),
-b as (select p_partkey as k,
+a as (select case when p_size > 40 then -p_partkey else p_partkey end as k, p_brand as brand, case when p_size <> 20 then p_retailprice end as price,
+             p_size as code, p_type as oo from part),
+b as (select case when p_size < 11 then -p_partkey else p_partkey end as k,
              case when p_type = 'SMALL' then null when p_type = 'PROMO' then p_brand || 'x' else p_brand end as brand,
              case when p_type = 'LARGE' then p_retailprice + 1 else p_retailprice end as price,
              case when p_type = 'ECONOMY' then '0' || p_size else cast(p_size as varchar) end as code,
-             p_name as oq from part where p_size >= 11)"""
+             p_name as oq from part)"""
 
 HARMONIZED = f"""with {SOURCES_SQL}
 select coalesce(a.k, b.k) as patient_id,

@@ -21,9 +21,10 @@ def right_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyless_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One order loses its key, and orders of one status keep out of the table."""
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P")
-    first = F.when(F.col("o_orderkey") != 1, F.col("o_orderkey"))
+    """One order loses its key, and orders of one status have keys without line items."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.when(F.col("o_orderstatus") == "P", -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+    first = F.when(F.col("o_orderkey") != 1, key)
     return orders.select(first.alias("orderkey"), "o_totalprice", F.col("o_orderstatus").alias("status"))
 
 
@@ -42,7 +43,8 @@ def _merged(left: DataFrame, right: DataFrame, how: str, key: str) -> DataFrame:
 
 KEYED = """
 o as (
-  select nullif(o_orderkey, 1) as k, o_totalprice, o_orderstatus, true as _l from orders where o_orderstatus <> 'P'
+  select case when o_orderkey = 1 then null when o_orderstatus = 'P' then -o_orderkey else o_orderkey end as k,
+         o_totalprice, o_orderstatus, true as _l from orders
 ), l as (
   select case when l_returnflag <> 'N' then l_orderkey end as k, l_linenumber, l_quantity, l_linestatus, true as _r
   from lineitem

@@ -92,6 +92,26 @@ def wide_export_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.merges["orders_people"].table
 
 
+@query(
+    """select 'single_workbook_normalization' as step_name, 'orders' as dataset_id, 'normalization' as stage,
+           'required_columns_present' as check_name, 'ERROR' as severity, 'order_clerk' as column_name,
+           cast(1 as bigint) as row_count, false as step_success
+    from (select count(*) as n from orders) where n > 0"""
+)
+def wide_export_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wide export lacks a column that a domain requires: the run says so and is no success."""
+    folder = scratch(spark, "export")
+    views, mapped = plans.wide_export_domains(
+        raw_orders(spark, sf_dir), MAPPING, staging_path=f"{folder}/staging.parquet", id_column="Order ID"
+    )
+    run = plans.curate_and_merge(spark, [DatasetSpec("people")], tables=views, normalization=mapped, out_dir=folder)
+    steps = run.step_results.select("step_name", F.col("success").alias("step_success"))
+    found = run.step_issues.filter("stage = 'normalization' and check_name = 'required_columns_present'").join(steps, "step_name")
+    return found.select(
+        "step_name", "dataset_id", "stage", "check_name", "severity", "column_name", "row_count", "step_success"
+    )
+
+
 def asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A codebook read off the parts: every part type asks for one variable."""
     name = F.create_map(

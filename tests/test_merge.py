@@ -209,3 +209,13 @@ def test_keys_with_a_large_fan_out_are_spread_too(spark):
     merged = merge.perform_merge(left, right, "outer", ["k"], "demo", hot_rows=10).merged
     assert merged.count() == merged.distinct().count() == 3000
     assert merge.hot_keys_of(left, right, ["k"]) == []
+
+
+def test_metrics_of_counts_whose_product_is_no_long(spark):
+    histogram = spark.createDataFrame([(1, 4_000_000_000, 4_000_000_000), (2, 1, 0)], "id int, left_n long, right_n long")
+    row = merge.merge_metrics(histogram, "left").first().asDict()
+    assert row["both_count"] == row["max_key_fanout"] == row["merged_rows"] == 2**63 - 1
+    assert (row["left_rows"], row["left_only_count"]) == (4_000_000_001, 1)
+    assert "merged_rows_overflow" in [found[2] for found in merge.merge_findings(row, "m")]
+    histogram = spark.createDataFrame([(1, 2_000_000_000, 3_000_000_000)], "id int, left_n long, right_n long")
+    assert merge.merge_metrics(histogram, "left").first()["both_count"] == 6 * 10**18

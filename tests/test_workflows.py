@@ -160,6 +160,11 @@ def test_wide_export(spark, tmp_path, rows):
         out_dir=str(tmp_path / "out"), tables=views,
     )
     assert rows(run.merges["m"].table, "patient_id", "sex", "visit_date") == [("p1", "F", dt.date(2020, 1, 1)), ("p2", "M", None)]
+    judged = plans.curate_and_merge(spark, specs, out_dir=str(tmp_path / "out"), tables=views, normalization=mapped, run_id="n")
+    step = judged.step_results.filter("step_name = 'single_workbook_normalization'").first()
+    assert not step.success and step.metrics["unmapped_column_count"] == "1"
+    assert spark.read.parquet(step.artifacts["header_mapping"]).count() == 5
+    assert not judged.summary().first().success
     with pytest.raises(ValueError, match="lab_id"):
         plans.wide_export_domains(export, mapping, staging_path=str(tmp_path / "s2.parquet"), fail_fast=True)
 
