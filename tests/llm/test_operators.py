@@ -74,6 +74,15 @@ def print_of(text, width):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def jaccard(one, two, width=5):
+    """Similarity of the sets of shingles; 1 for two texts without words."""
+    sets = []
+    for text in (one, two):
+        words = (text or "").encode().lower().split()
+        sets.append({tuple(words[n : n + width]) for n in range(max(1, len(words) - width + 1))} if words else set())
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 1.0
+
+
 def classes(keys, linked):
     root = {k: k for k in keys}
 
@@ -104,8 +113,35 @@ def test_simhash(docs, nothing):
     left = simhash.drop_near_duplicates(docs.withColumnRenamed("lang", "kept_id").withColumnRenamed("n_chars", "text_hash"))
     kept = left.toPandas()
     assert left.columns == ["doc_id", "text", "kept_id", "source", "text_hash"]
-    assert sorted(kept.doc_id.dropna()) == sorted(set(classes(list(fives), lambda a, b: (fives[a] ^ fives[b]).bit_count() <= 4).values()))
+    near = classes(list(fives), lambda a, b: (fives[a] ^ fives[b]).bit_count() <= 4 or jaccard(texts[a], texts[b]) >= 0.8)
+    assert sorted(kept.doc_id.dropna()) == sorted(set(near.values()))
     assert kept.doc_id.isna().sum() == 1
+    bits_only = simhash.drop_near_duplicates(docs, similarity=None).toPandas()
+    assert sorted(bits_only.doc_id.dropna()) == sorted(set(classes(list(fives), lambda a, b: (fives[a] ^ fives[b]).bit_count() <= 4).values()))
+    assert simhash.drop_near_duplicates(nothing).count() == 0
+
+
+@pytest.mark.parametrize("block", [1024, 5])
+def test_similar_texts_are_near(spark, monkeypatch, block):
+    """Pairs well above the similarity are linked, and nothing is that only pairs well below it connect."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for group in range(15):
+        words = long_text(100 + group, 200).split()
+        for edits in (0, 1, 2, 3, 5, 8, 12, 20):
+            some = list(words)
+            for at in rng.choice(200, edits, replace=False):
+                some[at] = f"new{at}"
+            texts.append(" ".join(some))
+    monkeypatch.setattr(simhash, "link_lists", lambda *a, **k: lists.link_lists(*a, **k, block=block))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.simhash_components(frame, 5, similarity=0.8).collect()}
+    similar = {(a, b): jaccard(texts[a], texts[b]) for g in range(15) for a in range(8 * g, 8 * g + 8) for b in range(a) if b >= 8 * g}
+    assert sum(j >= 0.82 for j in similar.values()) > 50
+    assert all(got[a] == got[b] for (a, b), j in similar.items() if j >= 0.82)
+    loose = classes(list(got), lambda a, b: similar.get((max(a, b), min(a, b)), 0) >= 0.65)
+    assert all(loose[n] == loose[c] for n, c in got.items())
+    assert len(set(got.values())) > 15
 
 
 def test_simhash_lists_longer_than_a_block(spark, monkeypatch):

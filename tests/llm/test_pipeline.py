@@ -38,7 +38,7 @@ def test_lines_only_go(outputs):
 
 
 def test_one_document_of_each_group(outputs):
-    rows = simhash.simhash_components(outputs["line_dedup"], 5).collect()
+    rows = simhash.simhash_components(outputs["line_dedup"], 5, similarity=0.8).collect()
     assert sorted(r.doc_id for r in outputs["near_dedup"].collect()) == sorted({r.component_id for r in rows})
 
 
