@@ -23,8 +23,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates by five-word shingles."""
-    return simhash.drop_near_duplicates(docs, width=5, bits=4)
+    """One document of each group of near-duplicates, which share 0.8 or more of their five-word shingles."""
+    return simhash.drop_near_duplicates(docs, width=5, bits=4, similarity=0.8)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
