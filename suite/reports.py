@@ -12,7 +12,7 @@ from concordat.operators import checks, merge, reports
 
 from .checks import CUSTOMER_SPEC, GAPPY_CUSTOMER, ISSUE_FIELDS, gappy_customer
 from .merges import chain_tables
-from .registry import query, table
+from .registry import query, scratch, table
 
 ORDER_SPEC = DatasetSpec(
     "orders",
@@ -104,6 +104,21 @@ def exclusion_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.exclusion_totals(reduce(DataFrame.unionByName, metrics))
 
 
+@query(
+    """select cast(n_nationkey as varchar) as n_nationkey, cast(strlen(n_name) + 1 as bigint) as size_bytes,
+           sha256(n_name || chr(10)) as sha256 from nation"""
+)
+def file_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The name of every nation written as a text file of its own; the files are then listed and hashed."""
+    from concordat.sources import collect_file_metadata
+
+    folder = f"{scratch(spark, 'hashes')}/nations"
+    names = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    names.repartition("n_nationkey").write.partitionBy("n_nationkey").text(folder)
+    listed = collect_file_metadata(spark, folder).filter("suffix = '.txt'")
+    return listed.select(F.regexp_extract("path", "n_nationkey=([^/]+)/", 1).alias("n_nationkey"), "size_bytes", "sha256")
+
+
 @query()
 def file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size, time and SHA-256 of the given files. SQL cannot hash them, so it has no counterpart."""

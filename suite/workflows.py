@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -182,3 +183,33 @@ def two_row_header_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_two_row_header(
         spark, path, demographics_column_end="B", demographics_header_row=1, clinical_header_row=1
     )
+
+
+@query(
+    """select cast(l_orderkey as varchar) as l_orderkey, cast(l_linenumber as varchar) as line,
+           l_returnflag as flag, l_linestatus as flag_2 from lineitem"""
+)
+def two_row_header_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as an export named in rows 3 (to column B) and 2 (beyond), one row of units below, in many files."""
+    from concordat.sources import read_two_row_header
+
+    path = f"{scratch(spark, 'export')}/lines"
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    above = ["Export,,,", "ids,,flag, flag", "l_orderkey,line,x,y", "no,no,text,text"]
+    # a line per row; the rows above the data come first in every file
+    heads = spark.createDataFrame([(n, 0, n_row, row) for n in range(3) for n_row, row in enumerate(above)], "file int, kind int, at long, value string")
+    rows = lines.select(
+        F.pmod("l_orderkey", F.lit(3)).cast("int").alias("file"), F.lit(1).alias("kind"), F.col("l_orderkey").cast("long").alias("at"),
+        F.concat_ws(",", *lines.columns).alias("value"),
+    )
+    ordered = heads.union(rows).repartition("file").sortWithinPartitions("file", "kind", "at")
+    ordered.select("file", "value").write.partitionBy("file").text(path)
+    exports = [f"{path}/file={n}" for n in range(3)]
+    parts = [
+        read_two_row_header(
+            spark, export, demographics_column_end="B", demographics_header_row=3, clinical_header_row=2,
+            skip_rows_after_header=1,
+        )
+        for export in exports
+    ]
+    return reduce(DataFrame.unionByName, parts)
