@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words fall into CLASSES of MEMBERS each; the last BUCKETS ids stand for all other words, by hash.
+from .common import free_name, stored
+
+#: Words fall into CLASSES of MEMBERS each, or more of both where the vocabulary is larger; the last BUCKETS ids stand
+#: for all other words, by hash.
 CLASSES, MEMBERS, BUCKETS = 32, 32, 64
+#: A word is in the vocabulary if it occurs LEAST times and SHARE of the square root of all tokens.
+LEAST, SHARE = 20, 0.05
+#: Numbers of a piece of the weights, as tasks send them.
+PIECE = 1 << 14
 #: Words on either side, size of a word's vector, size of the hidden layer.
 SIDE, VECTOR, HIDDEN = 2, 16, 32
 WORDS = CLASSES * MEMBERS
@@ -25,8 +34,8 @@ def tokens_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
-def vocabulary(docs: DataFrame) -> list[str]:
-    """The most frequent words of all texts, ties by the word itself; at most WORDS - BUCKETS."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n) of all words of all texts."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -35,24 +44,60 @@ def vocabulary(docs: DataFrame) -> list[str]:
                 seen.update(tokens_of(text))
             yield pd.DataFrame({"word": [w.decode("utf-8", "replace") for w in seen], "n": list(seen.values())})
 
-    counts = docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(WORDS - BUCKETS).collect()]
+    return docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(docs: DataFrame, limit: int = WORDS - BUCKETS) -> list[str]:
+    """The most frequent words of all texts, ties by the word itself; at most ``limit``."""
+    return [r["word"] for r in word_counts(docs).orderBy(F.desc("n"), "word").limit(limit).collect()]
+
+
+def split_words(docs: DataFrame) -> tuple[list[str], DataFrame, dict[int, int]]:
+    """The vocabulary by counts, most frequent first; (word, log_share) of all other words; the tokens of each bucket.
+
+    The count that makes a word one of the vocabulary follows the square root of all tokens, so the vocabulary (and what
+    the driver and each task hold) grows with the corpus, but slower. ``log_share`` is log P(word | bucket) over all texts.
+    """
+    counts = stored(word_counts(docs))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    least = max(LEAST, math.ceil(SHARE * math.sqrt(total)))
+    words = [r["word"] for r in counts.where(F.col("n") >= least).orderBy(F.desc("n"), "word").collect()]
+    rest = counts.where(F.col("n") < least).withColumn("bucket", F.crc32(F.encode("word", "utf-8")) % BUCKETS)
+    tokens = {r["bucket"]: r["n"] for r in rest.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+    logs = F.array(*[F.lit(math.log(tokens.get(n, 1))) for n in range(BUCKETS)])
+    shares = rest.select("word", (F.log("n") - F.get(logs, F.col("bucket").cast("int"))).alias("log_share"))
+    return words, shares, tokens
+
+
+def shape_of(words: int) -> tuple[int, int]:
+    """Classes and members of each, about the square root of the vocabulary and the buckets."""
+    members = max(MEMBERS, math.ceil(math.sqrt(words + BUCKETS)))
+    return max(CLASSES, -(-(words + BUCKETS) // members)), members
 
 
-def fresh_weights(seed: int) -> Weights:
+def fresh_weights(seed: int, classes: int = CLASSES, members: int = MEMBERS) -> Weights:
     rng = np.random.default_rng(seed)
     shapes = {
-        "word": (WORDS + 1, VECTOR), "inner": (2 * SIDE * VECTOR, HIDDEN), "inner_b": (HIDDEN,),
-        "cls": (HIDDEN, CLASSES), "cls_b": (CLASSES,), "member": (CLASSES, HIDDEN, MEMBERS), "member_b": (CLASSES, MEMBERS),
+        "word": (classes * members + 1, VECTOR), "inner": (2 * SIDE * VECTOR, HIDDEN), "inner_b": (HIDDEN,),
+        "cls": (HIDDEN, classes), "cls_b": (classes,), "member": (classes, HIDDEN, members), "member_b": (classes, members),
     }
     scale = {"word": 0.3, "inner": 0.15, "cls": 0.1, "member": 0.1}
     return {k: (rng.standard_normal(s) * scale.get(k, 0)).astype("float32") for k, s in shapes.items()}
 
 
-def numbered(texts: list[str | None], ids: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+def close_unused(w: Weights, words: int, buckets: Iterable[int]) -> None:
+    """No probability for ids that stand for no word, nor for classes of such ids; training leaves them so."""
+    used = np.zeros(w["member_b"].size, bool)
+    used[:words] = True
+    used[[len(used) - BUCKETS + n for n in buckets]] = True
+    used = used.reshape(w["member_b"].shape)
+    w["member_b"][~used] = w["cls_b"][~used.any(1)] = -1e30
+
+
+def numbered(texts: list[str | None], ids: dict[bytes, int], total: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Word ids of all texts in one array, SIDE blanks around each text, and the number of words of each."""
-    blank, flat, sizes = [WORDS] * SIDE, [*[WORDS] * SIDE], []
-    get, crc, low = ids.get, zlib.crc32, WORDS - BUCKETS
+    blank, flat, sizes = [total] * SIDE, [*[total] * SIDE], []
+    get, crc, low = ids.get, zlib.crc32, total - BUCKETS
     for text in texts:
         words = tokens_of(text)
         flat += [n if (n := get(w)) is not None else low + crc(w) % BUCKETS for w in words]
@@ -74,15 +119,16 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
 def log_probabilities(w: Weights, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
     """log P(word | words on both sides) at each place: that of its class, then of the word in the class."""
     out = np.empty(len(at), "float64")
+    classes, members = w["member_b"].shape
     for s in range(0, len(at), 16384):
         some = at[s : s + 16384]
         _, hidden = hidden_of(w, flat, some)
-        cls, member = np.divmod(flat[some], MEMBERS)
+        cls, member = np.divmod(flat[some], members)
         row = np.arange(len(some))
         total = log_softmax(hidden @ w["cls"] + w["cls_b"])[row, cls]
         order = cls.argsort(kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        edges = np.searchsorted(cls[order], np.arange(classes + 1))
+        for c in range(classes):
             rows = order[edges[c] : edges[c + 1]]
             if len(rows):
                 total[rows] += log_softmax(hidden[rows] @ w["member"][c] + w["member_b"][c])[np.arange(len(rows)), member[rows]]
@@ -101,16 +147,17 @@ class Trainer:
 
     def step(self, flat: np.ndarray, at: np.ndarray) -> None:
         w, n, row = self.w, len(at), np.arange(len(at))
+        classes, members = w["member_b"].shape
         around, hidden = hidden_of(w, flat, at)
-        cls, member = np.divmod(flat[at], MEMBERS)
+        cls, member = np.divmod(flat[at], members)
         d_cls = np.exp(log_softmax(hidden @ w["cls"] + w["cls_b"]))
         d_cls[row, cls] -= 1
         g = {k: np.zeros_like(v) for k, v in w.items()}
         d_hidden = d_cls @ w["cls"].T
         g["cls"], g["cls_b"] = hidden.T @ d_cls, d_cls.sum(0)
         order = cls.argsort(kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        edges = np.searchsorted(cls[order], np.arange(classes + 1))
+        for c in range(classes):
             rows = order[edges[c] : edges[c + 1]]
             if len(rows):
                 d = np.exp(log_softmax(hidden[rows] @ w["member"][c] + w["member_b"][c]))
@@ -121,7 +168,7 @@ class Trainer:
         g["inner"], g["inner_b"] = w["word"][around].reshape(n, -1).T @ d_in, d_in.sum(0)
         d_words = (d_in @ w["inner"].T).reshape(-1, VECTOR)
         for k in range(VECTOR):
-            g["word"][:, k] = np.bincount(around.ravel(), d_words[:, k], WORDS + 1)
+            g["word"][:, k] = np.bincount(around.ravel(), d_words[:, k], len(w["word"]))
         self.steps += 1
         self.places += n
         for k, x in g.items():
@@ -137,15 +184,18 @@ def places_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.cumsum(sizes) - sizes + SIDE * np.arange(1, len(sizes) + 1), sizes) + within, within
 
 
-def trained_weights(docs: DataFrame, words: list[str], rounds: int = 2, stride: int = 16, batch: int = 1024, seed: int = 7) -> Weights:
+def trained_weights(
+    docs: DataFrame, words: list[str], rounds: int = 2, stride: int = 16, batch: int = 1024, seed: int = 7, buckets: Iterable[int] = range(BUCKETS)
+) -> Weights:
     """Weights after ``rounds`` passes over the whole corpus, each partition on its own and then averaged.
 
     In every text one word in ``stride`` is masked, another one in each round. A task trains from the common weights
-    on all its texts; Spark averages the tasks' weights by masked places, with partial sums, so what the driver gets is
-    one number a weight, whatever the size of the corpus. The passes are finished before scoring starts.
+    on all its texts; Spark averages the tasks' weights by masked places, piece by piece, so what the driver gets is
+    one number a weight. The passes are finished before scoring starts. ``buckets`` are those that words fall into.
     """
     ids = {w.encode("utf-8"): n for n, w in enumerate(words)}
-    weights = fresh_weights(seed)
+    weights = fresh_weights(seed, *shape_of(len(words)))
+    close_unused(weights, len(words), buckets)
     names = list(weights)
     for turn in range(rounds):
 
@@ -153,49 +203,76 @@ def trained_weights(docs: DataFrame, words: list[str], rounds: int = 2, stride:
             trainer = Trainer(weights)
             for part in batches:
                 for s in range(0, len(part), 256):
-                    flat, sizes = numbered(part["text"].iloc[s : s + 256].tolist(), ids)
+                    flat, sizes = numbered(part["text"].iloc[s : s + 256].tolist(), ids, len(weights["word"]) - 1)
                     at, within = places_of(sizes)
                     masked = at[(within + np.repeat(np.arange(len(sizes)), sizes)) % stride == turn * 7 % stride]
                     masked = np.random.default_rng(turn).permutation(masked)
                     for b in range(0, len(masked), batch):
                         trainer.step(flat, masked[b : b + batch])
             if trainer.places:
-                value = np.concatenate([trainer.w[k].ravel() for k in names]).astype("float64")
-                yield pd.DataFrame({"at": np.arange(len(value)), "value": value * trainer.places, "places": trainer.places})
+                value = np.concatenate([trainer.w[k].ravel() for k in names])
+                pieces = [value[s : s + PIECE].astype("<f4").tobytes() for s in range(0, len(value), PIECE)]
+                yield pd.DataFrame({"piece": np.arange(len(pieces)), "value": pieces, "places": trainer.places})
 
-        sums = docs.select("text").mapInPandas(train, "at int, value double, places long").groupBy("at")
-        mean = sums.agg((F.sum("value") / F.sum("places")).alias("value")).toPandas().sort_values("at")["value"].to_numpy("float32")
-        if not len(mean):
+        def average(rows: pd.DataFrame) -> pd.DataFrame:
+            total = sum(np.frombuffer(v, "<f4").astype("float64") * n for v, n in zip(rows["value"], rows["places"], strict=True))
+            return pd.DataFrame({"piece": rows["piece"].iloc[:1], "value": [(total / rows["places"].sum()).astype("<f4").tobytes()]})
+
+        sent = docs.select("text").mapInPandas(train, "piece int, value binary, places long")
+        means = sent.groupBy("piece").applyInPandas(average, "piece int, value binary").collect()
+        if not means:
             return weights
+        mean = np.frombuffer(b"".join(bytes(r["value"]) for r in sorted(means, key=lambda r: r["piece"])), "<f4")
         cuts = np.cumsum([weights[k].size for k in names])[:-1]
         weights = {k: v.reshape(weights[k].shape) for k, v in zip(names, np.split(mean, cuts), strict=True)}
     return weights
 
 
-def pseudo_likelihood(docs: DataFrame, words: list[str], weights: Weights, id_column: str = "doc_id") -> DataFrame:
+def pseudo_likelihood(docs: DataFrame, words: list[str], weights: Weights, id_column: str = "doc_id", shares: DataFrame | None = None) -> DataFrame:
     """(id, n_tokens, log_likelihood, mean_log_likelihood) of every row: sums of log P(word | both sides), in nats.
 
+    A word that is not one of ``words`` has the probability of its bucket, times its share of the bucket by ``shares``
+    (word, log_share), which is joined: the tasks hold no table of them. Without ``shares`` it is the bucket's alone.
+
     A null text and one without words have 0 tokens, sum 0 and a null mean. Repeated rows get equal scores, but for
     rounding. Other columns are ignored.
     """
     ids = {w.encode("utf-8"): n for n, w in enumerate(words)}
     kind = docs.schema[id_column].dataType.simpleString()
+    line, rest, whole = (free_name(docs, x) for x in ("line", "rest", "sums"))
+    fields = f"`{id_column}` {kind}, n_tokens long, {whole} double, {line} long, {rest} array<struct<word: string, times: int>>"
+    shared = shares is not None
+    pairs = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int32())]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 40
         for part in batches:
             for s in range(0, part.num_rows, 256):
                 some = part.slice(s, 256)
-                flat, sizes = numbered(some.column(1).to_pylist(), ids)
+                texts = some.column(1).to_pylist()
+                flat, sizes = numbered(texts, ids, len(weights["word"]) - 1)
                 at, _ = places_of(sizes)
                 sums = np.bincount(np.repeat(np.arange(len(sizes)), sizes), log_probabilities(weights, flat, at), len(sizes))
-                values = [some.column(0), pa.array(sizes), pa.array(sums.round(3))]
-                yield pa.RecordBatch.from_arrays(values, [id_column, "n_tokens", "log_likelihood"])
-
-    scored = docs.select(id_column, "text").mapInArrow(score, f"`{id_column}` {kind}, n_tokens long, log_likelihood double")
+                others: list[list[dict]] = [[]] * len(texts)
+                if shared:
+                    others = [[{"word": w.decode("utf-8"), "times": n} for w, n in Counter(tokens_of(x)).items() if w not in ids] for x in texts]
+                values = [some.column(0), pa.array(sizes), pa.array(sums), pa.array(np.arange(first, first + len(texts))), pa.array(others, pairs)]
+                first += len(texts)
+                yield pa.RecordBatch.from_arrays(values, [id_column, "n_tokens", whole, line, rest])
+
+    scored = docs.select(id_column, "text").mapInArrow(score, fields)
+    total = F.col(whole)
+    if shared:
+        scored = stored(scored)
+        each = scored.select(line, F.explode(rest).alias("pair")).select(line, "pair.*").join(shares, "word")
+        more = each.groupBy(line).agg(F.sum(F.col("times") * F.col("log_share")).alias("more"))
+        scored, total = scored.drop(rest).join(more, line, "left"), total + F.coalesce("more", F.lit(0.0))
+    scored = scored.select(id_column, "n_tokens", F.round(total, 3).alias("log_likelihood"))
     return scored.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.round(F.col("log_likelihood") / F.col("n_tokens"), 5)))
 
 
 def score_documents(docs: DataFrame, id_column: str = "doc_id", **training) -> DataFrame:
-    """Train on ``docs`` and score them."""
-    words = vocabulary(docs)
-    return pseudo_likelihood(docs, words, trained_weights(docs, words, **training), id_column)
+    """Train on ``docs`` and score them: log_likelihood is of the words themselves, rare ones too."""
+    words, shares, tokens = split_words(docs)
+    weights = trained_weights(docs, words, buckets=tokens, **training)
+    return pseudo_likelihood(docs, words, weights, id_column, shares)

@@ -378,3 +378,14 @@ def test_embeddings(spark):
         assert (got.kept == (got.vec_id == got.component_id)).all() and (got[got.vec_id.between(2000, 2999)].n_links == 0).all()
         assert set(got[got.vec_id == 3001].component_id) == {3000} and set(got[got.vec_id == 3000].n_links) == {2}
     assert embeddings.embedding_components(frame.limit(0)).count() == 0
+
+
+def test_words_of_all_texts_have_probabilities(spark):
+    """One-word texts share one context: their probabilities sum to 1, and rare words have their own by count."""
+    texts = [f"common{n % 1100}" for n in range(1100 * 20)] + [f"rare{n}" for n in range(200) for _ in range(1 + n % 3)]
+    got = lm.score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).toPandas()
+    logs = {t: x for t, x in zip(texts, got.sort_values("doc_id").log_likelihood, strict=True)}
+    assert len(logs) == 1300 and abs(sum(map(math.exp, logs.values())) - 1) < 0.01
+    same = [(a, b) for a in range(200) for b in range(200) if zlib.crc32(b"rare%d" % a) % 64 == zlib.crc32(b"rare%d" % b) % 64]
+    assert all(abs(logs[f"rare{a}"] - logs[f"rare{b}"] - math.log((1 + a % 3) / (1 + b % 3))) < 0.01 for a, b in same)
+    assert any(a % 3 != b % 3 for a, b in same)
