@@ -184,12 +184,19 @@ def places_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.cumsum(sizes) - sizes + SIDE * np.arange(1, len(sizes) + 1), sizes) + within, within
 
 
+def masked_places(sizes: np.ndarray, turn: int, stride: int) -> np.ndarray:
+    """The places masked in a round: one in ``stride`` of each text; ``stride`` rounds on end mask each place once."""
+    at, within = places_of(sizes)
+    return at[(within + np.repeat(np.arange(len(sizes)), sizes)) % stride == turn % stride]
+
+
 def trained_weights(
-    docs: DataFrame, words: list[str], rounds: int = 2, stride: int = 16, batch: int = 1024, seed: int = 7, buckets: Iterable[int] = range(BUCKETS)
+    docs: DataFrame, words: list[str], rounds: int = 2, stride: int = 2, batch: int = 1024, seed: int = 7, buckets: Iterable[int] = range(BUCKETS)
 ) -> Weights:
     """Weights after ``rounds`` passes over the whole corpus, each partition on its own and then averaged.
 
-    In every text one word in ``stride`` is masked, another one in each round. A task trains from the common weights
+    In every text one word in ``stride`` is masked, another one in each round, so as many rounds as ``stride`` predict
+    every word of every text (see ``masked_places``). A task trains from the common weights
     on all its texts; Spark averages the tasks' weights by masked places, piece by piece, so what the driver gets is
     one number a weight. The passes are finished before scoring starts. ``buckets`` are those that words fall into.
     """
@@ -204,9 +211,7 @@ def trained_weights(
             for part in batches:
                 for s in range(0, len(part), 256):
                     flat, sizes = numbered(part["text"].iloc[s : s + 256].tolist(), ids, len(weights["word"]) - 1)
-                    at, within = places_of(sizes)
-                    masked = at[(within + np.repeat(np.arange(len(sizes)), sizes)) % stride == turn * 7 % stride]
-                    masked = np.random.default_rng(turn).permutation(masked)
+                    masked = np.random.default_rng(turn).permutation(masked_places(sizes, turn, stride))
                     for b in range(0, len(masked), batch):
                         trainer.step(flat, masked[b : b + batch])
             if trainer.places:

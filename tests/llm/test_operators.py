@@ -1,6 +1,7 @@
 """The training-data operators against brute force, and on nulls, blanks, repeats, ties and empty tables."""
 
 import hashlib
+import inspect
 import math
 import re
 import zlib
@@ -389,3 +390,11 @@ def test_words_of_all_texts_have_probabilities(spark):
     same = [(a, b) for a in range(200) for b in range(200) if zlib.crc32(b"rare%d" % a) % 64 == zlib.crc32(b"rare%d" % b) % 64]
     assert all(abs(logs[f"rare{a}"] - logs[f"rare{b}"] - math.log((1 + a % 3) / (1 + b % 3))) < 0.01 for a, b in same)
     assert any(a % 3 != b % 3 for a, b in same)
+
+
+def test_training_predicts_every_word():
+    """By the query's own rounds and stride, in short texts too."""
+    given = {k: p.default for k, p in inspect.signature(lm.trained_weights).parameters.items()}
+    sizes = np.array([0, 1, 2, 3, 15, 0, 16, 1000])
+    masked = np.concatenate([lm.masked_places(sizes, turn, given["stride"]) for turn in range(given["rounds"])])
+    assert set(masked.tolist()) == set(lm.places_of(sizes)[0].tolist())
