@@ -18,7 +18,7 @@ from .lists import link_lists, star
 
 
 #: Bytes of a sketch; positions that share a key of its index, and the number of such keys.
-SKETCH, JOINED, KEYS = 256, 5, 16
+SKETCH, JOINED, KEYS = 256, 5, 32
 
 
 def shingle_hashes(value: str | None, width: int) -> np.ndarray:
@@ -75,15 +75,28 @@ def fingerprint_and_sketch(text: Column, width: int, seed: int = 42) -> Column:
     return each(text)
 
 
-def similar_sketches(sketches: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of fingerprints that similar sketches connect, for distinct rows (print, sketch).
+def shingle_sets(text: Column, width: int) -> Column:
+    """The sorted set of a text's shingle hashes, eight bytes each."""
+
+    @F.pandas_udf("binary")
+    def each(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingle_hashes(x, width)).tobytes() for x in texts], dtype=object)
+
+    return each(text)
+
+
+def similar_sketches(sketches: DataFrame, texts: DataFrame, similarity: float, width: int) -> DataFrame:
+    """(a, b) of fingerprints that texts of ``similarity`` or more connect.
+
+    For distinct rows (print, sketch, mark), and texts as rows (mark, text).
 
     The index has ``KEYS`` lists for a sketch, each of ``JOINED`` bytes at positions of their own: a pair at similarity
-    0.8 misses all with a probability of 0.002. Keys that one sketch has are dropped before the sketches are sent. In
+    0.8 misses all with a probability of 0.000003. Keys that one sketch has are dropped before the sketches are sent. In
     a list, shared positional bytes are tallied for each pair, and pairs below the minimum filtered: what a pair at
-    ``similarity`` shares on average, less two standard deviations.
+    ``similarity`` shares on average, less four standard deviations. Those left are candidates: each is verified in the
+    list, by the Jaccard similarity of the two sets of hashed shingles, unless verified pairs connect it already.
     """
-    least = SKETCH * similarity - 2 * (SKETCH * similarity * (1 - similarity)) ** 0.5
+    least = SKETCH * similarity - 4 * (SKETCH * similarity * (1 - similarity)) ** 0.5
 
     def tally(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         found = [np.nonzero((one[s : s + 16, None] == two[None]).sum(2) >= least) for s in range(0, len(one), 16)]
@@ -92,13 +105,36 @@ def similar_sketches(sketches: DataFrame, similarity: float) -> DataFrame:
     def bytes_of(rows: pd.DataFrame) -> np.ndarray:
         return np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(-1, SKETCH)
 
+    def verified(sets: list[bytes], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hashes = [np.frombuffer(x, "<u8") for x in sets]
+        above = list(range(len(sets)))
+
+        def top(n: int) -> int:
+            while above[n] != n:
+                above[n] = n = above[above[n]]
+            return n
+
+        kept = []
+        for a, b in zip(i.tolist(), j.tolist(), strict=True):
+            if a == b or (one := top(a)) == (two := top(b)):
+                continue
+            both, most = len(hashes[a]) + len(hashes[b]), max(len(hashes[a]), len(hashes[b]))
+            if both - most < similarity * most - 1e-9:
+                continue
+            common = len(np.intersect1d(hashes[a], hashes[b], assume_unique=True))
+            if common >= similarity * (both - common) - 1e-9:
+                above[max(one, two)] = min(one, two)
+                kept.append((a, b))
+        found = np.array(kept, "int64").reshape(-1, 2)
+        return found[:, 0], found[:, 1]
+
     def stars(rows: pd.DataFrame) -> pd.DataFrame:
-        keys, prints, sketch = rows["key"].to_numpy(), rows["print"].to_numpy("int64"), bytes_of(rows)
+        keys, prints, sketch, sets = rows["key"].to_numpy(), rows["print"].to_numpy("int64"), bytes_of(rows), rows["shingles"].tolist()
         edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True])
         a, b = [prints[:0]], [prints[:0]]
         for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             some = prints[start:end]
-            root = star(end - start, *tally(sketch[start:end], sketch[start:end]))
+            root = star(end - start, *verified(sets[start:end], *tally(sketch[start:end], sketch[start:end])))
             a.append(some)
             b.append(some[root])
         a, b = np.concatenate(a), np.concatenate(b)
@@ -109,14 +145,16 @@ def similar_sketches(sketches: DataFrame, similarity: float) -> DataFrame:
             return stars(left)
         prints = np.r_[left["print"].to_numpy("int64"), right["print"].to_numpy("int64")]
         i, j = tally(bytes_of(left), bytes_of(right))
-        root = star(len(prints), i, j + len(left))
+        root = star(len(prints), *verified([*left["shingles"], *right["shingles"]], i, j + len(left)))
         return pd.DataFrame({"a": prints, "b": prints[root]})[prints != prints[root]]
 
-    marked = sketches.withColumn("mark", F.xxhash64("sketch"))
     keys = F.array(*[F.xxhash64(F.lit(n), F.substring("sketch", n * JOINED + 1, JOINED)) for n in range(KEYS)])
-    places = stored(marked.select(F.explode(keys).alias("key"), "print", "mark"))
+    places = stored(sketches.select(F.explode(keys).alias("key"), "print", "mark"))
     shared = places.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    postings = places.join(shared, "key").join(marked, ["print", "mark"]).select("key", "print", "sketch")
+    hits = stored(places.join(shared, "key"))
+    some = texts.dropDuplicates(["mark"]).join(hits.select("mark").distinct(), "mark", "left_semi")
+    sets = stored(some.select("mark", shingle_sets(F.col("text"), width).alias("shingles")))
+    postings = hits.join(sketches.join(sets, "mark"), ["print", "mark"]).select("key", "print", "sketch", "shingles")
     return link_lists(postings, "key", kernel, "a long, b long", many=stars).distinct()
 
 
@@ -159,7 +197,7 @@ def simhash_components(
     """(id, fingerprint as a long, component_id, root) of every row, component_id the smallest id reachable.
 
     ``root`` is the component's smallest fingerprint; columns named in ``also`` are carried along. With ``similarity``,
-    texts whose sketches show that similarity of their sets of shingles are linked as well (see ``similar_sketches``).
+    texts of that similarity of their sets of shingles, or more, are linked as well (see ``similar_sketches``).
 
     Rows are first brought together by fingerprint, so copies cost nothing further. Null and wordless texts have
     fingerprint 0. A null id is never the smallest unless its component has no other. Repeated rows each stay.
@@ -168,12 +206,15 @@ def simhash_components(
         rows = stored(docs.select(F.col(id_column).alias("id"), fingerprint(F.col("text"), width).alias("print"), *also))
     else:
         both = fingerprint_and_sketch(F.col("text"), width).alias(free_name(docs, "both"))
-        rows = docs.select(F.col(id_column).alias("id"), both, *also).select("id", f"{free_name(docs, 'both')}.*", *also)
+        mark = free_name(docs, "mark")
+        texts = docs.select(F.xxhash64("text").alias("mark"), "text")
+        rows = docs.select(F.col(id_column).alias("id"), both, F.xxhash64("text").alias(mark), *also)
+        rows = rows.select("id", f"{free_name(docs, 'both')}.*", mark, *also)
         rows = stored(rows)
     prints = stored(rows.groupBy("print").agg(F.min("id").alias("low")))
     links = similar_fingerprints(prints, "print", bits)
     if similarity is not None:
-        links = links.union(similar_sketches(stored(rows.select("print", "sketch").distinct()), similarity))
+        links = links.union(similar_sketches(stored(rows.select("print", "sketch", F.col(mark).alias("mark")).distinct()), texts, similarity, width))
     roots = stored(connected_components(links))
     named = prints.join(roots, prints.print == roots.node, "left").select("print", F.coalesce("root", "print").alias("root"), "low")
     lows = named.groupBy("root").agg(F.min("low").alias("component_id"))

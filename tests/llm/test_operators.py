@@ -398,3 +398,21 @@ def test_training_predicts_every_word():
     sizes = np.array([0, 1, 2, 3, 15, 0, 16, 1000])
     masked = np.concatenate([lm.masked_places(sizes, turn, given["stride"]) for turn in range(given["rounds"])])
     assert set(masked.tolist()) == set(lm.places_of(sizes)[0].tolist())
+
+
+@pytest.mark.parametrize("block", [1024, 5])
+def test_links_are_verified_at_the_similarity(spark, monkeypatch, block):
+    """By brute force, with many pairs just above and just below 0.8: the groups are those of the exact similarity."""
+    texts = []
+    for group in range(40):
+        words = [f"g{group}w{n}" for n in range(200)]
+        for cut in (0, 20 + group % 5):  # 196 shingles, of which the copy has 176 to 172, and as many others
+            texts.append(" ".join([*(f"new{group}x{n}" for n in range(cut)), *words[cut:]]))
+    monkeypatch.setattr(simhash, "link_lists", lambda *a, **k: lists.link_lists(*a, **k, block=block))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.component_id, r.fingerprint) for r in simhash.simhash_components(frame, 5, similarity=0.8).collect()}
+    exact = {g: jaccard(texts[2 * g], texts[2 * g + 1]) >= 0.8 for g in range(40)}
+    assert 5 < sum(exact.values()) < 35
+    for g, near in exact.items():
+        near = near or (got[2 * g][1] ^ got[2 * g + 1][1]).bit_count() <= 4
+        assert (got[2 * g][0] == got[2 * g + 1][0]) == near
