@@ -274,7 +274,9 @@ def luhn(digits: str) -> bool:
 def holds(kind: str, match: str) -> bool:
     digits = re.sub("[^0-9]", "", match)
     if kind == "ip":
-        return all(int(p) <= 255 for p in match.split("."))
+        # by length first: int() refuses thousands of digits
+        parts = [p.lstrip("0") for p in match.split(".")]
+        return all(len(p) <= 3 and int(p or "0") <= 255 for p in parts)
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits)
     return 9 <= len(digits) <= 15

@@ -416,3 +416,9 @@ def test_links_are_verified_at_the_similarity(spark, monkeypatch, block):
     for g, near in exact.items():
         near = near or (got[2 * g][1] ^ got[2 * g + 1][1]).bit_count() <= 4
         assert (got[2 * g][0] == got[2 * g + 1][0]) == near
+
+
+def test_addresses_with_endless_parts():
+    assert not pii.holds("ip", "1.2.3." + "9" * 5000)
+    assert pii.holds("ip", "1.2.3." + "0" * 5000 + "4") and not pii.holds("ip", "1.2.3.256")
+    pii.base_spans("at 1.2.3." + "9" * 5000 + " or 10.0.0.1")
