@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, licenses, linededup, lm, mixing, packing, pii, quality, sharding, simhash
+from . import embeddings, licenses, linededup, lm, mixing, packing, pii, quality, sharding, simhash, variants
 
 #: The public vocabulary of the packing contract, as ranks: the same ids as its tokenizer file.
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -58,11 +58,16 @@ def op10_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.embedding_components(table(spark, sf_dir, "embeddings"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.frequent_words(table(spark, sf_dir, "documents"), least_letters=5, least_count=3, drop_one_in=97)
+    return variants.spelling_variants(words, ratio=2)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_rendezvous_shards, op2_simhash_bytes, op3_poisson_mixture, op4_license_digests, op5_host_quality,
-        op6_crf_pii, op7_masked_lm, op8_window_packing, op9_line_runs, op10_cross_polytope,
+        op6_crf_pii, op7_masked_lm, op8_window_packing, op9_line_runs, op10_cross_polytope, op11_spelling_variants,
     )
 }
 ORACLES = {
