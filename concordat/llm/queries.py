@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, embeddings, licenses, linededup, lm, mixing, packing, pii, quality, sharding, simhash, variants
+from . import collocations, embeddings, licenses, linededup, lm, mixing, packing, passages, pii, quality, sharding, simhash, variants
 
 #: The public vocabulary of the packing contract, as ranks: the same ids as its tokenizer file.
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -63,6 +63,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(words, ratio=2)
 
 
+def op12_passage_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7, train_rows=4000)
+
+
 def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mined_phrases(table(spark, sf_dir, "documents"), threshold=10, share=50, top=2000)
 
@@ -71,7 +75,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_rendezvous_shards, op2_simhash_bytes, op3_poisson_mixture, op4_license_digests, op5_host_quality,
-        op6_crf_pii, op7_masked_lm, op8_window_packing, op9_line_runs, op10_cross_polytope, op11_spelling_variants, op13_phrase_mining,
+        op6_crf_pii, op7_masked_lm, op8_window_packing, op9_line_runs, op10_cross_polytope, op11_spelling_variants, op12_passage_attention, op13_phrase_mining,
     )
 }
 ORACLES = {
