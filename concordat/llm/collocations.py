@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, partitions, stored
@@ -20,14 +23,19 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 NORMAL = bytes.maketrans(ENDS + b"\t", b"\n" * len(ENDS) + b" ")
 #: Words of the longest phrase.
 LONGEST = 3
-#: Text that is counted together, and n-grams of a hash partition.
-CHUNK_BYTES, PART_MASS = 1 << 22, 1 << 21
+#: Text that is numbered at once, texts of a language that are counted together, n-grams of a hash partition, and bits of a key within one: one false survivor in a hundred.
+CHUNK_BYTES, GROUP_CHUNKS, PART_MASS, KEY_BITS = 1 << 22, 4, 1 << 21, np.uint64(28)
+
+#: Distinct phrases of bunches that a task holds.
+MOST_CODES = 5_000_000
 
 FACTORS = mixed(np.arange(1, LONGEST + 1, dtype="uint64")) | np.uint64(1)
 
 
 def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(chunk, lang, words, text): whole pieces of the texts of a language, A-Z lower-cased, pieces on lines of their own.
+    """(bunch, lang, words, size, text): whole pieces of the texts of a language, A-Z lower-cased, each on a line, compressed.
+
+    A row is a chunk; up to GROUP_CHUNKS chunks of a language from one task share a bunch.
 
     A null lang is ``und``, a null text is empty. Documents longer than a chunk are cut between pieces; a longer piece
     stays whole.
@@ -37,13 +45,20 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         held: dict[str, list[bytes]] = {}
         sizes: dict[str, int] = {}
         number = TaskContext.get().partitionId() << 33
+        bunches: dict[str, list[int]] = {}
 
         def flush(lang: str) -> pa.RecordBatch:
             nonlocal number
-            text, number = b"\n".join(held.pop(lang)), number + 1
+            text = b"\n".join(held.pop(lang))
             del sizes[lang]
-            values = [pa.array([number]), pa.array([lang]), pa.array([len(text.split())]), pa.array([text], pa.binary())]
-            return pa.RecordBatch.from_arrays(values, ["chunk", "lang", "words", "text"])
+            bunch = bunches.setdefault(lang, [0, GROUP_CHUNKS])
+            if bunch[1] == GROUP_CHUNKS:
+                bunch[:] = number, 0
+                number += 1
+            bunch[1] += 1
+            values = [pa.array([bunch[0]]), pa.array([lang]), pa.array([len(text.split())]), pa.array([len(text)])]
+            values.append(pa.array([pa.compress(text, codec="zstd", asbytes=True)], pa.binary()))
+            return pa.RecordBatch.from_arrays(values, ["bunch", "lang", "words", "size", "text"])
 
         for batch in batches:
             for lang, whole in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -66,19 +81,20 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     texts = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
     )
-    return texts.mapInArrow(gather, "chunk long, lang string, words long, text binary")
+    return texts.mapInArrow(gather, "bunch long, lang string, words long, size long, text binary")
 
 
-def numbered(text: bytes) -> tuple[list[bytes], np.ndarray]:
+def numbered(compressed: bytes, size: int) -> tuple[list[bytes], np.ndarray]:
     """The distinct words of a chunk, and the number of each word of it; 0 and 1 are blanks and ends of pieces."""
     names: dict[bytes, int] = {b"": 0, b"\n": 1}
+    text = pa.decompress(compressed, size, codec="zstd", asbytes=True)
     tokens = text.replace(b"\n", b" \n ").split(b" ")
     ids = np.fromiter((names.setdefault(t, len(names)) for t in tokens), "int64", len(tokens))
     return list(names), ids[ids != 0]
 
 
 def gram_codes(lang: str, words: list[bytes], ids: np.ndarray, parts: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For 1 to LONGEST words: where phrases start in ``ids``, and their code: hash partition, then 32 bits of the hash."""
+    """For 1 to LONGEST words: where phrases start in ``ids``, and their code: hash partition, then KEY_BITS of the hash."""
     prefix = blake2b(lang.encode("utf-8", "surrogatepass"), digest_size=16).digest()
     hashed = np.frombuffer(b"".join(blake2b(w, digest_size=8, key=prefix).digest() for w in words), "<u8")[ids]
     inside, value, found = ids > 1, np.zeros(len(ids), "uint64"), []
@@ -87,13 +103,13 @@ def gram_codes(lang: str, words: list[bytes], ids: np.ndarray, parts: int) -> li
         inside = inside[:size] & (ids[n:] > 1)
         value = mixed(value[:size] * FACTORS[n] + hashed[n:])
         at = np.flatnonzero(inside)
-        high, low = value[at] >> np.uint64(32), value[at] & np.uint64(0xFFFFFFFF)
-        found.append((at, ((high * np.uint64(parts)) >> np.uint64(32) << np.uint64(32)) | low))
+        high, low = value[at] >> np.uint64(32), value[at] & ((np.uint64(1) << KEY_BITS) - np.uint64(1))
+        found.append((at, ((high * np.uint64(parts)) >> np.uint64(32) << KEY_BITS) | low))
     return found
 
 
 def packed(keys: np.ndarray) -> bytes:
-    """Sorted 32-bit keys as differences, byte by byte of lesser weight first, so that compression finds the zeros."""
+    """Sorted keys of up to 32 bits as differences, byte by byte of lesser weight first, so that compression finds the zeros."""
     steps = np.diff(keys.astype("<u4"), prepend=np.zeros(1, "<u4"))
     return steps.astype("<u4").view("u1").reshape(-1, 4).T.tobytes()
 
@@ -142,33 +158,54 @@ class Summary:
         return self.keys[self.counts + self.lost >= threshold]
 
 
-def chunk_summaries(chunks: DataFrame, parts: int) -> DataFrame:
-    """(part, chunk, once, more, times): the keys of a chunk in a hash partition, by those seen once and more often."""
+def merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes and the sums of their counts."""
+    keys, place = np.unique(np.concatenate(codes), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate(counts), len(keys)).astype("int64")
+
+
+def bunch_summaries(chunks: DataFrame, parts: int) -> DataFrame:
+    """(part, bunch, once, more, times): the keys of a bunch in a hash partition, by those seen once and more often.
+
+    Chunks of a bunch are added up where one task reads them, MOST_CODES in hand at most; several rows of one are added later.
+    """
+
+    def rows_of(bunch: int, codes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        of = (codes >> KEY_BITS).astype("int32")
+        keys = (codes & ((np.uint64(1) << KEY_BITS) - np.uint64(1))).astype("uint32")
+        edges = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        rows: list[tuple] = []
+        for start, end in zip(edges, np.r_[edges[1:], len(of)], strict=True):
+            k, n = keys[start:end], counts[start:end]
+            rows.append((packed(k[n == 1]), packed(k[n > 1]), n[n > 1].astype("<u4").tobytes()))
+        values = [pa.array(of[edges]), pa.array(np.full(len(edges), bunch)), *(pa.array([r[n] for r in rows], pa.binary()) for n in range(3))]
+        return pa.RecordBatch.from_arrays(values, ["part", "bunch", "once", "more", "times"])
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for chunk, lang, text in zip(*batch.columns, strict=True):
-                found = gram_codes(lang.as_py(), *numbered(text.as_py()), parts)
-                codes, counts = np.unique(np.concatenate([np.zeros(0, "uint64"), *(c for _, c in found)]), return_counts=True)
+            for bunch, lang, size, text in zip(*(c for c in batch.columns), strict=True):
+                found = [c for _, c in gram_codes(lang.as_py(), *numbered(text.as_py(), size.as_py()), parts)]
+                codes, counts = np.unique(np.concatenate([np.zeros(0, "uint64"), *found]), return_counts=True)
                 if not len(codes):
                     continue
-                of = (codes >> np.uint64(32)).astype("int64")
-                keys = codes.astype("uint32")
-                edges = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-                rows: list[tuple] = []
-                for start, end in zip(edges, np.r_[edges[1:], len(of)], strict=True):
-                    k, n = keys[start:end], counts[start:end]
-                    rows.append((packed(k[n == 1]), packed(k[n > 1]), n[n > 1].astype("<u4").tobytes()))
-                values = [pa.array(of[edges].astype("int32")), pa.array(np.full(len(edges), chunk.as_py())), *(pa.array([r[n] for r in rows], pa.binary()) for n in range(3))]
-                yield pa.RecordBatch.from_arrays(values, ["part", "chunk", "once", "more", "times"])
+                key = bunch.as_py()
+                if key in held:
+                    codes, counts = merged([held[key][0], codes], [held[key][1], counts])
+                held[key] = codes, counts
+                while sum(len(c) for c, _ in held.values()) > MOST_CODES:
+                    largest = max(held, key=lambda k: len(held[k][0]))
+                    yield rows_of(largest, *held.pop(largest))
+        for key in list(held):
+            yield rows_of(key, *held.pop(key))
 
-    return chunks.select("chunk", "lang", "text").mapInArrow(summarise, "part int, chunk long, once binary, more binary, times binary")
+    return chunks.select("bunch", "lang", "size", "text").mapInArrow(summarise, "part int, bunch long, once binary, more binary, times binary")
 
 
 def surviving_keys(summaries: DataFrame, threshold: int) -> DataFrame:
-    """(chunk, part, keys): those keys of a chunk that occur ``threshold`` times or more in all, and few others.
+    """(bunch, part, keys): those keys of a bunch that occur ``threshold`` times or more in all, and few others.
 
-    A hash partition has PART_MASS phrases or so, counted once a chunk each, so what meets here is bounded however large
+    A hash partition has PART_MASS phrases or so, counted once a bunch each, so what meets here is bounded however large
     the corpus is; its summary has more counters than its mass over ``threshold``.
     """
 
@@ -181,40 +218,58 @@ def surviving_keys(summaries: DataFrame, threshold: int) -> DataFrame:
         for keys, counts in lists:
             summary.add(keys, counts)
         frequent = summary.at_least(threshold)
-        kept = [np.sort(keys[np.isin(keys, frequent)]) for keys, _ in lists]
-        some = np.array([len(k) > 0 for k in kept])
-        return pd.DataFrame({"chunk": rows["chunk"][some], "part": rows["part"][some], "keys": [packed(k) for k in kept if len(k)]})
+        out: dict[int, list[np.ndarray]] = defaultdict(list)
+        for bunch, (keys, _) in zip(rows["bunch"], lists, strict=True):
+            out[bunch].append(keys[np.isin(keys, frequent)])
+        kept = [packed(np.unique(np.concatenate(k))) for k in out.values()]
+        return pd.DataFrame({"bunch": list(out), "part": rows["part"].iloc[0], "keys": pd.Series(kept, dtype=object)})
 
-    return summaries.groupBy("part").applyInPandas(survive, "chunk long, part int, keys binary")
+    return summaries.groupBy("part").applyInPandas(survive, "bunch long, part int, keys binary").where("length(keys) > 0")
 
 
 def exact_counts(chunks: DataFrame, survivors: DataFrame, parts: int, threshold: int) -> DataFrame:
-    """(lang, phrase, size, f) of all phrases that occur ``threshold`` times: the texts again, phrases as they are."""
+    """(lang, phrase, size, f) of all phrases that occur ``threshold`` times: the texts again, phrases as they are.
+
+    A phrase is looked at only where its first words are a survivor as well: they occur as often at least.
+    """
+    kept_bits = np.uint64((1 << 20) - 1)
 
     def count(_: tuple, texts: pd.DataFrame, lists: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {"lang": [], "phrase": [], "size": [], "n": []}
+        rows: list[tuple[bytes, int, str]] = []  # neighbours begin alike, which compresses
         if len(lists):
-            wanted = [unpacked(k).astype("uint64") | np.uint64(p << 32) for p, k in zip(lists["part"], lists["keys"], strict=True)]
+            wanted = [unpacked(k).astype("uint64") | (np.uint64(p) << KEY_BITS) for p, k in zip(lists["part"], lists["keys"], strict=True)]
             frequent = np.sort(np.concatenate(wanted))
-            for lang, text in zip(texts["lang"], texts["text"], strict=True):
-                words, ids = numbered(text)
-                prefix = np.zeros(len(ids), "int64")
-                for size, (at, codes) in enumerate(gram_codes(lang, words, ids, parts), 1):
-                    # a number for each distinct phrase: that of the phrase without its last word, and the last word
-                    exact = np.unique(prefix[: len(ids) - size + 1] * len(words) + ids[size - 1 :], return_inverse=True)[1]
-                    prefix = exact
+            maybe = np.zeros(int(kept_bits) + 1, bool)
+            maybe[frequent & kept_bits] = True
+            for lang, size, text in zip(texts["lang"], texts["size"], texts["text"], strict=True):
+                words, ids = numbered(text, size)
+                number, before = ids.copy(), np.ones(len(ids), bool)
+                for n, (at, codes) in enumerate(gram_codes(lang, words, ids, parts), 1):
+                    some = before[at] & maybe[codes & kept_bits]
+                    at, codes = at[some], codes[some]
                     at = at[frequent[np.minimum(np.searchsorted(frequent, codes), len(frequent) - 1)] == codes]
-                    _, first, n = np.unique(exact[at], return_index=True, return_counts=True)
-                    out["phrase"] += [b" ".join([words[i] for i in ids[s : s + size]]) for s in at[first]]
-                    out["n"] += n.tolist()
-                    out["size"] += [size] * len(n)
-                    out["lang"] += [lang] * len(n)
-        return pd.DataFrame({name: pd.Series(values, dtype=object if name in ("lang", "phrase") else "int64") for name, values in out.items()})
-
-    pairs = chunks.select("chunk", "lang", "text").groupBy("chunk").cogroup(survivors.groupBy("chunk"))
-    local = pairs.applyInPandas(count, "lang string, phrase binary, size int, n long")
-    total = local.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("f"))
-    return total.where(F.col("f") >= threshold).select("lang", F.col("phrase").cast("string").alias("phrase"), "size", "f")
+                    if n == 1:
+                        times = np.bincount(ids[at], minlength=len(words))
+                        spelt = [[i] for i in np.flatnonzero(times).tolist()]
+                        times = times[times > 0]
+                    else:
+                        # a number for each distinct phrase: from that of the phrase without its last word, and the last word
+                        _, first, exact, times = np.unique(
+                            number[at] * len(words) + ids[at + n - 1], return_index=True, return_inverse=True, return_counts=True
+                        )
+                        number[at] = exact
+                        spelt = zip(*(ids[at[first] + d].tolist() for d in range(n)), strict=True)
+                    before = np.zeros(len(ids), bool)
+                    before[at] = True
+                    rows += sorted(zip((b" ".join([words[i] for i in w]) for w in spelt), times.tolist(), [lang] * len(times), strict=True))
+        values = zip(*((lang, phrase, n) for phrase, n, lang in rows), strict=True) if rows else ((), (), ())
+        return pd.DataFrame({k: pd.Series(list(v), dtype=t) for k, v, t in zip(("lang", "phrase", "n"), values, (object, object, "int64"), strict=True)})
+
+    pairs = chunks.select("bunch", "lang", "size", "text").groupBy("bunch").cogroup(survivors.groupBy("bunch"))
+    local = pairs.applyInPandas(count, "lang string, phrase binary, n long")
+    total = local.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= threshold)
+    phrase = F.col("phrase").cast("string")
+    return total.select("lang", phrase.alias("phrase"), F.size(F.split(phrase, " ")).alias("size"), "f")
 
 
 def scored(counts: DataFrame, share: int = 50) -> DataFrame:
@@ -222,23 +277,34 @@ def scored(counts: DataFrame, share: int = 50) -> DataFrame:
 
     Products are decimals of 38 digits: exact for counts up to 10^16.
     """
-    words = F.split("phrase", " ")
-    several = counts.where("size > 1").withColumn("w", words)
-    cut = F.transform(
-        F.sequence(F.lit(1), F.size("w") - 1),
-        lambda k: F.struct(k.alias("k"), F.array_join(F.slice("w", 1, k), " ").alias("left"), F.array_join(F.slice("w", k + 1, F.size("w")), " ").alias("right")),
-    )
-    cuts = several.select("lang", "phrase", F.col("f").alias("a"), F.explode(cut).alias("cut")).select("lang", "phrase", "a", "cut.*")
-    left = counts.select("lang", F.col("phrase").alias("left"), F.col("f").alias("l"))
-    right = counts.select("lang", F.col("phrase").alias("right"), F.col("f").alias("r"))
-    a, l, r = (F.col(c).cast("decimal(19,0)") for c in "alr")
-    million = F.lit(1_000_000).cast("decimal(7,0)")
-    parts = cuts.join(left, ["lang", "left"]).join(right, ["lang", "right"]).withColumns({"up": a * a * million, "down": l * r})
-    least = parts.withColumn("score", F.expr("up div down")).groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("best"))
-    inner = F.array(F.array_join(F.slice("w", 1, F.size("w") - 1), " "), F.array_join(F.slice("w", 2, F.size("w")), " "))
-    longer = several.where("size > 2").select("lang", F.explode(inner).alias("phrase"), "f").groupBy("lang", "phrase").agg(F.max("f").alias("longer"))
-    kept = least.join(longer, ["lang", "phrase"], "left").where(f"longer is null or 100 * longer < {share} * a")
-    return kept.select("lang", "phrase", "a", "best.l", "best.r", "best.score")
+    w = F.split("phrase", " ")
+
+    def words(first: int, last: int) -> Column:
+        return F.array_join(F.slice(w, first, last - first + 1), " ")
+
+    def with_cut(rows: DataFrame, size: int, k: int) -> DataFrame:
+        """``cut``: the score of the cut after k words, k, and the counts of its parts."""
+        for name, part, of in (("l", words(1, k), k), ("r", words(k + 1, size), size - k)):
+            part_counts = counts.where(F.col("size") == of).select(F.col("lang").alias("_lang"), F.col("phrase").alias("_part"), F.col("f").alias(name))
+            rows = rows.join(part_counts, (F.col("lang") == F.col("_lang")) & (part == F.col("_part"))).drop("_lang", "_part")
+        a, l, r = (F.col(c).cast("decimal(19,0)") for c in "alr")
+        rows = rows.withColumns({"up": a * a * F.lit(1_000_000).cast("decimal(7,0)"), "down": l * r}).withColumn("score", F.expr("up div down"))
+        return rows.withColumn(f"cut{k}", F.struct("score", F.lit(k).alias("k"), "l", "r")).drop("up", "down", "score", "l", "r")
+
+    judged = []
+    for size in range(2, LONGEST + 1):
+        rows = counts.where(F.col("size") == size).select("lang", "phrase", F.col("f").alias("a"))
+        for k in range(1, size):
+            rows = with_cut(rows, size, k)
+        cuts = [F.col(f"cut{k}") for k in range(1, size)]
+        rows = rows.withColumn("best", F.least(*cuts) if len(cuts) > 1 else cuts[0])
+        if size < LONGEST:
+            inner = [F.array_join(F.slice(w, n, size), " ") for n in range(1, LONGEST - size + 2)]
+            holds = counts.where(F.col("size") == LONGEST).select("lang", F.explode(F.array(*inner)).alias("phrase"), "f")
+            longer = holds.groupBy("lang", "phrase").agg(F.max("f").alias("longer"))
+            rows = rows.join(longer, ["lang", "phrase"], "left").where(f"longer is null or 100 * longer < {share} * a")
+        judged.append(rows.select("lang", "phrase", "a", "best.l", "best.r", "best.score"))
+    return reduce(DataFrame.union, judged)
 
 
 def mined_phrases(docs: DataFrame, threshold: int = 10, share: int = 50, top: int = 2000) -> DataFrame:
@@ -254,13 +320,14 @@ def mined_phrases(docs: DataFrame, threshold: int = 10, share: int = 50, top: in
     totals = chunks.groupBy("lang").agg(F.sum("words").alias("n"))
     mass = LONGEST * (totals.agg(F.sum("n")).first()[0] or 0)
     parts = max(1, -(-mass // PART_MASS))
-    survivors = surviving_keys(chunk_summaries(chunks, parts), threshold)
+    survivors = surviving_keys(bunch_summaries(chunks, parts), threshold)
     counts = stored(exact_counts(chunks, survivors, parts, threshold))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    few, most = scored(counts, share), partitions(docs.sparkSession)
     # first within slices of a language, so that no task sorts all its phrases
-    slices = F.pmod(F.xxhash64("phrase"), F.lit(partitions(docs.sparkSession)))
-    some = scored(counts, share).withColumn("slice", slices)
-    few = some.withColumn("place", F.row_number().over(Window.partitionBy("lang", "slice").orderBy(*order))).where(F.col("place") <= top)
+    for slices in (most, math.isqrt(most)):
+        some = few.withColumn("slice", F.pmod(F.xxhash64("phrase"), F.lit(slices)))
+        few = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "slice").orderBy(*order))).where(F.col("rank") <= top)
     ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     found = stored(ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
     discard(chunks, counts)
