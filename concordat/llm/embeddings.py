@@ -68,7 +68,7 @@ def polytope_keys(unit: np.ndarray, tables: int, hashes: int, probes: int, seed:
 def cosine_links(
     vectors: DataFrame, threshold: float = 0.95, tables: int = 6, hashes: int = 3, probes: int = 4, seed: int = 7, block: int = 1024
 ) -> DataFrame:
-    """Links of distinct vectors (id, vector, copies): rows (a, b, n) in which n counts links of a, and a and b connect.
+    """Links of distinct vectors (id, vector, copies) with distinct ids: rows (a, b, n) in which n counts links of a, and a and b connect.
 
     Every vector goes into ``tables * probes`` buckets, and each two in a bucket are verified in double precision.
     Buckets are first sorted as keys and ids alone, and those of one vector dropped; only the others meet the vectors.
@@ -175,8 +175,9 @@ def embedding_components(df: DataFrame, id_column: str = "vec_id", vector_column
     """(id, n_links, component_id, kept) of every row: links at cosine ``threshold`` or more among all rows.
 
     Vectors that are null, empty, zero or hold null or non-finite numbers link with nothing. Equal vectors are brought
-    together first and count as links of each other. Repeated rows are vectors of their own. Vectors of different
-    length never link. Other columns are ignored.
+    together first and count as links of each other. Repeated rows are vectors of their own, and so are different vectors
+    of one id and vectors without an id; a component's id is the smallest there is in it, null if there is none. Vectors
+    of different length never link. Other columns are ignored.
     """
     vector = F.col(vector_column).cast("array<double>")
     usable = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x) < float("inf"))) & F.exists(vector, lambda x: x != 0)
@@ -184,19 +185,20 @@ def embedding_components(df: DataFrame, id_column: str = "vec_id", vector_column
         F.col(id_column).cast("long").alias("id"), F.col(vector_column).alias("vector"), F.coalesce(usable, F.lit(False)).alias("usable")
     )
     keyed = rows.withColumns({"h": F.xxhash64("vector"), "g": F.hash("vector")})
-    good = keyed.where("usable")
-    classes = stored(
-        good.groupBy("h", "g").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector"))
-    )
+    equal = keyed.where("usable").groupBy("h", "g").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector"))
+    # a class of equal vectors has a number of its own: ids may be null or stand for several vectors
+    classes = stored(equal.withColumn("id", F.monotonically_increasing_id()))
     links = stored(cosine_links(classes, **options))
     gained = links.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     roots = connected_components(links.where("a <> b"))
-    marks = stored(
-        classes.select("h", "g", "id", "copies")
+    joined = stored(
+        classes.select("h", "g", "id", "least", "copies")
         .join(gained, "id", "left")
         .join(roots, F.col("id") == F.col("node"), "left")
-        .select("h", "g", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("root", "id").alias("component_id"))
+        .select("h", "g", "least", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("root", "id").alias("root"))
     )
+    smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
+    marks = joined.drop("least").join(smallest, "root").select("h", "g", "n_links", "component_id")
     linked = keyed.where("usable").select("id", "h", "g").join(marks, ["h", "g"]).select("id", "n_links", "component_id")
     alone = keyed.where("not usable").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     done = linked.union(alone)

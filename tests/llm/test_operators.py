@@ -266,10 +266,12 @@ def test_personal_data(docs, nothing):
 
 
 def test_masked_scores(docs, nothing):
-    words = lm.vocabulary(docs)
+    words, shares, _ = lm.split_words(docs)
     counts = Counter(w for r in docs.collect() for w in lm.tokens_of(r.text))
-    assert words == [w.decode() for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))][: lm.WORDS - lm.BUCKETS]
-    weights = lm.trained_weights(docs, words, stride=2, batch=64)
+    least = max(lm.LEAST, math.ceil(lm.SHARE * math.sqrt(sum(counts.values()))))
+    assert words == [w.decode() for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if n >= least]
+    assert {r.word for r in shares.collect()} == {w.decode() for w, n in counts.items() if n < least}
+    weights = lm.trained_weights(docs, words, rounds=2, stride=2, batch=64)
     got = {r.doc_id: r for r in lm.pseudo_likelihood(docs, words, weights).collect()}
     ids = {w.encode(): n for n, w in enumerate(words)}
     for r in docs.where("doc_id in (0, 4, 6, 12)").collect():
@@ -363,6 +365,7 @@ def test_embeddings(spark):
     centres = rng.standard_normal((40, 32))
     rows = [(n, (centres[n % 40] + 0.12 * rng.standard_normal(32)).astype("float32").tolist()) for n in range(400)]
     rows += [(1000 + n, rows[3][1]) for n in range(5)] + [(2000, None), (2001, [0.0] * 32), (2002, [float("nan")] * 32), (2003, []), (2004, [1.0, None]), (3000, [1.0, 2.0]), (3001, [2.0, 4.0]), (3000, [1.0, 2.0])]
+    assert embeddings.embedding_components(spark.createDataFrame(rows[:0], "vec_id long, embedding array<float>")).count() == 0
     frame = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, key int")
     usable = [(i, np.array(v, "float64")) for i, v in rows if v and None not in v and np.isfinite(v).all() and any(v)]
     links = Counter()
@@ -381,6 +384,28 @@ def test_embeddings(spark):
     assert embeddings.embedding_components(frame.limit(0)).count() == 0
 
 
+def test_embeddings_without_ids_and_under_one_id(spark):
+    """Links are of rows: a null id has its own, and two vectors of one id do not share theirs."""
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((3, 64))
+    near = lambda n: (base[n] + 0.02 * rng.standard_normal(64)).tolist()
+    rows = [(None, near(0)), (5, near(0)), (7, near(1)), (7, near(1)), (7, near(0)), (9, near(2)), (9, near(1)), (None, near(2)), (None, None)]
+    vectors = [(n, np.array(v)) for n, (_, v) in enumerate(rows) if v]
+    links = {n: {m for m, b in vectors if m != n and a @ b / math.sqrt((a @ a) * (b @ b)) >= 0.95} for n, a in vectors}
+    want = []
+    for n, (key, v) in enumerate(rows):
+        seen, ahead = set(), {n}
+        while ahead:
+            seen |= ahead
+            ahead = {m for k in ahead for m in links.get(k, ())} - seen
+        least = min((rows[m][0] for m in seen if rows[m][0] is not None), default=None)
+        want.append((key, len(links.get(n, ())), least, key == least))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("least", F.lit(1)).withColumn("root", F.lit(2))
+    for block in (1024, 2):
+        got = [tuple(r) for r in embeddings.embedding_components(frame, block=block).collect()]
+        assert Counter(got) == Counter(want)
+
+
 def test_words_of_all_texts_have_probabilities(spark):
     """One-word texts share one context: their probabilities sum to 1, and rare words have their own by count."""
     texts = [f"common{n % 1100}" for n in range(1100 * 20)] + [f"rare{n}" for n in range(200) for _ in range(1 + n % 3)]
