@@ -21,8 +21,8 @@ from .common import free_name, stored
 CLASSES, MEMBERS, BUCKETS = 32, 32, 64
 #: A word is in the vocabulary if it occurs LEAST times and SHARE of the square root of all tokens.
 LEAST, SHARE = 20, 0.05
-#: Numbers of a piece of the weights, as tasks send them.
-PIECE = 1 << 14
+#: Numbers of a piece of the weights, as tasks send them, and partial averages of each.
+PIECE, SLOTS = 1 << 14, 256
 #: Words on either side, size of a word's vector, size of the hidden layer.
 SIDE, VECTOR, HIDDEN = 2, 16, 32
 WORDS = CLASSES * MEMBERS
@@ -47,11 +47,6 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame, limit: int = WORDS - BUCKETS) -> list[str]:
-    """The most frequent words of all texts, ties by the word itself; at most ``limit``."""
-    return [r["word"] for r in word_counts(docs).orderBy(F.desc("n"), "word").limit(limit).collect()]
-
-
 def split_words(docs: DataFrame) -> tuple[list[str], DataFrame, dict[int, int]]:
     """The vocabulary by counts, most frequent first; (word, log_share) of all other words; the tokens of each bucket.
 
@@ -106,14 +101,37 @@ def numbered(texts: list[str | None], ids: dict[bytes, int], total: int = WORDS)
     return np.array(flat, "int32"), np.array(sizes, "int64")
 
 
-def hidden_of(w: Weights, flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def by_class(flat: np.ndarray, at: np.ndarray, classes: int, members: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """Places in the order of the classes of their words; class and member of each, and where each class begins."""
+    cls = (flat[at] // np.int32(members)).astype("int16" if classes < 1 << 15 else "int32")
+    order = cls.argsort(kind="stable")
+    return order, cls[order], flat[at[order]] % np.int32(members), np.searchsorted(cls[order], np.arange(classes + 1)).tolist()
+
+
+def hidden_of(w: Weights, flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words around each place, their vectors in a row, the hidden layer."""
     around = np.stack([flat[at + d] for d in (*range(-SIDE, 0), *range(1, SIDE + 1))], 1)
-    return around, np.tanh(w["word"][around].reshape(len(at), -1) @ w["inner"] + w["inner_b"])
+    near = w["word"][around].reshape(len(at), -1)
+    hidden = near @ w["inner"]
+    hidden += w["inner_b"]
+    return around, near, np.tanh(hidden, out=hidden)
+
+
+def softmax_of(hidden: np.ndarray, weight: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    x = hidden @ weight
+    x += bias
+    x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(1, keepdims=True)
+    return x
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def log_probability(hidden: np.ndarray, weight: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    x = hidden @ weight
+    x += bias
+    x -= x.max(1, keepdims=True)
+    own = x[np.arange(len(x)), chosen]
+    return own - np.log(np.exp(x, out=x).sum(1))
 
 
 def log_probabilities(w: Weights, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -122,60 +140,62 @@ def log_probabilities(w: Weights, flat: np.ndarray, at: np.ndarray) -> np.ndarra
     classes, members = w["member_b"].shape
     for s in range(0, len(at), 16384):
         some = at[s : s + 16384]
-        _, hidden = hidden_of(w, flat, some)
-        cls, member = np.divmod(flat[some], members)
-        row = np.arange(len(some))
-        total = log_softmax(hidden @ w["cls"] + w["cls_b"])[row, cls]
-        order = cls.argsort(kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(classes + 1))
+        order, cls, member, edges = by_class(flat, some, classes, members)
+        _, _, hidden = hidden_of(w, flat, some[order])
+        total = log_probability(hidden, w["cls"], w["cls_b"], cls)
         for c in range(classes):
-            rows = order[edges[c] : edges[c + 1]]
-            if len(rows):
-                total[rows] += log_softmax(hidden[rows] @ w["member"][c] + w["member_b"][c])[np.arange(len(rows)), member[rows]]
-        out[s : s + 16384] = total
+            part = slice(edges[c], edges[c + 1])
+            if edges[c] < edges[c + 1]:
+                total[part] += log_probability(hidden[part], w["member"][c], w["member_b"][c], member[part])
+        out[s + order] = total
     return out
 
 
 class Trainer:
     """Adam on batches of masked places, from given weights."""
 
-    def __init__(self, weights: Weights, rate: float = 0.01):
+    def __init__(self, weights: Weights, rate: float = 0.02):
         self.w = {k: v.copy() for k, v in weights.items()}
-        self.m = {k: np.zeros_like(v) for k, v in weights.items()}
-        self.v = {k: np.zeros_like(v) for k, v in weights.items()}
+        self.m, self.v, self.g, self.spare = ({k: np.zeros_like(v) for k, v in weights.items()} for _ in range(4))
         self.rate, self.steps, self.places = rate, 0, 0
 
     def step(self, flat: np.ndarray, at: np.ndarray) -> None:
-        w, n, row = self.w, len(at), np.arange(len(at))
+        w, g, n = self.w, self.g, len(at)
         classes, members = w["member_b"].shape
-        around, hidden = hidden_of(w, flat, at)
-        cls, member = np.divmod(flat[at], members)
-        d_cls = np.exp(log_softmax(hidden @ w["cls"] + w["cls_b"]))
-        d_cls[row, cls] -= 1
-        g = {k: np.zeros_like(v) for k, v in w.items()}
-        d_hidden = d_cls @ w["cls"].T
-        g["cls"], g["cls_b"] = hidden.T @ d_cls, d_cls.sum(0)
-        order = cls.argsort(kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(classes + 1))
+        order, cls, member, edges = by_class(flat, at, classes, members)
+        around, near, hidden = hidden_of(w, flat, at[order])
+        row = np.arange(n)
+        d = softmax_of(hidden, w["cls"], w["cls_b"])
+        d[row, cls] -= 1
+        d_hidden = d @ w["cls"].T
+        g["cls"][:], g["cls_b"][:] = hidden.T @ d, d.sum(0)
+        g["member"][:] = g["member_b"][:] = 0
         for c in range(classes):
-            rows = order[edges[c] : edges[c + 1]]
-            if len(rows):
-                d = np.exp(log_softmax(hidden[rows] @ w["member"][c] + w["member_b"][c]))
-                d[np.arange(len(rows)), member[rows]] -= 1
-                g["member"][c], g["member_b"][c] = hidden[rows].T @ d, d.sum(0)
-                d_hidden[rows] += d @ w["member"][c].T
-        d_in = d_hidden * (1 - hidden * hidden)
-        g["inner"], g["inner_b"] = w["word"][around].reshape(n, -1).T @ d_in, d_in.sum(0)
-        d_words = (d_in @ w["inner"].T).reshape(-1, VECTOR)
+            part = slice(edges[c], edges[c + 1])
+            if edges[c] < edges[c + 1]:
+                d = softmax_of(hidden[part], w["member"][c], w["member_b"][c])
+                d[row[: len(d)], member[part]] -= 1
+                g["member"][c], g["member_b"][c] = hidden[part].T @ d, d.sum(0)
+                d_hidden[part] += d @ w["member"][c].T
+        d_hidden *= 1 - hidden * hidden
+        g["inner"][:], g["inner_b"][:] = near.T @ d_hidden, d_hidden.sum(0)
+        d_words = np.ascontiguousarray((d_hidden @ w["inner"].T).reshape(-1, VECTOR).T)
+        spots = around.ravel()
         for k in range(VECTOR):
-            g["word"][:, k] = np.bincount(around.ravel(), d_words[:, k], len(w["word"]))
+            g["word"][:, k] = np.bincount(spots, d_words[k], len(w["word"]))
         self.steps += 1
         self.places += n
         for k, x in g.items():
+            m, v, spare = self.m[k], self.v[k], self.spare[k]
             x /= n
-            self.m[k] += 0.1 * (x - self.m[k])
-            self.v[k] += 0.01 * (x * x - self.v[k])
-            w[k] -= self.rate * (self.m[k] / (1 - 0.9**self.steps)) / (np.sqrt(self.v[k] / (1 - 0.99**self.steps)) + 1e-6)
+            m += np.multiply(np.subtract(x, m, out=spare), 0.1, out=spare)
+            x *= x
+            v += np.multiply(np.subtract(x, v, out=spare), 0.01, out=spare)
+            np.sqrt(np.divide(v, 1 - 0.99**self.steps, out=spare), out=spare)
+            spare += 1e-6
+            np.divide(m, spare, out=spare)
+            spare *= self.rate / (1 - 0.9**self.steps)
+            w[k] -= spare
 
 
 def places_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,14 +211,15 @@ def masked_places(sizes: np.ndarray, turn: int, stride: int) -> np.ndarray:
 
 
 def trained_weights(
-    docs: DataFrame, words: list[str], rounds: int = 2, stride: int = 2, batch: int = 1024, seed: int = 7, buckets: Iterable[int] = range(BUCKETS)
+    docs: DataFrame, words: list[str], rounds: int = 1, stride: int = 1, batch: int = 4096, seed: int = 7, buckets: Iterable[int] = range(BUCKETS)
 ) -> Weights:
     """Weights after ``rounds`` passes over the whole corpus, each partition on its own and then averaged.
 
     In every text one word in ``stride`` is masked, another one in each round, so as many rounds as ``stride`` predict
     every word of every text (see ``masked_places``). A task trains from the common weights
-    on all its texts; Spark averages the tasks' weights by masked places, piece by piece, so what the driver gets is
-    one number a weight. The passes are finished before scoring starts. ``buckets`` are those that words fall into.
+    on all its texts; Spark averages the tasks' weights by masked places, piece by piece, in SLOTS sums first, so no group
+    has a row of every task, and the driver gets one number a weight. The passes are finished before scoring starts.
+    ``buckets`` are those that words fall into.
     """
     ids = {w.encode("utf-8"): n for n, w in enumerate(words)}
     weights = fresh_weights(seed, *shape_of(len(words)))
@@ -209,22 +230,25 @@ def trained_weights(
         def train(batches: Iterator[pd.DataFrame], weights: Weights = weights, turn: int = turn) -> Iterator[pd.DataFrame]:
             trainer = Trainer(weights)
             for part in batches:
-                for s in range(0, len(part), 256):
-                    flat, sizes = numbered(part["text"].iloc[s : s + 256].tolist(), ids, len(weights["word"]) - 1)
+                for s in range(0, len(part), 1024):
+                    flat, sizes = numbered(part["text"].iloc[s : s + 1024].tolist(), ids, len(weights["word"]) - 1)
                     masked = np.random.default_rng(turn).permutation(masked_places(sizes, turn, stride))
                     for b in range(0, len(masked), batch):
                         trainer.step(flat, masked[b : b + batch])
             if trainer.places:
                 value = np.concatenate([trainer.w[k].ravel() for k in names])
                 pieces = [value[s : s + PIECE].astype("<f4").tobytes() for s in range(0, len(value), PIECE)]
-                yield pd.DataFrame({"piece": np.arange(len(pieces)), "value": pieces, "places": trainer.places})
+                slot = TaskContext.get().partitionId() % SLOTS
+                yield pd.DataFrame({"piece": np.arange(len(pieces)), "slot": slot, "value": pieces, "places": trainer.places})
 
         def average(rows: pd.DataFrame) -> pd.DataFrame:
             total = sum(np.frombuffer(v, "<f4").astype("float64") * n for v, n in zip(rows["value"], rows["places"], strict=True))
-            return pd.DataFrame({"piece": rows["piece"].iloc[:1], "value": [(total / rows["places"].sum()).astype("<f4").tobytes()]})
+            mean = (total / rows["places"].sum()).astype("<f4").tobytes()
+            return rows.iloc[:1].assign(value=[mean], places=rows["places"].sum())
 
-        sent = docs.select("text").mapInPandas(train, "piece int, value binary, places long")
-        means = sent.groupBy("piece").applyInPandas(average, "piece int, value binary").collect()
+        fields = "piece int, slot int, value binary, places long"
+        sent = docs.select("text").mapInPandas(train, fields)
+        means = sent.groupBy("piece", "slot").applyInPandas(average, fields).groupBy("piece").applyInPandas(average, fields).collect()
         if not means:
             return weights
         mean = np.frombuffer(b"".join(bytes(r["value"]) for r in sorted(means, key=lambda r: r["piece"])), "<f4")
