@@ -57,7 +57,7 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
                 number += 1
             bunch[1] += 1
             values = [pa.array([bunch[0]]), pa.array([lang]), pa.array([len(text.split())]), pa.array([len(text)])]
-            values.append(pa.array([pa.compress(text, codec="zstd", asbytes=True)], pa.binary()))
+            values.append(pa.array([pa.Codec("zstd", compression_level=9).compress(text, asbytes=True)], pa.binary()))
             return pa.RecordBatch.from_arrays(values, ["bunch", "lang", "words", "size", "text"])
 
         for batch in batches:
