@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from pathlib import PurePosixPath
 from urllib.parse import unquote
 
 import pandas as pd
@@ -10,6 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..model import CheckResult, DatasetSpec, ERROR, INFO, issue, issues_frame, local_table
+from .layouts import layout_rows
+from .readers import DELIMITERS
 
 FILE_COLUMNS = ("path", "name", "size_bytes", "modified_at", "suffix")
 # Files up to this size are hashed from their content column; larger ones are streamed.
@@ -134,6 +137,10 @@ def validate_file_input(spark: SparkSession, spec: DatasetSpec, include_hash: bo
     if not found:
         empty = local_table(spark, [], "path string, size_bytes long, sha256 string")
         return CheckResult(step, spec.dataset_id, empty, issues)
+    kind = (spec.file_type or PurePosixPath(str(spec.path)).suffix.lstrip(".")).lower()
+    if kind in DELIMITERS and not spec.header_strategy:
+        rows = layout_rows(spark, spec.path, DELIMITERS[kind], spec.dataset_id)
+        issues = issues.union(issues_frame(spark, rows)) if rows else issues
     metadata = collect_file_metadata(spark, spec.path, include_hash)
     shown = ["path", "size_bytes", *(["sha256"] if include_hash else [])]
     return CheckResult(step, spec.dataset_id, metadata.select(*shown), issues)

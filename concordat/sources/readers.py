@@ -6,11 +6,13 @@ from collections.abc import Sequence
 from functools import reduce
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import ref
-from ..model import DatasetSpec
+from ..model import DatasetSpec, local_table
 from ..operators.headers import clean_header, unique_headers
+from ..session import stored
+from .layouts import by_layout, head_rows, literal_path
 
 DELIMITERS = {"csv": ",", "tsv": "\t"}
 TWO_ROW_HEADER = "two_row_header"
@@ -37,6 +39,15 @@ def _text_reader(spark: SparkSession, sep: str, header: bool, multi_line: bool):
     return spark.read.options(**options)
 
 
+def _by_name(spark: SparkSession, path: str, sep: str, multi_line: bool) -> DataFrame:
+    layouts = by_layout([(file, tuple(rows[0])) for file, rows in head_rows(spark, path, sep)])
+    reader = _text_reader(spark, sep, True, multi_line)
+    if len(layouts) < 2:
+        return reader.csv(path)
+    scans = [reader.csv([literal_path(f) for f in files]) for _, files in layouts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -48,8 +59,10 @@ def read_table(
 ) -> DataFrame:
     """Read CSV, TSV or Parquet; an explicit type wins over the suffix.
 
-    ``columns`` names the columns of text files, which saves looking at a header first. Set
-    ``multi_line`` for files with quoted line breaks; such files cannot be split among tasks.
+    Text files are read by name: the files of a folder may have their columns in any order, and a column that a file
+    lacks is null there. Files of one header share a scan. ``columns`` selects columns by name (null where no file has
+    one). ``layout_findings`` tells which files lack what. Set ``multi_line`` for files with quoted line breaks; such files
+    cannot be split among tasks.
     """
     kind = _format_of(path, file_type)
     if kind == "parquet":
@@ -57,10 +70,10 @@ def read_table(
     if kind == TWO_ROW_HEADER:
         return read_two_row_header(spark, path, na_texts=na_texts, multi_line=multi_line)
     if kind in DELIMITERS:
-        reader = _text_reader(spark, DELIMITERS[kind], True, multi_line)
+        df = _by_name(spark, str(path), DELIMITERS[kind], multi_line)
         if columns:
-            reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-        return _na_to_null(reader.csv(str(path)), na_texts)
+            df = df.select(*[ref(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])
+        return _na_to_null(df, na_texts)
     raise ValueError(f"Unsupported file type: {kind}")
 
 
@@ -101,46 +114,48 @@ def read_two_row_header(
 ) -> DataFrame:
     """Export whose columns up to a boundary letter are named in one row and the rest in another.
 
-    The rows above the data are dropped from every file read. Only the first block of a file can
-    hold them, so only its rows are numbered; all later blocks pass straight through.
+    Every file is named by its own rows; files of one layout share a scan, and layouts are joined by name, null where a
+    file lacks a column. The rows above the data are dropped from every file. The text is parsed once, into a stored
+    table that numbers its rows in the order of the files, so a file's first rows are those next to its least number.
     """
     named_rows = max(demographics_header_row, clinical_header_row)
     skipped = named_rows + max(skip_rows_after_header, 0)
-    # a row without any cell still has its separators; wholly empty lines are not rows
-    raw = _text_reader(spark, sep, False, multi_line).csv(str(path))
-    width = len(raw.columns)
-    if width == 0:
+    heads = head_rows(spark, path, sep, named_rows)
+    if not heads:
         raise ValueError(f"The export '{path}' does not contain any columns.")
-    placed = raw.select(
-        *[F.col(c).alias(f"c{i}") for i, c in enumerate(raw.columns)],
-        F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.file_block_start").alias("__block"),
-    ).withColumn("__id", F.monotonically_increasing_id())
-    data = [f"c{i}" for i in range(width)]
-
-    # bounded by one input block, however large the file
-    in_file = Window.partitionBy("__file").orderBy("__id")
-    first_block = placed.filter(F.col("__block") == 0).withColumn("__row", F.row_number().over(in_file))
-    head = first_block.filter(F.col("__row") <= named_rows)
-    first_file = head.agg(F.min("__file").alias("f")).first()["f"]
-    rows = head.filter(F.col("__file") == first_file).orderBy("__row").limit(named_rows).select(*data).collect()
-    if len(rows) < named_rows:
-        raise ValueError(f"The export '{path}' must include at least {named_rows} rows; got {len(rows)} rows.")
-
-    last = min(column_index(demographics_column_end), width - 1)
-    groups = (
-        ("demographic", demographics_header_row, range(0, last + 1)),
-        ("variable", clinical_header_row, range(last + 1, width)),
-    )
-    names: list[str] = []
-    for label, row, positions in groups:
-        cleaned = [clean_header(rows[row - 1][i], "") for i in positions]
-        empty = [str(i + 1) for i, name in zip(positions, cleaned) if not name]
-        if empty:
-            raise ValueError(
-                f"The export '{path}' has empty {label} headers in row {row} for columns: {', '.join(empty)}."
-            )
-        names += cleaned
-    below = first_block.filter(F.col("__row") > skipped).select(*data)
-    rest = placed.filter(F.col("__block") > 0).select(*data)
-    return _na_to_null(below.unionByName(rest).toDF(*unique_headers(names)), na_texts)
+    boundary = column_index(demographics_column_end)
+
+    def names_of(file: str, rows: list[list[str]]) -> tuple[str, ...]:
+        label = path if len(heads) == 1 else file
+        if len(rows) < named_rows:
+            raise ValueError(f"The export '{label}' must include at least {named_rows} rows; got {len(rows)} rows.")
+        width = max(map(len, rows))
+        last = min(boundary, width - 1)
+        groups = (
+            ("demographic", demographics_header_row, range(0, last + 1)),
+            ("variable", clinical_header_row, range(last + 1, width)),
+        )
+        names: list[str] = []
+        for group, row, positions in groups:
+            texts = rows[row - 1]
+            cleaned = [clean_header(texts[i] if i < len(texts) else None, "") for i in positions]
+            empty = [str(i + 1) for i, name in zip(positions, cleaned) if not name]
+            if empty:
+                raise ValueError(
+                    f"The export '{label}' has empty {group} headers in row {row} for columns: {', '.join(empty)}."
+                )
+            names += cleaned
+        return tuple(unique_headers(names))
+
+    parts = []
+    for names, files in by_layout([(file, names_of(file, rows)) for file, rows in heads]):
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        # a row without any cell still has its separators; wholly empty lines are not rows
+        raw = _text_reader(spark, sep, False, multi_line).schema(schema).csv([literal_path(f) for f in files])
+        file, block = F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block")
+        placed = stored(raw.select(*schema.names, file, block, F.monotonically_increasing_id().alias("__id")))
+        first = placed.filter("__block = 0").groupBy("__file").agg(F.min("__id").alias("__first")).collect()
+        firsts = local_table(spark, [tuple(r) for r in first], "__file string, __first long")
+        below = placed.join(firsts, "__file", "left").filter(f"__block > 0 or __id >= __first + {skipped}")
+        parts.append(below.select(*schema.names).toDF(*names))
+    return _na_to_null(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), na_texts)

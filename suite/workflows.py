@@ -196,20 +196,48 @@ def two_row_header_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch(spark, 'export')}/lines"
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
     above = ["Export,,,", "ids,,flag, flag", "l_orderkey,line,x,y", "no,no,text,text"]
-    # a line per row; the rows above the data come first in every file
-    heads = spark.createDataFrame([(n, 0, n_row, row) for n in range(3) for n_row, row in enumerate(above)], "file int, kind int, at long, value string")
+    # a line per row, a file for each 50,000 orders' numbers; the rows above the data come first in every file
+    files = spark.range(0, 1 + lines.agg(F.max("l_orderkey")).first()[0] // 50_000).select(F.col("id").cast("int").alias("file"))
+    above = F.posexplode(F.array(*[F.lit(row) for row in above])).alias("at", "value")
+    heads = files.select("file", F.lit(0).alias("kind"), above).select("file", "kind", F.col("at").cast("long").alias("at"), "value")
     rows = lines.select(
-        F.pmod("l_orderkey", F.lit(3)).cast("int").alias("file"), F.lit(1).alias("kind"), F.col("l_orderkey").cast("long").alias("at"),
+        F.floor(F.col("l_orderkey") / 50_000).cast("int").alias("file"), F.lit(1).alias("kind"), F.col("l_orderkey").cast("long").alias("at"),
         F.concat_ws(",", *lines.columns).alias("value"),
     )
     ordered = heads.union(rows).repartition("file").sortWithinPartitions("file", "kind", "at")
     ordered.select("file", "value").write.partitionBy("file").text(path)
-    exports = [f"{path}/file={n}" for n in range(3)]
-    parts = [
-        read_two_row_header(
-            spark, export, demographics_column_end="B", demographics_header_row=3, clinical_header_row=2,
-            skip_rows_after_header=1,
-        )
-        for export in exports
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return read_two_row_header(
+        spark, f"{path}/*", demographics_column_end="B", demographics_header_row=3, clinical_header_row=2, skip_rows_after_header=1
+    )
+
+
+@query(
+    """select cast(o_orderkey as varchar) as o_orderkey, o_orderstatus,
+           case when o_orderkey % 3 < 2 then cast(o_custkey as varchar) end as o_custkey,
+           case when o_orderkey % 3 = 1 then o_orderpriority end as o_orderpriority
+       from orders"""
+)
+def text_folder_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in one folder of files with three headers: other orders of columns, one column absent, one more."""
+    path = f"{scratch(spark, 'tsv')}/orders"
+    orders = table(spark, sf_dir, "orders")
+    layouts = ["o_orderkey o_orderstatus o_custkey", "o_custkey o_orderpriority o_orderkey o_orderstatus", "o_orderstatus o_orderkey"]
+    for n, columns in enumerate(layouts):
+        some = orders.where(F.col("o_orderkey") % 3 == n).select(*columns.split())
+        some.write.mode("append").option("header", True).option("sep", "\t").csv(path)
+    return read_table(spark, path, "tsv").select("o_orderkey", "o_orderstatus", "o_custkey", "o_orderpriority")
+
+
+@query(
+    """select cast(l_orderkey as varchar) as l_orderkey, cast(l_linenumber as varchar) as line,
+           case when l_orderkey % 2 = 0 then l_returnflag end as flag, l_linestatus as status from lineitem"""
+)
+def two_row_header_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as exports named in two ways in one folder: each file by its own header row."""
+    from concordat.sources import read_two_row_header
+
+    path = f"{scratch(spark, 'export')}/lines"
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("line"), F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"))
+    for n, columns in enumerate((["l_orderkey", "line", "flag", "status"], ["status", "line", "l_orderkey"])):
+        lines.where(F.col("l_orderkey") % 2 == n).select(*columns).write.mode("append").option("header", True).csv(path)
+    return read_two_row_header(spark, path, demographics_column_end="B", demographics_header_row=1, clinical_header_row=1)
