@@ -13,11 +13,11 @@ from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from ..functions.text import ref
 from ..model import CheckResult, ERROR, MergeStep, WARNING, issue, issues_frame, local_table
-from ..session import stored
+from ..session import discard, stored
 from .probes import Probe, probe_findings, probe_issues, run_probes
 
 INDICATOR = "_merge"
@@ -95,13 +95,8 @@ def _wide(count: Column) -> Column:
     return count.cast("decimal(19,0)")
 
 
-def merge_metrics(
-    histogram: DataFrame, how: str, expected_cardinality: str | None = None, on: Sequence[str] = ()
-) -> DataFrame:
-    """The one-row audit of a join, computed from the key histogram.
-
-    With ``on`` also the rows per side with a null key part and the rows of the largest key.
-    """
+def _histogram_sums(how: str, on: Sequence[str] = ()) -> list[Column]:
+    """What ``merge_metrics`` needs of a key histogram, as aggregates."""
     left_n, right_n = F.col("left_n"), F.col("right_n")
     zero = F.lit(0).cast("long")
     pairs = _wide(left_n) * _wide(right_n)
@@ -114,19 +109,30 @@ def merge_metrics(
         extras = [
             total(F.when(_has_null(on), left_n)).alias("left_null_keys"),
             total(F.when(_has_null(on), right_n)).alias("right_null_keys"),
-            F.coalesce(F.max(F.greatest(left_n, right_n)), zero).alias("max_key_rows"),
         ]
-    sums = histogram.agg(
+    return [
         total(left_n).alias("left_rows"),
         total(right_n).alias("right_rows"),
         total(pairs).alias("both_count"),
-        (total(F.when(right_n == 0, left_n)) if how in ("left", "outer") else zero).alias("left_only_count"),
-        (total(F.when(left_n == 0, right_n)) if how in ("right", "outer") else zero).alias("right_only_count"),
+        (total(F.when(right_n == 0, left_n)) if how in ("left", "outer") else F.max(zero)).alias("left_only_count"),
+        (total(F.when(left_n == 0, right_n)) if how in ("right", "outer") else F.max(zero)).alias("right_only_count"),
         total(F.when(left_n > 1, left_n - 1)).alias("left_repeats"),
         total(F.when(right_n > 1, right_n - 1)).alias("right_repeats"),
         F.coalesce(F.max(pairs), zero).alias("max_key_fanout"),
         *extras,
-    )
+    ]
+
+
+def merge_metrics(
+    histogram: DataFrame, how: str, expected_cardinality: str | None = None, on: Sequence[str] = ()
+) -> DataFrame:
+    """The one-row audit of a join, computed from the key histogram; with ``on`` also rows per side with a null key part."""
+    return _audit(histogram.agg(*_histogram_sums(how, on)), expected_cardinality)
+
+
+def _audit(sums: DataFrame, expected_cardinality: str | None) -> DataFrame:
+    one_side = F.coalesce("left_only_count", F.lit(0)), F.coalesce("right_only_count", F.lit(0))
+    sums = sums.withColumns({"left_only_count": one_side[0].cast("long"), "right_only_count": one_side[1].cast("long")})
     merged = F.col("both_count") + F.col("left_only_count") + F.col("right_only_count")
     return _finish_metrics(sums.withColumn("merged_rows", merged), expected_cardinality)
 
@@ -176,13 +182,19 @@ def _finish_metrics(sums: DataFrame, expected: str | None) -> DataFrame:
         F.lit(expected).cast("string").alias("expected_cardinality"),
         meets.alias("cardinality_matches_expectation"),
         counted(F.col("max_key_fanout")).alias("max_key_fanout"),
-        *[c for c in ("left_null_keys", "right_null_keys", "max_key_rows") if c in sums.columns],
+        *[c for c in ("left_null_keys", "right_null_keys") if c in sums.columns],
     )
 
 
-def merge_findings(metrics: Mapping[str, Any], step_name: str) -> list[tuple]:
-    """Issue rows of one metrics row."""
+def merge_findings(metrics: Mapping[str, Any], step_name: str, row_budget: int = MOST_ROWS) -> list[tuple]:
+    """Issue rows of one metrics row; a merge of ``row_budget`` rows or more is one that is not run."""
     rows, extra = [], metrics["unexpected_duplication"]
+    if row_budget <= metrics["merged_rows"] < MOST_ROWS:
+        rows.append(
+            issue(step_name, "merge", "merge_refused", ERROR,
+                  f"Merged table would have {metrics['merged_rows']} rows, the budget is {row_budget}",
+                  row_count=metrics["merged_rows"])
+        )
     if metrics["merged_rows"] >= MOST_ROWS:
         rows.append(
             issue(step_name, "merge", "merged_rows_overflow", ERROR,
@@ -217,28 +229,50 @@ def _key_load(hot_rows: int) -> Column:
     return F.greatest(left_n, right_n, left_n * right_n / HOT_KEY_FANOUT) / hot_rows
 
 
-def find_hot_keys(histogram: DataFrame, on: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> list[Row]:
-    """Keys worth more than one slice, heaviest first: no more than rows divided by ``hot_rows``, or pairs by its
-    hundredfold."""
+def _hot_rows_of(histogram: DataFrame, on: Sequence[str], hot_rows: int) -> DataFrame:
     load = _key_load(hot_rows)
-    return (
-        histogram.filter(load > 1)
-        .orderBy(load.desc())
-        .select(
-            *[ref(k) for k in on],
-            F.ceil(load).cast("int").alias("slices"),
-            (F.col("left_n") >= F.col("right_n")).alias("split_left"),
-            (F.least("left_n", "right_n") > 0).alias("on_both_sides"),
-        )
-        .collect()
+    return histogram.filter(load > 1).select(
+        *[ref(k) for k in on],
+        F.ceil(load).cast("long").alias("slices"),
+        (F.col("left_n") >= F.col("right_n")).alias("split_left"),
+        (F.least("left_n", "right_n") > 0).alias("on_both_sides"),
     )
 
 
-def hot_keys_of(left: DataFrame, right: DataFrame, on: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> list[Row]:
-    """Hot keys of a join: one pass over the keys, and a second only where there are any."""
-    histogram = key_histogram(left, right, on)
-    heaviest = histogram.agg(F.max(_key_load(hot_rows))).first()[0] or 0
-    return find_hot_keys(histogram, on, hot_rows) if heaviest > 1 else []
+def find_hot_keys(histogram: DataFrame, on: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Keys worth more than one slice, as a stored table: no more than rows divided by ``hot_rows``, or pairs by its
+    hundredfold. They never pass through the driver."""
+    return stored(_hot_rows_of(histogram, on, hot_rows))
+
+
+def audited_hot_keys(
+    histogram: DataFrame, how: str, on: Sequence[str], hot_rows: int = HOT_KEY_ROWS
+) -> tuple[dict[str, Any], DataFrame]:
+    """The sums of a join's audit and its hot keys, stored, from one pass over the histogram."""
+    seen = Observation()
+    hot = find_hot_keys(histogram.observe(seen, *_histogram_sums(how, on)), on, hot_rows)
+    return seen.get, hot
+
+
+def will_broadcast(left: DataFrame, right: DataFrame, how: str) -> bool:
+    """Whether the planner, by the sizes it knows, copies one side to every task: no row of a join then moves by its key."""
+    sides = {"left": [right], "right": [left], "inner": [left, right]}.get(how, [])
+    limit = left.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return any(int(str(side._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit for side in sides)
+
+
+def hot_keys_of(
+    left: DataFrame, right: DataFrame, on: Sequence[str], hot_rows: int = HOT_KEY_ROWS, how: str = "outer"
+) -> DataFrame | None:
+    """Hot keys of a join as a stored table, from one pass over the keys; None if there are none or a side is broadcast."""
+    return None if will_broadcast(left, right, how) else _unless_empty(find_hot_keys(key_histogram(left, right, on), on, hot_rows))
+
+
+def _unless_empty(hot: DataFrame) -> DataFrame | None:
+    if hot.isEmpty():
+        discard(hot)
+        return None
+    return hot
 
 
 def _null_safe(pairs: Sequence[tuple[str, str]]) -> Column:
@@ -254,13 +288,14 @@ def _sliced(side: DataFrame, keys: Sequence[str], hot: DataFrame, splits: Column
     """
     hashed = [f.name for f in side.schema if not re.search("map<|variant", f.dataType.simpleString())]
     tagged = (
-        side.withColumn("__pid", F.xxhash64(*hashed) + F.spark_partition_id())
+        side.withColumn("__pid", F.xxhash64(*hashed, F.spark_partition_id()))
         .join(hot, _null_safe([(k, f"h{i}") for i, k in enumerate(keys)]), "left")
     )
     slices = F.col("slices")
-    dealt = F.array(F.pmod(F.col("__pid"), slices).cast("int"))
-    everywhere = F.sequence(F.lit(0), slices - 1)
-    chosen = F.when(slices.isNull(), F.array(F.lit(0))).when(splits, dealt).otherwise(everywhere)
+    first = F.lit(0).cast("long")
+    dealt = F.array(F.pmod(F.col("__pid"), slices))
+    everywhere = F.sequence(first, slices - 1)
+    chosen = F.when(slices.isNull(), F.array(first)).when(splits, dealt).otherwise(everywhere)
     return tagged.withColumn(slice_name, F.explode(chosen)).select(
         *side.columns, slice_name, F.coalesce("on_both_sides", F.lit(False)).alias(f"{slice_name}_pairs")
     )
@@ -274,7 +309,7 @@ def merge_rows(
     *,
     suffixes: tuple[str, str] = ("", "_right"),
     indicator: str | None = INDICATOR,
-    hot_keys: Sequence[Row] = (),
+    hot_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Join with each key emitted once, clashing columns suffixed and the origin of every row named.
 
@@ -296,15 +331,10 @@ def merge_rows(
 
     if how == "cross":
         joined = marked_left.crossJoin(marked_right)
-    elif not hot_keys:
+    elif hot_keys is None:
         joined = marked_left.join(marked_right, _null_safe(list(zip(l_keys, r_keys))), how)
     else:
-        spark = left.sparkSession
-        keys_of_both = left.select(*[ref(k) for k in on]).union(right.select(*[ref(k) for k in on]))
-        key_types = [f.dataType.simpleString() for f in keys_of_both.schema]
-        fields = [f"h{i} {t}" for i, t in enumerate(key_types)]
-        columns_of_hot = ", ".join([*fields, "slices int, split_left boolean, on_both_sides boolean"])
-        hot = local_table(spark, [tuple(r) for r in hot_keys], columns_of_hot)
+        hot = hot_keys.toDF(*[f"h{i}" for i in range(len(on))], "slices", "split_left", "on_both_sides")
         sliced_left = _sliced(marked_left, l_keys, hot, F.col("split_left"), "s_left")
         sliced_right = _sliced(marked_right, r_keys, hot, ~F.col("split_left"), "s_right")
         pairs = [*zip(l_keys, r_keys), ("s_left", "s_right")]
@@ -347,6 +377,12 @@ class MergeResult:
     metrics_row: dict[str, Any]
     null_keys: dict[str, int]
     schema: T.StructType
+    row_budget: int = MOST_ROWS
+
+    @property
+    def refused(self) -> bool:
+        """The audit counts too many rows: ``merged`` has the columns and no row."""
+        return self.metrics_row["merged_rows"] >= self.row_budget
 
     @property
     def table(self) -> DataFrame:
@@ -357,7 +393,7 @@ class MergeResult:
         return local_table(self.merged.sparkSession, [tuple(self.metrics_row.values())], self.schema)
 
     def findings(self) -> list[tuple]:
-        return merge_findings(self.metrics_row, self.step_name)
+        return merge_findings(self.metrics_row, self.step_name, self.row_budget)
 
     @property
     def issues(self) -> DataFrame:
@@ -379,25 +415,34 @@ def perform_merge(
     step_name: str,
     expected_cardinality: str | None = None,
     hot_rows: int = HOT_KEY_ROWS,
+    row_budget: int = MOST_ROWS,
 ) -> MergeResult:
-    """Audited join. The key histogram gives the metrics and says whether any key is hot.
+    """Audited join. One pass over the key histogram gives the metrics and the hot keys; the join is spread accordingly.
 
-    Only then a second pass over the keys finds out which, and the join is spread accordingly.
+    The audit comes first: a join of ``row_budget`` rows or more is refused with a finding, before anything is sliced.
     """
-    hot: list[Row] = []
     null_keys = {"left_null_keys": 0, "right_null_keys": 0}
+    hot = None
     if how == "cross":
         metrics = cross_metrics(left, right, expected_cardinality)
         row = metrics.first().asDict()
     else:
         histogram = key_histogram(left, right, on)
-        metrics = merge_metrics(histogram, how, expected_cardinality, on)
+        if will_broadcast(left, right, how):
+            metrics = merge_metrics(histogram, how, expected_cardinality, on)
+        else:
+            sums, hot = audited_hot_keys(histogram, how, on, hot_rows)
+            schema = histogram.limit(0).agg(*_histogram_sums(how, on)).schema
+            metrics = _audit(local_table(left.sparkSession, [tuple(sums[c] for c in schema.names)], schema), expected_cardinality)
         row = metrics.first().asDict()
         null_keys = {name: row.pop(name) for name in null_keys}
-        if row.pop("max_key_rows") > hot_rows or row["max_key_fanout"] > hot_rows * HOT_KEY_FANOUT:
-            hot = find_hot_keys(histogram, on, hot_rows)
     schema = T.StructType([f for f in metrics.schema.fields if f.name in row])
-    return MergeResult(step_name, merge_rows(left, right, how, on, hot_keys=hot), row, null_keys, schema)
+    refused = row["merged_rows"] >= row_budget
+    if refused:
+        merged = merge_rows(left, right, how, on).limit(0)
+    else:
+        merged = merge_rows(left, right, how, on, hot_keys=hot if hot is None else _unless_empty(hot))
+    return MergeResult(step_name, merged, row, null_keys, schema, row_budget)
 
 
 def extract_unmatched(merged: DataFrame, indicator: str = INDICATOR) -> tuple[DataFrame, DataFrame]:
@@ -422,6 +467,8 @@ def merge_chain(tables: Mapping[str, DataFrame], steps: Sequence[MergeStep]) ->
         result = perform_merge(
             working[step.left], working[step.right], step.how, list(step.on), step.name, step.expected_relationship
         )
+        if result.refused:
+            raise ValueError("; ".join(row[4] for row in result.findings()))
         if any(step.name in (later.left, later.right) for later in steps[position + 1 :]):
             result = replace(result, merged=stored(result.merged))
         results[step.name] = result

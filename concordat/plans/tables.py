@@ -167,7 +167,7 @@ def wide_export_domains(
 
 
 def merge_and_write(
-    tables: Mapping[str, DataFrame], steps: Sequence[MergeStep], out_dir: str, log: RunLog
+    tables: Mapping[str, DataFrame], steps: Sequence[MergeStep], out_dir: str, log: RunLog, row_budget: int = MOST_ROWS
 ) -> tuple[dict[str, WrittenMerge], DataFrame]:
     """Run an ordered merge plan; every result is written before a later step reads it."""
     spark, working = log.spark, dict(tables)
@@ -185,8 +185,8 @@ def merge_and_write(
             raise KeyError("; ".join(row[4] for row in absent_keys(left, right, step.on, step.name)))
         if ORIGIN_PARTITION in {c.lower() for c in (*left.columns, *right.columns)}:
             raise ValueError(f"Step {step.name}: rename column {ORIGIN_PARTITION!r}, which names the origin of merged rows")
-        result = perform_merge(left, right, step.how, list(step.on), step.name, step.expected_relationship)
-        if result.metrics_row["merged_rows"] >= MOST_ROWS:  # the audit says so; the join would never end
+        result = perform_merge(left, right, step.how, list(step.on), step.name, step.expected_relationship, row_budget=row_budget)
+        if result.refused:  # the audit says so
             log.add_step(f"{step.name}_merge", step.name, result.findings(), result.metrics_row, started_at)
             rows.append((step.name, *result.metrics_row.values()))
             continue
@@ -218,9 +218,11 @@ def curate_and_merge(
     strict_nulls: bool = False,
     fail_fast: bool = False,
     hash_inputs: bool = True,
+    row_budget: int = MOST_ROWS,
 ) -> RunResult:
     """Judge, cast and write each table, then merge them by plan and write the reports.
 
+    A merge that its audit counts ``row_budget`` rows or more for is not run; the finding says so.
     ``tables`` stands in for the files of the specs it names (the domains of a wide export). ``normalization`` is the
     header mapping they come from: its counts and findings enter the run, and its audit is written.
     """
@@ -256,7 +258,7 @@ def curate_and_merge(
         curated[spec.dataset_id], result = curate(source, spec, path, as_of=as_of, strict_nulls=strict_nulls)
         invalid[spec.dataset_id] = result.invalid_values
         log.add_suite(result)
-    merges, metrics = merge_and_write(curated, steps, f"{root}/analytic", log)
+    merges, metrics = merge_and_write(curated, steps, f"{root}/analytic", log, row_budget)
     return write_reports(RunResult(run_id, curated, merges, log.step_results(), log.step_issues(), metrics, invalid), out_dir)
 
 

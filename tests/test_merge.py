@@ -161,7 +161,7 @@ def test_hot_key_rows_spread_over_tasks(spark):
     right = spark.createDataFrame([(7, "a"), (8, "b")], "k int, r string")
     histogram = merge.key_histogram(left, right, ["k"])
     hot = merge.find_hot_keys(histogram, ["k"], 500)
-    assert [(r.k, r.slices, r.split_left, r.on_both_sides) for r in hot] == [(7, 8, True, True)]
+    assert [(r.k, r.slices, r.split_left, r.on_both_sides) for r in hot.collect()] == [(7, 8, True, True)]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         split = merge.merge_rows(left, right, "outer", ["k"], hot_keys=hot)
@@ -202,13 +202,13 @@ def test_keys_with_a_large_fan_out_are_spread_too(spark):
     left = spark.range(0, 60, numPartitions=4).select(F.lit("k").alias("k"), F.col("id").alias("l"))
     right = spark.range(0, 50, numPartitions=4).select(F.lit("k").alias("k"), F.col("id").alias("r"))
     hot = merge.hot_keys_of(left, right, ["k"], hot_rows=10)
-    assert [(r.slices, r.split_left) for r in hot] == [(6, True)]
+    assert [(r.slices, r.split_left) for r in hot.collect()] == [(6, True)]
     # 3000 joined rows are more than a hundred times 25, and 60 rows more than twice as many
-    assert [r.slices for r in merge.hot_keys_of(left, right, ["k"], hot_rows=25)] == [3]
-    assert [r.slices for r in merge.hot_keys_of(left.limit(20), right, ["k"], hot_rows=60)] == []
+    assert [r.slices for r in merge.hot_keys_of(left, right, ["k"], hot_rows=25).collect()] == [3]
+    assert merge.hot_keys_of(left.limit(20), right, ["k"], hot_rows=60) is None
     merged = merge.perform_merge(left, right, "outer", ["k"], "demo", hot_rows=10).merged
     assert merged.count() == merged.distinct().count() == 3000
-    assert merge.hot_keys_of(left, right, ["k"]) == []
+    assert merge.hot_keys_of(left, right, ["k"]) is None
 
 
 def test_metrics_of_counts_whose_product_is_no_long(spark):
@@ -219,3 +219,54 @@ def test_metrics_of_counts_whose_product_is_no_long(spark):
     assert "merged_rows_overflow" in [found[2] for found in merge.merge_findings(row, "m")]
     histogram = spark.createDataFrame([(1, 2_000_000_000, 3_000_000_000)], "id int, left_n long, right_n long")
     assert merge.merge_metrics(histogram, "left").first()["both_count"] == 6 * 10**18
+
+
+def test_two_hot_keys_keep_the_broadcast_join(spark, plan_of, tmp_path):
+    spark.range(0, 4000).selectExpr("id % 2 as k", "id as l").write.parquet(str(tmp_path / "left"))
+    left = spark.read.parquet(str(tmp_path / "left"))
+    spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k long, r string").write.parquet(str(tmp_path / "right"))
+    right = spark.read.parquet(str(tmp_path / "right"))
+    result = merge.perform_merge(left, right, "left", ["k"], "demo", hot_rows=20)
+    plan = plan_of(result.merged)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert result.metrics_row["merged_rows"] == result.merged.count() == 4000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spread = merge.perform_merge(left, right, "left", ["k"], "demo", hot_rows=20)
+        assert "SortMergeJoin" in plan_of(spread.merged) and "slices" in plan_of(spread.merged)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spread.metrics_row == result.metrics_row
+    assert sorted(map(str, spread.merged.collect())) == sorted(map(str, result.merged.collect()))
+
+
+def test_the_audit_comes_before_the_join(spark, monkeypatch, tmp_path):
+    """A key of four thousand million rows on either side gives a finding, not an attempt."""
+    from concordat.model import DatasetSpec
+    from concordat.plans import curate_and_merge
+
+    def histogram(left, right, on):
+        return spark.createDataFrame([("P1", 4_000_000_000, 4_000_000_000)], f"{on[0]} string, left_n long, right_n long")
+
+    monkeypatch.setattr(merge, "key_histogram", histogram)
+    left, right = keys(spark, "P1"), keys(spark, "P1")
+    for how in ("inner", "outer"):
+        result = merge.perform_merge(left, right, how, ["patient_id"], "demo")
+        assert result.refused and result.merged.count() == 0 and result.metrics_row["merged_rows"] == merge.MOST_ROWS
+        assert "merged_rows_overflow" in [r[2] for r in result.findings()]
+    budget = merge.perform_merge(left, right, "outer", ["patient_id"], "demo", row_budget=1)
+    assert budget.refused
+    with pytest.raises(ValueError, match="more rows than can be counted"):
+        merge.merge_chain({"a": left, "b": right}, [MergeStep("ab", "a", "b", "outer", ["patient_id"])])
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.csv").write_text("patient_id\nP1\n")
+    specs = [DatasetSpec(name, str(tmp_path / f"{name}.csv")) for name in ("a", "b")]
+    run = curate_and_merge(spark, specs, [MergeStep("ab", "a", "b", "outer", ["patient_id"])], out_dir=str(tmp_path / "out"))
+    assert run.issues.where("check_name = 'merged_rows_overflow'").count() == 1 and run.merges == {}
+
+
+def test_a_row_budget(spark):
+    left, right = keys(spark, "P1", "P1", "P1"), keys(spark, "P1", "P1")
+    few = merge.perform_merge(left, right, "inner", ["patient_id"], "demo", row_budget=6)
+    assert few.refused and ("merge_refused", 6) in [(r[2], r[6]) for r in few.findings()]
+    assert merge.perform_merge(left, right, "inner", ["patient_id"], "demo", row_budget=7).merged.count() == 6
