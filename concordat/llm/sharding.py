@@ -38,7 +38,7 @@ def with_slots(df: DataFrame, shard: str, order: Sequence[str], slot: str = "slo
     """
     bucket, base = free_name(df, "bucket"), free_name(df, "base")
     count = partitions(df.sparkSession)
-    dealt = stored(df.withColumn(bucket, F.pmod(F.xxhash64(*order) + F.spark_partition_id(), F.lit(count)).cast("int")))
+    dealt = stored(df.withColumn(bucket, F.pmod(F.xxhash64(*order, F.spark_partition_id()), F.lit(count)).cast("int")))
     before = Window.partitionBy(shard).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     sizes = dealt.groupBy(shard, bucket).agg(F.count(F.lit(1)).alias(base))
     sizes = sizes.withColumn(base, F.coalesce(F.sum(base).over(before), F.lit(0)))
