@@ -34,9 +34,13 @@ TRUTHY = ("1", "true", "yes", "y", "x")
 SELECTED = (*TRUTHY, "selected")
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ref(name: str) -> Column:
     """Column by its exact name, whatever characters the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def strip(text: Column) -> Column:

@@ -16,7 +16,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.casting import as_date, as_number, cast_to, without_nan
-from ..functions.text import is_missing, ref, strip
+from ..functions.text import is_missing, quoted, ref, strip
 from ..model import (
     DEFAULT_DATE_FORMATS,
     ERROR,
@@ -29,7 +29,19 @@ from ..model import (
     issues_frame,
     local_table,
 )
-from .probes import N_ROWS, Probe, probe_aggregates, probe_findings, probe_issues, probe_lines, run_probes
+from .probes import (
+    N_ROWS,
+    WIDE,
+    CellTest,
+    Probe,
+    map_cells,
+    probe_aggregates,
+    probe_counts,
+    probe_findings,
+    probe_issues,
+    probe_lines,
+    run_probes,
+)
 
 COLUMN_STEP = "column_validation"
 DTYPE_STEP = "dtype_validation"
@@ -52,8 +64,11 @@ class Values:
     def __contains__(self, name: str) -> bool:
         return name in self.types
 
+    def held_in(self, name: str) -> str:
+        return self.casts.get(name, name)
+
     def value(self, name: str) -> Column:
-        return ref(self.casts.get(name, name))
+        return ref(self.held_in(name))
 
     def data_type(self, name: str) -> T.DataType:
         return cast_type(self.types[name], self.spec.expected_dtypes[name]) if name in self.casts else self.types[name]
@@ -79,12 +94,15 @@ def cast_type(data_type: T.DataType, target: str | None) -> T.DataType:
     return data_type
 
 
+def needing_casts(schema: T.StructType, spec: DatasetSpec) -> list[str]:
+    """Columns whose declared type is not the one they have."""
+    return [f.name for f in schema.fields if cast_type(f.dataType, spec.expected_dtypes.get(f.name)) != f.dataType]
+
+
 def declared_casts(schema: T.StructType, spec: DatasetSpec) -> dict[str, Column]:
-    """Casts of the columns whose declared type is not the one they have."""
     return {
-        f.name: cast_to(ref(f.name), f.dataType, spec.expected_dtypes[f.name], spec.date_formats)
-        for f in schema.fields
-        if cast_type(f.dataType, spec.expected_dtypes.get(f.name)) != f.dataType
+        name: cast_to(ref(name), schema[name].dataType, spec.expected_dtypes[name], spec.date_formats)
+        for name in needing_casts(schema, spec)
     }
 
 
@@ -139,11 +157,9 @@ def _dtype_probes(values: Values) -> list[Probe]:
         if name not in values:
             continue
         observed = values.types[name].simpleString()
-        condition, check = None, f"{expected}_cast"
+        cell_test, check = None, f"{expected}_cast"
         if expected in ("numeric", "date"):
-            parsed = values.number(name) if expected == "numeric" else values.date(name)
-            present = without_nan(ref(name), values.types[name]).isNotNull()
-            condition = present & parsed.isNull()
+            cell_test = _cast_test(expected, name, values)
         probes.append(
             Probe(
                 DTYPE_STEP,
@@ -152,13 +168,31 @@ def _dtype_probes(values: Values) -> list[Probe]:
                 ERROR,
                 f"{{n}} invalid {expected} values in {name}",
                 column_name=name,
-                condition=F.lit(False) if condition is None else condition,
+                condition=F.lit(False) if cell_test is None else None,
+                cell_test=cell_test,
                 detail=f"{expected}|{observed}",
             )
         )
     return probes
 
 
+def _cast_test(expected: str, name: str, values: Values) -> CellTest:
+    raw_type, data_type = values.types[name], values.data_type(name)
+
+    def not_castable(raw: Column, value: Column) -> Column:
+        parsed = as_number(value, data_type) if expected == "numeric" else as_date(value, data_type, values.spec.date_formats)
+        return without_nan(raw, raw_type).isNotNull() & parsed.isNull()
+
+    kind = (expected, raw_type.simpleString(), data_type.simpleString())
+    return CellTest(kind, (name, values.held_in(name)), not_castable)
+
+
+def _missing_test(name: str, values: Values) -> CellTest:
+    data_type = values.data_type(name)
+    kind = ("missing", data_type.simpleString())
+    return CellTest(kind, (values.held_in(name),), lambda value: is_missing(value, data_type))
+
+
 def _missing_probes(values: Values) -> list[Probe]:
     return [
         Probe(
@@ -168,7 +202,7 @@ def _missing_probes(values: Values) -> list[Probe]:
             WARNING,
             f"Required column {name} has {{n}} missing/blank values",
             column_name=name,
-            condition=values.missing(name),
+            cell_test=_missing_test(name, values),
             finding=name in values.spec.required_columns,
         )
         for name in values.types
@@ -388,13 +422,12 @@ def invalid_values(
     allowed: Mapping[str, Sequence[Any]],
     *,
     strip_allowed: bool = False,
-    values: Values | None = None,
 ) -> DataFrame:
     """Distinct non-null values outside their column's list, with the rows holding them.
 
     One scan for all columns; valid values are dropped before anything is shuffled.
     """
-    values = values or Values(df.schema, DatasetSpec(""))
+    values = Values(df.schema, DatasetSpec(""))
     lists = {c: [str(v).strip() if strip_allowed else str(v) for v in listed] for c, listed in allowed.items()}
     outside = {}
     for name, listed in lists.items():
@@ -480,7 +513,7 @@ def validate_required_fields(
               f"Column {c} has {{n}} missing/blank values", column_name=c, condition=values.missing(c))
         for c in required
     ]
-    any_missing = reduce(lambda a, b: a | b, [p.condition for p in probes], F.lit(False))
+    any_missing = reduce(lambda a, b: a | b, [p.rows() for p in probes], F.lit(False))
     # one more probe carries the pass finding of the whole check
     probes.append(
         Probe("required_fields", stage, "", WARNING, "", condition=any_missing, pass_check="required_fields",
@@ -560,7 +593,7 @@ class SuitePlan:
     @cached_property
     def casts(self) -> dict[str, str]:
         """Name of the cast column standing beside each column that needs one."""
-        names = declared_casts(self.df.schema, self.spec) if self.coerce else {}
+        names = needing_casts(self.df.schema, self.spec) if self.coerce else []
         return {name: f"__cast{i}" for i, name in enumerate(names)}
 
     @cached_property
@@ -568,8 +601,24 @@ class SuitePlan:
         """The table with its cast columns beside it, so every value is parsed once for all checks."""
         if not self.casts:
             return self.df
-        casts = declared_casts(self.df.schema, self.spec)
-        return self.df.select("*", *[casts[name].alias(alias) for name, alias in self.casts.items()])
+        if len(self.casts) <= WIDE:
+            casts = declared_casts(self.df.schema, self.spec)
+            return self.df.select("*", *[casts[name].alias(alias) for name, alias in self.casts.items()])
+        return self._cast_in_blocks()
+
+    def _cast_in_blocks(self) -> DataFrame:
+        """One expression for all columns of a type and target, then its elements by name."""
+        formats, kinds = self.spec.date_formats, {}
+        for name in self.casts:
+            data_type, target = self.df.schema[name].dataType, self.spec.expected_dtypes[name]
+            kinds.setdefault((data_type.simpleString(), target), (data_type, []))[1].append(name)
+        blocks, elements = [], {}
+        for i, ((_, target), (data_type, names)) in enumerate(kinds.items()):
+            cast = map_cells([(name,) for name in names], lambda x, t=data_type, to=target: cast_to(x, t, to, formats))
+            blocks.append(cast.alias(f"__block{i}"))
+            elements.update({name: f"__block{i}[{at}]" for at, name in enumerate(names)})
+        beside = [f"{elements[name]} AS {alias}" for name, alias in self.casts.items()]
+        return self.df.select("*", *blocks).selectExpr(*map(quoted, self.df.columns), *beside)
 
     @cached_property
     def values(self) -> Values:
@@ -577,7 +626,7 @@ class SuitePlan:
 
     def curated(self, prepared: DataFrame) -> DataFrame:
         """The cast table out of a prepared one."""
-        return prepared.select(*[ref(self.casts.get(name, name)).alias(name) for name in self.df.columns])
+        return prepared.selectExpr(*[f"{quoted(self.values.held_in(c))} AS {quoted(c)}" for c in self.df.columns])
 
     @cached_property
     def probes(self) -> list[Probe]:
@@ -596,14 +645,20 @@ class SuitePlan:
         key = self.spec.primary_key
         if not key or key not in self.values:
             return {}
-        return key_metrics(self.prepared, key, self.values.value(key), self.values.data_type(key)).first().asDict()
+        return key_metrics(self.cast_only([key]), key).first().asDict()
+
+    def cast_only(self, names: Sequence[str]) -> DataFrame:
+        """These columns alone, cast: what is filtered or grouped need not carry a wide table's expressions."""
+        narrow = self.df.select(*[ref(name) for name in names])
+        casts = declared_casts(narrow.schema, self.spec) if self.coerce else {}
+        return narrow.select(*[casts.get(name, ref(name)).alias(name) for name in names])
 
     @cached_property
     def domain_probes(self) -> list[Probe]:
         return _domain_probes([c for c in self.spec.allowed_values if c in self.values], "domain", with_info=False)
 
     def invalid_values(self) -> DataFrame:
-        return invalid_values(self.prepared, self.spec.allowed_values, values=self.values)
+        return invalid_values(self.cast_only([c for c in self.spec.allowed_values if c in self.values]), self.spec.allowed_values)
 
     def invalid_counts(self) -> dict[str, Any]:
         """One row: the distinct bad values per column."""
@@ -748,5 +803,5 @@ def validate(
     """
     started_at = dt.datetime.now(dt.timezone.utc)
     plan = SuitePlan(df, spec, as_of, strict_nulls, coerce)
-    counts = plan.prepared.agg(*plan.aggregates()).first().asDict()
+    counts = probe_counts(plan.prepared, plan.probes)
     return suite_result(plan, counts, plan.key_counts(), plan.invalid_values(), plan.invalid_counts(), started_at)

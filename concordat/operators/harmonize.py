@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.casting import without_nan
-from ..functions.text import is_truthy, ref, strip
+from ..functions.text import is_truthy, quoted, ref, strip
 from ..model import local_table
 from .merge import HOT_KEY_ROWS, hot_keys_of, merge_rows
 
@@ -114,8 +113,13 @@ def harmonized_merge(
     b_vars = [q for q in variables if q in quince.columns]
     suffix_a, suffix_b = (f"__{s}" for s in sources)
 
+    # as SQL text: one call for a whole projection, where a wide table would take several for each column
     def side(df: DataFrame, names: Sequence[str], suffix: str) -> DataFrame:
-        return df.select(ref(id_column), *[without_nan(ref(q), df.schema[q].dataType).alias(q + suffix) for q in names])
+        def cell(name: str) -> str:
+            column, real = quoted(name), isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+            return f"{f'CASE WHEN NOT isnan({column}) THEN {column} END' if real else column} AS {quoted(name + suffix)}"
+
+        return df.selectExpr(quoted(id_column), *map(cell, names))
 
     joined = merge_rows(
         side(once, a_vars, suffix_a),
@@ -127,27 +131,26 @@ def harmonized_merge(
     )
     a_types, b_types = dict(once.dtypes), dict(quince.dtypes)
 
-    def conflict(question: str) -> Column:
-        a, b = ref(question + suffix_a), ref(question + suffix_b)
+    def versions(question: str) -> tuple[str, str]:
+        a, b = quoted(question + suffix_a), quoted(question + suffix_b)
         if a_types[question] != b_types[question]:
-            a, b = a.cast("string"), b.cast("string")
-        return F.coalesce(a != b, F.lit(False))
+            return f"CAST({a} AS STRING)", f"CAST({b} AS STRING)"
+        return a, b
 
-    columns = [ref(id_column)]
+    shared = set(a_vars) & set(b_vars)
+    in_a, in_b = set(a_vars), set(b_vars)
+    columns = [quoted(id_column)]
     for q in variables:
-        in_a, in_b = q in a_vars, q in b_vars
-        a, b = ref(q + suffix_a), ref(q + suffix_b)
-        if in_a and in_b:
-            if a_types[q] != b_types[q]:
-                value = F.coalesce(a.cast("string"), b.cast("string"))
-            else:
-                value = F.coalesce(a, b)
-            columns += [a, b]
+        if q in shared:
+            a, b = versions(q)
+            value = f"coalesce({a}, {b})"
+            columns += [quoted(q + suffix_a), quoted(q + suffix_b)]
+        elif q in in_a or q in in_b:
+            value = quoted(q + (suffix_a if q in in_a else suffix_b))
         else:
-            value = a if in_a else b if in_b else F.lit(None).cast("string")
-        columns.append(value.alias(q))
+            value = "CAST(NULL AS STRING)"
+        columns.append(f"{value} AS {quoted(q)}")
         if q in review:
-            columns.append(F.lit(True).alias(f"{q}__needs_review_flag"))
-            flag = conflict(q) if in_a and in_b else F.lit(False)
-            columns.append(flag.alias(f"{q}__source_conflict_flag"))
-    return joined.select(*columns)
+            flag = f"coalesce({a} <> {b}, false)" if q in shared else "false"
+            columns += [f"true AS {quoted(q + '__needs_review_flag')}", f"{flag} AS {quoted(q + '__source_conflict_flag')}"]
+    return joined.selectExpr(*columns)

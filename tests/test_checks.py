@@ -289,3 +289,40 @@ def test_nan_is_a_missing_value_everywhere(spark, rows):
     assert (metrics.blank_key_count, metrics.duplicate_key_count, metrics.unique_key_count) == (2, 1, 1)
     assert checks.invalid_values(df, {"k": ["1.0"]}).isEmpty()
     assert rows(checks.validate_dtypes(df, spec(expected_dtypes={"k": "numeric"})).metrics, "invalid_count") == [(0,)]
+
+
+def wide_table(spark, rows, columns):
+    cells = ["CAST(id AS STRING) AS id"]
+    for i in range(columns):
+        kinds = (f"IF((id + {i}) % 7 = 0, ' ', CAST(id AS STRING))", f"IF((id + {i}) % 5 = 0, double('NaN'), id / 2)",
+                 f"IF((id + {i}) % 3 = 0, 'bad', '2020-02-03')", f"IF((id + {i}) % 4 = 0, NULL, int(id))")
+        cells.append(f"{kinds[i % 4]} AS `c.{i}`")
+    contract = DatasetSpec(
+        "wide", primary_key="id", required_columns=["id", "c.0"], allowed_values={"c.0": ["1", "2"]},
+        expected_dtypes={f"c.{i}": ("date" if i % 4 == 2 else "numeric") for i in range(columns) if i % 4 != 1},
+        rules=[{"name": "low", "type": "between", "column": "c.3", "min": 2, "max": 9}, {"name": "odd", "type": "none"}],
+    )
+    return spark.range(rows).selectExpr(*cells), contract
+
+
+@pytest.mark.parametrize("n_rows", [0, 23])
+def test_blocks_count_what_single_aggregates_count(spark, rows, monkeypatch, n_rows):
+    df, contract = wide_table(spark, n_rows, 60)
+
+    def outcome():
+        suite = checks.validate(df, contract, as_of=dt.date(2021, 1, 1))
+        single = [checks.profile_missingness(df, contract), checks.validate_dtypes(df, contract)]
+        tables = [t for c in single for t in (c.metrics, c.issues)]
+        return [rows(t) for t in (suite.issues, suite.dtypes, suite.missingness, suite.rules, *tables)]
+
+    plain = outcome()
+    monkeypatch.setattr("concordat.operators.probes.WIDE", 5)
+    monkeypatch.setattr("concordat.operators.checks.WIDE", 5)
+    assert outcome() == plain
+    assert n_rows == 0 or plain[0]
+
+
+def test_wide_tables_have_one_test_per_type(spark, plan_of):
+    df, contract = wide_table(spark, 5, 300)
+    text = plan_of(checks.profile_missingness(df, contract).metrics)
+    assert text.count("lambdafunction(") < 40 and text.count("count_if") == 0
