@@ -98,11 +98,18 @@ def clean_text(
     return reduce(lambda column, step: step(column), steps, text)
 
 
+def recode_key(value: object) -> str:
+    return str(value).strip().lower()
+
+
 def recode(text: Column, mapping: Mapping[str, str]) -> Column:
-    """Replace values found in ``mapping`` ignoring case and outer spaces; keep all others."""
+    """Replace values found in ``mapping`` ignoring case and outer spaces; keep all others.
+
+    For short lists, whose entries are tried one by one; ``normalize_categories`` takes lists of any length.
+    """
     if not mapping:
         return text
-    entries = {str(key).strip().lower(): str(value) for key, value in mapping.items()}
+    entries = {recode_key(key): str(value) for key, value in mapping.items()}
     lookup = F.create_map(*[F.lit(part) for pair in entries.items() for part in pair])
     return F.coalesce(F.try_element_at(lookup, F.lower(strip(text))), text)
 

@@ -383,12 +383,28 @@ def validate_primary_key(df: DataFrame, spec: DatasetSpec, with_info: bool = Fal
     return CheckResult(step, dataset_id, metrics, issues.filter(F.col("check_name") != ""))
 
 
+def _of_repeated_digests(df: DataFrame, subset: Sequence[str]) -> DataFrame:
+    """The rows whose key may repeat. Long keys are counted by a 64-bit digest, so that none of their text is shuffled.
+
+    Equal keys have equal digests; unequal ones that meet are told apart by the caller. Keys that are no longer than a
+    digest are left as they are.
+    """
+    short = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if all(isinstance(df.schema[c].dataType, short) for c in subset):
+        return df
+    digest = F.xxhash64(*[ref(c) for c in subset])
+    counted = df.groupBy(digest.alias("__digest")).agg(F.count(F.lit(1)).alias("__n"))
+    repeated = counted.filter(F.col("__n") > 1).select("__digest")
+    return df.join(repeated, digest == F.col("__digest"), "left_semi")
+
+
 def duplicate_rows(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     """All rows of every key that occurs more than once; nulls are a key like any other.
 
     The keys are counted first and joined back. A window over the key would gather all rows of a
     hot key in one task; here its rows sit on the splittable side of a semi join.
     """
+    df = _of_repeated_digests(df, subset)
     names = [f"__k{i}" for i in range(len(subset))]
     counted = df.groupBy(*[ref(c).alias(n) for c, n in zip(subset, names)]).agg(F.count(F.lit(1)).alias("__n"))
     repeated = counted.filter(F.col("__n") > 1).drop("__n")
@@ -400,8 +416,9 @@ def detect_duplicates(
     df: DataFrame, subset: Sequence[str], dataset_id: str, stage: str = "uniqueness"
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of repeated keys, and the finding about them (counted from the keys alone)."""
-    keys = df.groupBy(*[ref(c) for c in subset]).agg(F.count(F.lit(1)).alias("n"))
-    total = keys.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("repeated"))
+    candidates = _of_repeated_digests(df, subset)
+    keys = candidates.groupBy(*[ref(c) for c in subset]).agg(F.count(F.lit(1)).alias("__n"))
+    total = keys.agg(F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0)).alias("repeated"))
     probe = Probe(
         "duplicates", stage, "duplicate_rows", ERROR, f"Detected {{n}} duplicated rows for subset={list(subset)}",
         count_name="repeated", pass_check="duplicate_rows",
@@ -660,11 +677,11 @@ class SuitePlan:
     def invalid_values(self) -> DataFrame:
         return invalid_values(self.cast_only([c for c in self.spec.allowed_values if c in self.values]), self.spec.allowed_values)
 
-    def invalid_counts(self) -> dict[str, Any]:
+    def invalid_counts(self, invalid: DataFrame | None = None) -> dict[str, Any]:
         """One row: the distinct bad values per column."""
         if not self.domain_probes:
             return {}
-        return self.invalid_values().agg(*probe_aggregates(self.domain_probes)).first().asDict()
+        return (self.invalid_values() if invalid is None else invalid).agg(*probe_aggregates(self.domain_probes)).first().asDict()
 
 
 @dataclass(frozen=True)

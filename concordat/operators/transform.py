@@ -8,16 +8,30 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.casting import cast_to
-from ..functions.text import recode, ref, strip
+from ..functions.text import recode_key, ref, strip
 from ..model import DEFAULT_DATE_FORMATS, local_table
 from ..session import stored
 
 
 def normalize_categories(df: DataFrame, mappings: Mapping[str, Mapping[str, str]]) -> DataFrame:
-    """Recode the listed columns; unmapped values and nulls pass."""
-    return df.withColumns(
-        {c: recode(ref(c).cast("string"), mapping) for c, mapping in mappings.items() if c in df.columns}
-    )
+    """Recode the listed columns; unmapped values and nulls pass.
+
+    Each mapping is a table joined by hash: a lookup costs the same however long the list is, and the
+    planner, which knows its size, broadcasts it while it is small.
+    """
+    columns = df.columns
+    for name, mapping in mappings.items():
+        if name not in columns:
+            continue
+        text = ref(name).cast("string")
+        recoded = text
+        if mapping:
+            rows = list({recode_key(key): str(value) for key, value in mapping.items()}.items())
+            lookup = local_table(df.sparkSession, rows, "__recode_from string, __recode_to string")
+            df = df.join(lookup, F.lower(strip(text)) == F.col("__recode_from"), "left")
+            recoded = F.coalesce("__recode_to", text)
+        df = df.withColumn(name, recoded).select(*[ref(c) for c in columns])
+    return df
 
 
 def cast_columns(

@@ -6,7 +6,9 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -30,6 +32,8 @@ MERGE_METRICS_SCHEMA = (
     "cardinality_matches_expectation boolean, max_key_fanout long"
 )
 
+INVALID_VALUES_SCHEMA = "dataset_id string, column_name string, value string, failing_rows long"
+
 
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
@@ -103,11 +107,18 @@ class RunResult:
     step_issues: DataFrame
     merge_metrics: DataFrame
     invalid_values: dict[str, DataFrame] = field(default_factory=dict)
+    written_to: str | None = None
 
     @property
     def issues(self) -> DataFrame:
         return self.step_issues.drop("step_name", "run_id")
 
+    def invalid_value_report(self) -> DataFrame:
+        """Every value outside its list, of all tables of the run."""
+        empty = local_table(self.step_results.sparkSession, [], INVALID_VALUES_SCHEMA)
+        found = [t.select(F.lit(name).alias("dataset_id"), "*") for name, t in self.invalid_values.items()]
+        return reduce(DataFrame.unionByName, found, empty)
+
     def summary(self) -> DataFrame:
         return run_summary(self.step_results, self.step_issues)
 
@@ -125,10 +136,11 @@ def curate(
     *,
     as_of: dt.date | None = None,
     strict_nulls: bool = False,
+    invalid_path: str | None = None,
 ) -> tuple[DataFrame, SuiteResult]:
     """Cast a table, write it and judge it, reading the source once.
 
-    The counts ride along with the write; keys and value lists are then read from the columns of
+    With ``invalid_path`` the values outside their lists are written there and counted from what was written. The counts ride along with the write; keys and value lists are then read from the columns of
     the written table. Every observed operator sits in the writing stage, so a task that runs again
     is not counted twice.
     """
@@ -140,9 +152,10 @@ def curate(
     counts = observation.get
     curated = df.sparkSession.read.schema(table.schema).parquet(path)
     written = SuitePlan(curated, spec, as_of, strict_nulls, coerce=False)
-    return curated, suite_result(
-        plan, counts, written.key_counts(), written.invalid_values(), written.invalid_counts(), started_at
-    )
+    invalid = written.invalid_values()
+    if invalid_path is not None:
+        invalid = df.sparkSession.read.schema(invalid.schema).parquet(write_table(invalid, invalid_path))
+    return curated, suite_result(plan, counts, written.key_counts(), invalid, written.invalid_counts(invalid), started_at)
 
 
 def wide_export_domains(
@@ -255,7 +268,10 @@ def curate_and_merge(
                 continue
             source = read_table_from_spec(spark, spec)
         path = f"{root}/curated/{spec.dataset_id}.parquet"
-        curated[spec.dataset_id], result = curate(source, spec, path, as_of=as_of, strict_nulls=strict_nulls)
+        bad = f"{root}/reports/invalid_values_{spec.dataset_id}.parquet"
+        curated[spec.dataset_id], result = curate(
+            source, spec, path, as_of=as_of, strict_nulls=strict_nulls, invalid_path=bad
+        )
         invalid[spec.dataset_id] = result.invalid_values
         log.add_suite(result)
     merges, metrics = merge_and_write(curated, steps, f"{root}/analytic", log, row_budget)
@@ -263,20 +279,33 @@ def curate_and_merge(
 
 
 def write_reports(result: RunResult, out_dir: str) -> RunResult:
-    """Append the report tables, partitioned by run, and return the result reading from them."""
+    """Write the report tables, partitioned by run, and return the result reading from them.
+
+    A run's partition is replaced, so a report written twice has its rows once; other runs stay. A result that reads
+    from these reports already is returned as it is.
+    """
+    if result.written_to == out_dir:
+        return result
     spark = result.step_results.sparkSession
     reports = {
         "step_results": result.step_results,
         "issues": result.step_issues,
         "merge_metrics": result.merge_metrics,
+        "invalid_values": result.invalid_value_report(),
     }
     stored = {}
     for name, table in reports.items():
         path = f"{out_dir}/reports/{name}.parquet"
+        # the report of values grows with the data; the others hold a few rows
+        rows = table if name == "invalid_values" else table.coalesce(1)
+        rows.write.mode("overwrite").parquet(f"{path}/run_id={quote(result.run_id, safe='')}")
         tagged = table.withColumn("run_id", F.lit(result.run_id))
-        write_table(tagged.coalesce(1), path, mode="append", partition_by=["run_id"])
         stored[name] = spark.read.schema(tagged.schema).parquet(path).filter(F.col("run_id") == result.run_id)
+    invalid = {
+        name: stored["invalid_values"].filter(F.col("dataset_id") == name).drop("dataset_id", "run_id")
+        for name in result.invalid_values
+    }
     return RunResult(
         result.run_id, result.tables, result.merges, stored["step_results"], stored["issues"],
-        stored["merge_metrics"], result.invalid_values,
+        stored["merge_metrics"], invalid, out_dir,
     )

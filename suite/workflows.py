@@ -61,6 +61,15 @@ def tables_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_run(spark, sf_dir).exclusions()
 
 
+@query(
+    """select 'documents' as dataset_id, 'lang' as column_name, lang as value, cast(count(*) as bigint) as failing_rows
+    from documents where trim(lang) not in ('en', 'de', 'fr') group by lang"""
+)
+def tables_invalid_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written report of all values outside their lists."""
+    return document_run(spark, sf_dir).invalid_value_report()
+
+
 @query(CHAIN_SQL)
 def tables_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = chain_tables(spark, sf_dir)

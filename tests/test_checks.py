@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,6 +99,21 @@ def test_duplicate_rows_do_not_gather_a_group(spark, plan_of):
     assert "Window" not in plan_of(checks.duplicate_rows(df, ["k"]))
 
 
+def test_long_keys_are_counted_by_digest_and_told_apart_by_value(spark, rows, plan_of, monkeypatch):
+    values = [("a", 1), ("a", 1), ("b", 1), (None, 1), (None, 1), ("1", None), (None, None), ("c", 2)]
+    df = frame(spark, "t string, n int", *values)
+    expected = [(None, 1), (None, 1), ("a", 1), ("a", 1)]
+    assert rows(checks.duplicate_rows(df, ["t", "n"])) == expected
+    text = plan_of(checks.duplicate_rows(df, ["t", "n"]))
+    first = [line for line in text.splitlines() if "Exchange hashpartitioning" in line][-1]
+    assert re.search(r"hashpartitioning\(_groupingexpression#\d+L, \d+\)", first)
+    assert "xxhash64" not in plan_of(checks.duplicate_rows(df, ["n"]))
+    # digests that all meet change nothing
+    monkeypatch.setattr(checks.F, "xxhash64", lambda *columns: F.lit(7).cast("long") + F.length(F.lit("")))
+    found, issues = checks.detect_duplicates(df, ["t", "n"], "demo")
+    assert rows(found) == expected and issues.first().row_count == 4
+
+
 def test_allowed_values_trim_data_only_and_skip_nulls(spark, rows):
     df = frame(spark, "sex string, n int", (" M ", 1), ("X", 2), ("X", 3), (None, 1), ("F", None))
     result = checks.validate_allowed_values(df, spec(allowed_values={"sex": ["M", "F "], "n": [1, 2], "absent": ["a"]}))

@@ -5,15 +5,24 @@ from concordat.operators import transform
 
 
 def test_recode_cast_and_derive(spark, rows):
-    df = spark.createDataFrame([("Masculino", "1"), (" FEMENINO ", "2"), ("Otro", "x"), (None, None)], "cat string, v string")
-    norm = transform.normalize_categories(df, {"cat": {"masculino": "M", "Femenino ": "F"}, "absent": {"a": "b"}})
-    assert rows(norm, "cat") == [(None,), ("F",), ("M",), ("Otro",)]
-    cast = transform.cast_columns(norm, {"v": "numeric", "absent": "date"})
-    assert rows(cast, "v") == [(None,), (None,), (1.0,), (2.0,)]
-    derived = transform.derive(cast, {"v2": "v * 2", "v3": lambda d: d["v2"] + 1})
-    assert rows(derived, "v2", "v3") == [(None, None), (None, None), (2.0, 3.0), (4.0, 5.0)]
-    with pytest.raises(TypeError, match="v4"):
-        transform.derive(cast, {"v4": 7})
+    df = spark.createDataFrame([("Diesel", "40"), (" ELECTRIC\t", "7.5"), ("steam", "-"), (None, None)], "fuel string, tank string")
+    norm = transform.normalize_categories(df, {"fuel": {"diesel": "D", "Electric ": "E"}, "absent": {"a": "b"}})
+    assert norm.columns == df.columns and rows(norm, "fuel") == [(None,), ("D",), ("E",), ("steam",)]
+    cast = transform.cast_columns(norm, {"tank": "numeric", "absent": "date"})
+    assert rows(cast, "tank") == [(None,), (None,), (40.0,), (7.5,)]
+    derived = transform.derive(cast, {"half": "tank / 2", "left": lambda d: d["tank"] - d["half"]})
+    assert rows(derived, "half", "left") == [(None, None), (None, None), (20.0, 20.0), (3.75, 3.75)]
+    with pytest.raises(TypeError, match="bad"):
+        transform.derive(cast, {"bad": 7})
+
+
+def test_a_long_list_is_looked_up_by_hash(spark, rows, plan_of):
+    df = spark.range(0, 30000, 3).select(F.concat(F.lit(" K"), "id").alias("k"), F.col("id").alias("n"), (F.col("id") % 2).alias("m"))
+    long_list = {f"k{i}": f"v{i}" for i in range(10000)}
+    norm = transform.normalize_categories(df, {"k": long_list, "m": {"1": "odd"}, "n": {}})
+    assert "BroadcastHashJoin" in plan_of(norm) and "map(" not in plan_of(norm)
+    expected = {i: (long_list.get(f"k{i}", f" K{i}"), "odd" if i % 2 else "0") for i in range(0, 30000, 3)}
+    assert {int(r.n): (r.k, r.m) for r in norm.collect()} == expected
 
 
 def test_other_casts_raise_on_bad_values(spark):

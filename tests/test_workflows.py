@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 
 from concordat import plans
-from concordat.model import DatasetSpec, MergeStep
+from concordat.model import STEP_ISSUE_SCHEMA, STEP_SCHEMA, DatasetSpec, MergeStep, local_table
+from concordat.plans import tables
 
 AS_OF = dt.date(2024, 1, 1)
 
@@ -95,10 +96,24 @@ def test_tables_are_curated_judged_merged_and_reported(spark, specs, tmp_path, r
     stages = {r.stage: (r.executed, r.failed) for r in run.counts_by_stage().collect()}
     assert stages["demographics"] == (8, 0) and stages["visits"] == (8, 2) and stages["demographics_visits"] == (2, 1)
     assert rows(run.invalid_values["labs"]) == [("ana_positive", "Q", 1)]
+    assert ("labs", "ana_positive", "Q", 1) in rows(run.invalid_value_report())
     again = plans.curate_and_merge(spark, specs, STEPS, out_dir=str(tmp_path / "out"), as_of=AS_OF, run_id="r2")
     assert again.step_results.count() == 38
 
 
+def test_reports_written_twice_have_their_rows_once(spark, rows, tmp_path):
+    steps = local_table(spark, [("s", "d", True, 0, {}, {}, None, None, 0.0)], STEP_SCHEMA)
+    none = local_table(spark, [], STEP_ISSUE_SCHEMA)
+    metrics = local_table(spark, [], tables.MERGE_METRICS_SCHEMA)
+    bad = local_table(spark, [("c", "x", 2)], "column_name string, value string, failing_rows long")
+    for run_id in ("a/1", "b 2", "a/1"):
+        run = tables.write_reports(plans.RunResult(run_id, {}, {}, steps, none, metrics, {"d": bad}), str(tmp_path))
+    assert tables.write_reports(run, str(tmp_path)) is run
+    assert run.step_results.count() == 1 and rows(run.invalid_value_report()) == [("d", "c", "x", 2)]
+    written = spark.read.parquet(f"{tmp_path}/reports/invalid_values.parquet")
+    assert rows(written, "run_id", "value") == [("a/1", "x"), ("b 2", "x")]
+
+
 def test_unmatched_rows_are_read_from_their_own_partition(spark, specs, tmp_path, plan_of):
     run = plans.curate_and_merge(spark, specs, STEPS, out_dir=str(tmp_path / "out"), as_of=AS_OF)
     text = plan_of(run.merges["patient_visits_labs"].left_only)
