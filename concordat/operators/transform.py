@@ -78,17 +78,31 @@ def with_row_index(df: DataFrame, order_by: Sequence[str], name: str) -> DataFra
     return numbered.withColumn(name, F.col("__start") + offset).drop("__part", "__pos", "__start")
 
 
+def _with_numbers_of_unnamed(named: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    # written with its locators, so that they are the same for the sort and for the join, whatever is run again
+    located = stored(named.withColumn("__at", F.monotonically_increasing_id()))
+    keys = [ref(c).alias(f"__by{i}") for i, c in enumerate(order_by)]
+    numbered = with_row_index(
+        located.select("__at", (F.col("__q") == "").alias("__unnamed"), *keys),
+        [*[f"__by{i}" for i in range(len(keys))], "__at"],
+        "__row",
+    )
+    unnamed = numbered.filter("__unnamed").select("__at", "__row")
+    return located.join(unnamed, "__at", "left").drop("__at")
+
+
 def harmonize_variables(
     df: DataFrame,
     mappings: Mapping[str, Any],
     source_study: str,
     question_name_col: str = "QUESTION_NAME",
-    order_by: Sequence[str] | None = None,
+    *,
+    order_by: Sequence[str],
 ) -> tuple[DataFrame, DataFrame]:
     """Add ``HARMONIZED_VARIABLE`` and return the trace, one row per input row.
 
-    Rows without a name are called ``row_<i>`` by their place in ``order_by``. The table is sorted
-    for that only when there are such rows.
+    Rows without a name are called ``row_<i>`` by their place in ``order_by``. Only the sorting keys and a locator of
+    each row are sorted for that, and only the numbers of unnamed rows are joined back, where there are any.
     """
     spark = df.sparkSession
     entries = mappings.get("variables", mappings)
@@ -107,10 +121,8 @@ def harmonize_variables(
     named = df.withColumn("__q", F.coalesce(strip(raw), F.lit("")))
     if named.filter(F.col("__q") == "").isEmpty():
         named = named.withColumn("__row", F.lit(None).cast("long"))
-    elif order_by:
-        named = with_row_index(named, order_by, "__row")
     else:
-        raise ValueError("Rows without a variable name are numbered, which needs order_by")
+        named = _with_numbers_of_unnamed(named, order_by)
     joined = named.join(lookup, F.col("__q") == F.col("__name"), "left")
     fallback = F.when(F.col("__q") != "", F.col("__q")).otherwise(F.concat(F.lit("row_"), F.col("__row").cast("string")))
     joined = joined.withColumn("HARMONIZED_VARIABLE", F.coalesce("__harmonized", fallback))

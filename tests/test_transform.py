@@ -33,24 +33,41 @@ def test_other_casts_raise_on_bad_values(spark):
     assert transform.cast_columns(df, {"v": "string"}).count() == 2
 
 
-MAP = {"variables": {"AGE": {"harmonized": "age_years", "rule": "mapped"}, "SEX": "sex", "BMI": {"notes": "n"}}}
+MAP = {"variables": {"FUEL": {"harmonized": "fuel_type", "rule": "by_hand"}, "KM": "distance", "DOORS": {"notes": "seen"}}}
 
 
 def test_harmonized_names_and_trace(spark, rows):
-    df = spark.createDataFrame([(0, "AGE"), (1, " SEX "), (2, "OTHER"), (3, " "), (4, None), (5, "BMI")], "i int, QUESTION_NAME string")
-    named, trace = transform.harmonize_variables(df, MAP, "once", order_by=["i"])
-    assert rows(named, "i", "HARMONIZED_VARIABLE") == [
-        (0, "age_years"), (1, "sex"), (2, "OTHER"), (3, "row_3"), (4, "row_4"), (5, "BMI"),
+    names = ["KM", " FUEL\t", None, "COLOUR", "", "DOORS", " "]
+    df = spark.createDataFrame([(9 - i, n) for i, n in enumerate(names)], "back int, QUESTION_NAME string").repartition(3)
+    named, trace = transform.harmonize_variables(df, MAP, "fleet", order_by=["back"])
+    # places count from the row of the least key
+    assert rows(named, "back", "HARMONIZED_VARIABLE") == [
+        (3, "row_0"), (4, "DOORS"), (5, "row_2"), (6, "COLOUR"), (7, "row_4"), (8, "fuel_type"), (9, "distance"),
     ]
-    assert named.columns == ["i", "QUESTION_NAME", "HARMONIZED_VARIABLE"]
-    lost = "No mapping found; original variable retained"
-    assert rows(trace) == sorted(
-        [
-            ("AGE", "age_years", "once", "mapped", ""), ("SEX", "sex", "once", "direct_mapping", ""),
-            ("OTHER", "OTHER", "once", "fallback_identity", lost), ("", "row_3", "once", "fallback_identity", lost),
-            ("", "row_4", "once", "fallback_identity", lost), ("BMI", "BMI", "once", "question_name_exact", "n"),
-        ]
-    )
+    assert named.columns == ["back", "QUESTION_NAME", "HARMONIZED_VARIABLE"]
+    kept = ("fleet", "fallback_identity", "No mapping found; original variable retained")
+    expected = [
+        ("KM", "distance", "fleet", "direct_mapping", ""), ("FUEL", "fuel_type", "fleet", "by_hand", ""),
+        ("DOORS", "DOORS", "fleet", "question_name_exact", "seen"),
+        *[(source, target, *kept) for source, target in (("COLOUR", "COLOUR"), ("", "row_0"), ("", "row_2"), ("", "row_4"))],
+    ]
+    assert rows(trace) == sorted(expected)
+
+
+def test_unnamed_rows_are_numbered_by_keys_and_locators(spark, monkeypatch):
+    numbering, sorted_columns = transform.with_row_index, []
+
+    def seen(table, order_by, name):
+        sorted_columns.extend(table.columns)
+        return numbering(table, order_by, name)
+
+    monkeypatch.setattr(transform, "with_row_index", seen)
+    df = spark.range(50).selectExpr("id AS k", "IF(id % 5 = 0, '', 'AGE') AS QUESTION_NAME", "repeat('x', 20) AS wide")
+    named, _ = transform.harmonize_variables(df, {"AGE": "age"}, "s", order_by=["k"])
+    assert sorted_columns == ["__at", "__unnamed", "__by0"]
+    assert {r.k: r.HARMONIZED_VARIABLE for r in named.collect()} == {i: "age" if i % 5 else f"row_{i}" for i in range(50)}
+    with pytest.raises(TypeError, match="order_by"):
+        transform.harmonize_variables(df, MAP, "s")
 
 
 def test_map_may_be_top_level_and_the_name_column_absent(spark, rows):
@@ -62,7 +79,7 @@ def test_map_may_be_top_level_and_the_name_column_absent(spark, rows):
 
 def test_small_map_is_broadcast_by_its_known_size(spark, plan_of, tmp_path):
     spark.createDataFrame([("AGE",)], "QUESTION_NAME string").write.parquet(str(tmp_path / "q"))
-    named, _ = transform.harmonize_variables(spark.read.parquet(str(tmp_path / "q")), MAP, "once")
+    named, _ = transform.harmonize_variables(spark.read.parquet(str(tmp_path / "q")), MAP, "once", order_by=["QUESTION_NAME"])
     text = plan_of(named)
     assert "BroadcastHashJoin" in text and "Python" not in text
 
@@ -78,9 +95,3 @@ def test_row_index_with_ties(spark):
     numbered = transform.with_row_index(df, ["k"], "i")
     assert sorted(r.i for r in numbered.collect()) == list(range(500))
     assert numbered.filter("(k = 0) != (i < 250)").isEmpty()
-
-
-def test_nameless_rows_need_an_order(spark):
-    df = spark.createDataFrame([(" ",)], "QUESTION_NAME string")
-    with pytest.raises(ValueError, match="order_by"):
-        transform.harmonize_variables(df, MAP, "once")
