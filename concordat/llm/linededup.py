@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import discard, free_name, native_words, stored
 
@@ -16,9 +17,17 @@ def line_units(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), BREAK)
 
 
-def keys_of(id_column: str) -> list[Column]:
+def key_of(docs: DataFrame, id_column: str) -> Column:
+    """The id as it is ordered and joined, never null: whole numbers as longs, any other type within a struct."""
+    column = docs[id_column]
+    if isinstance(docs.schema[id_column].dataType, T.IntegralType):
+        return F.coalesce(column.cast("long"), F.lit(LOWEST))
+    return F.struct(column.alias("v"))
+
+
+def keys_of(docs: DataFrame, id_column: str) -> list[Column]:
     """Document order: id (null first), then text hash. Rows equal in both are one document."""
-    return [F.coalesce(F.col(id_column).cast("long"), F.lit(LOWEST)).alias("id"), F.xxhash64("text").alias("th")]
+    return [key_of(docs, id_column).alias("id"), F.xxhash64("text").alias("th")]
 
 
 def ranked(rows: DataFrame, first: str, second: str) -> DataFrame:
@@ -48,7 +57,7 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", least_words: int
     prefix of at least that many lines, and every maximal repeated run of enough words is a union of such windows:
     the shortest ones of enough words from each line forwards, and from each line backwards.
     """
-    units = docs.select(*keys_of(id_column), F.posexplode(line_units(F.col("text"))).alias("i", "unit"))
+    units = docs.select(*keys_of(docs, id_column), F.posexplode(line_units(F.col("text"))).alias("i", "unit"))
     words = units.select("id", "th", "i", native_words(F.col("unit")).alias("w")).where(F.size("w") > 0)
     joined = F.array_join("w", " ")
     lines = stored(words.select("id", "th", "i", F.size("w").alias("n_words"), F.xxhash64(joined).alias("one"), F.hash(joined).alias("two")))
@@ -56,7 +65,8 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", least_words: int
 
     document = ["id", "th"]
     along = Window.partitionBy(*document).orderBy("i")
-    once = known.withColumn("copy", F.row_number().over(Window.partitionBy(*document, "i").orderBy("rank"))).where("copy = 1").drop("copy")
+    # rows equal in id and text are one document: a minimum, which combines before the shuffle
+    once = known.groupBy(*document, "i").agg(F.min("n_words").alias("n_words"), F.min("rank").alias("rank"))
     apart = F.sum((F.col("i") - F.coalesce(F.lag("i").over(along), F.lit(-2)) != 1).cast("int"))
     parted = once.withColumn("stretch", apart.over(along))
     whole = parted.withColumn("total", F.sum("n_words").over(Window.partitionBy(*document, "stretch"))).where(F.col("total") >= least_words)
@@ -118,15 +128,15 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", least_words: int = 5
     """``docs`` with the later copies of repeated line runs deleted from ``text``; columns n_lines and n_deleted added.
 
     The earliest copy of a run stays. Every row stays; one whose lines all go has an empty text. A null text stays
-    null and has no lines. Rows that are equal in id and text are one document, and get the same text; null ids come
-    before all others. Columns of the input keep their names and order;
+    null and has no lines. Rows that are equal in id and text are one document, and get the same text; ids are of any type
+    that Spark can order, and null ids come before all others. Columns of the input keep their names and order;
     the two added come last, with underscores before their names if those are taken.
     """
     found = stored(repeated_lines(docs, id_column, least_words))
     names = {n: free_name(docs, f"{n}_of") for n in ("id", "th", "lines")}
     # the same join at every size: the texts are shuffled once, and no table is sent to all tasks
     found = found.select(*(F.col(n).alias(v) for n, v in names.items())).hint("merge")
-    same = (F.coalesce(docs[id_column].cast("long"), F.lit(LOWEST)) == F.col(names["id"])) & (F.xxhash64(docs["text"]) == F.col(names["th"]))
+    same = (key_of(docs, id_column) == F.col(names["id"])) & (F.xxhash64(docs["text"]) == F.col(names["th"]))
     joined = docs.join(found, same, "left")
     units, gone = line_units(docs["text"]), F.col(names["lines"])
     left = F.array_except(F.sequence(F.lit(0), F.size(units) - 1), gone)

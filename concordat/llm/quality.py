@@ -72,37 +72,49 @@ def measures(docs: DataFrame, id_column: str = "doc_id", host_column: str = "sou
     )
 
 
-def host_verdicts(measured: DataFrame, most: float = 0.75) -> DataFrame:
-    """(host, host_rate, host_kept): a host is rejected if a rule's shrunken failure rate is above ``most``.
+def host_verdicts(measured: DataFrame, least: float = 0.3, most: float = 0.75) -> DataFrame:
+    """(host, host_rate, host_kept): a host is rejected if a rule's shrunken failure rate is beyond what hosts vary by.
 
     For each rule, a beta prior is fitted to the rates of all hosts by moments (mean of all rows; variance of the
     hosts' rates weighted by rows, less what chance alone gives), and a host's rate is the posterior mean. So hosts
-    with few documents are judged mostly as the average host, and one with many as it is. ``host_rate`` is the largest.
+    with few documents are judged mostly as the average host, and one with many as it is; where hosts differ by no more
+    than chance, all have the mean. The limit is the mean and three standard deviations of the prior that the other hosts
+    give, so that a large host does not hide itself; it is never below ``least``, as most documents of such a host are
+    good, nor above ``most``, which is the limit of a host without others. ``host_rate`` is the largest rate.
     One row of moments reaches the driver.
     """
     fails = {r: F.sum(F.expr(rule).cast("long")).cast("double").alias(r) for r, rule in HOST_RULES.items()}
     hosts = stored(measured.groupBy("host").agg(F.count(F.lit(1)).cast("double").alias("n"), *fails.values()))
-    moments = [x for r in HOST_RULES for x in (F.sum(r).alias(r), F.sum(F.col(r) * F.col(r) / F.col("n")).alias(f"{r}_2"))]
+    zero = F.lit(0.0)
+    moments = [x for r in HOST_RULES for x in (F.coalesce(F.sum(r), zero).alias(r), F.coalesce(F.sum(F.col(r) * F.col(r) / F.col("n")), zero).alias(f"{r}_2"))]
     m = hosts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("hosts"), *moments).first()
-    rates = []
+    rates, good = [], F.lit(True)
+    total, n = F.lit(m["n"] or 0.0), F.col("n")
+    others = F.nullif(total - n, F.lit(0.0))
     for r in HOST_RULES:
-        a, b = prior(m["n"] or 0.0, m["hosts"], m[r] or 0.0, m[f"{r}_2"] or 0.0)
-        rates.append((F.col(r) + F.lit(a)) / (F.col("n") + F.lit(a + b)))
-    return hosts.select("host", F.greatest(*rates).alias("host_rate")).withColumn("host_kept", F.col("host_rate") <= most)
+        mean, spread = prior(m["n"] or 0.0, m["hosts"], m[r], m[f"{r}_2"])
+        own = n * spread / (n * spread + mean * (1 - mean) - spread) if spread > 0 else F.lit(0.0)
+        rates.append(mean + own * (F.col(r) / n - mean))
+        mid = (m[r] - F.col(r)) / others
+        chance = mid * (1 - mid) * (m["hosts"] - 1) / others
+        var = F.greatest(F.lit(0.0), (m[f"{r}_2"] - F.col(r) * F.col(r) / n) / others - mid * mid - chance)
+        limit = F.least(F.lit(most), F.greatest(F.lit(least), mid + 3 * F.sqrt(var)))
+        good = good & (rates[-1] <= F.when(others.isNull(), most).otherwise(limit))
+    return hosts.select("host", F.greatest(*rates).alias("host_rate"), good.alias("host_kept"))
 
 
 def prior(rows: float, hosts: int, fails: float, squares: float) -> tuple[float, float]:
-    """Beta prior (a, b) from sums over hosts: rows, hosts, failures, and failures squared by rows; 1 to 1000 rows' worth."""
-    if not rows:
-        return 0.5, 0.5
+    """Mean and variance of the beta prior, from sums over hosts: rows, hosts, failures, and failures squared by rows.
+
+    Its weight is mean * (1 - mean) / variance - 1 rows; with no variance beyond chance, that of infinitely many.
+    """
+    if not rows:  # no hosts either
+        return 0.5, 0.0
     mean = fails / rows
-    chance = mean * (1 - mean) * hosts / rows
-    spread = squares / rows - mean * mean - chance
-    strength = 1000.0 if spread <= 0 else min(1000.0, max(1.0, mean * (1 - mean) / spread - 1))
-    return mean * strength, (1 - mean) * strength
+    return mean, max(0.0, squares / rows - mean * mean - mean * (1 - mean) * hosts / rows)
 
 
-def judge_documents(docs: DataFrame, id_column: str = "doc_id", host_column: str = "source", most: float = 0.75) -> DataFrame:
+def judge_documents(docs: DataFrame, id_column: str = "doc_id", host_column: str = "source", least: float = 0.3, most: float = 0.75) -> DataFrame:
     """Measures and verdicts of every row: id, n_words, ..., base_failed, kept, host_rate.
 
     A document is kept unless it fails the base rules or its host is rejected. A null text has no words; a null host
@@ -110,7 +122,7 @@ def judge_documents(docs: DataFrame, id_column: str = "doc_id", host_column: str
     by host with partial sums, and joined with the verdicts, where adaptive execution can split a hot host.
     """
     measured = stored(measures(docs, id_column, host_column))
-    verdicts = stored(host_verdicts(measured, most))
+    verdicts = stored(host_verdicts(measured, least, most))
     joined = measured.join(verdicts.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
     return joined.select(
         F.col("id").alias(id_column), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -118,7 +130,7 @@ def judge_documents(docs: DataFrame, id_column: str = "doc_id", host_column: str
     )
 
 
-def keep_good(docs: DataFrame, host_column: str = "source", most: float = 0.75) -> DataFrame:
+def keep_good(docs: DataFrame, host_column: str = "source", least: float = 0.3, most: float = 0.75) -> DataFrame:
     """``docs`` without those that ``judge_documents`` rejects; measured where they lie, so rows need no id.
 
     The host verdicts come from a first pass; the second measures again and drops, and its texts are not shuffled by
@@ -126,21 +138,30 @@ def keep_good(docs: DataFrame, host_column: str = "source", most: float = 0.75)
     """
     base, bad = free_name(docs, "base"), free_name(docs, "bad_host")
     measured = stored(measures(docs.withColumn(base, F.lit(None).cast("long")), base, host_column))
-    rejected = host_verdicts(measured, most).where(~F.col("host_kept")).select(F.col("host").alias(bad))
+    rejected = host_verdicts(measured, least, most).where(~F.col("host_kept")).select(F.col("host").alias(bad))
     words = native_words(F.col("text"))
     poor = bind(words, lambda w: (F.size(w) < LEAST_WORDS) | (100 * repeated_words(w) > MOST_REPEATED * F.size(w)))
     good = docs.where(~poor)
     return good.join(stored(rejected), good[host_column].eqNullSafe(F.col(bad)), "left_anti")
 
 
-def quality_sql(documents: str = "documents", most: float = 0.75) -> str:
+def quality_sql(documents: str = "documents", least: float = 0.3, most: float = 0.75) -> str:
     """DuckDB SQL for the rows of ``judge_documents`` without the host's rate."""
     rule = {**HOST_RULES}
     sums = ", ".join(f"sum(case when {x} then 1 else 0 end)::double as f_{r}" for r, x in rule.items())
-    moments = ", ".join(f"sum(f_{r}) / sum(n) as m_{r}, sum(f_{r} * f_{r} / n) / sum(n) as q_{r}" for r in rule)
-    spread = ", ".join(f"q_{r} - m_{r} * m_{r} - m_{r} * (1 - m_{r}) * hosts / total as s_{r}" for r in rule)
-    strength = ", ".join(f"case when s_{r} <= 0 then 1000.0 else least(1000.0, greatest(1.0, m_{r} * (1 - m_{r}) / s_{r} - 1)) end as k_{r}" for r in rule)
-    rates = ", ".join(f"(f_{r} + m_{r} * k_{r}) / (n + k_{r})" for r in rule)
+    moments = ", ".join(f"sum(f_{r}) as t_{r}, sum(f_{r} * f_{r} / n) as q_{r}" for r in rule)
+
+    def var(mean: str, squares: str, rows: str, hosts: str) -> str:
+        return f"greatest(0, {squares} / {rows} - {mean} * {mean} - {mean} * (1 - {mean}) * {hosts} / {rows})"
+
+    means = ", ".join(f"t_{r} / total as m_{r}, (t_{r} - f_{r}) / nullif(total - n, 0) as o_{r}" for r in rule)
+    spread = ", ".join(
+        f"{var(f'm_{r}', f'q_{r}', 'total', 'hosts')} as s_{r}, {var(f'o_{r}', f'(q_{r} - f_{r} * f_{r} / n)', '(total - n)', '(hosts - 1)')} as v_{r}" for r in rule
+    )
+    shrunk = {r: f"m_{r} + case when s_{r} > 0 then n * s_{r} / (n * s_{r} + m_{r} * (1 - m_{r}) - s_{r}) else 0 end * (f_{r} / n - m_{r})" for r in rule}
+    good = " and ".join(
+        f"{rate} <= case when total = n then {most} else least({most}, greatest({least}, o_{r} + 3 * sqrt(v_{r}))) end" for r, rate in shrunk.items()
+    )
     return f"""
     with texts as (select doc_id, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from {documents}),
     windows as (
@@ -158,9 +179,9 @@ def quality_sql(documents: str = "documents", most: float = 0.75) -> str:
       from texts t left join repeated r using (doc_id) left join lines l using (doc_id)),
     hosts as (select source, count(*)::double as n, {sums} from measured group by source),
     moments as (select sum(n) as total, count(*) as hosts, {moments} from hosts),
-    spreads as (select *, {spread} from moments),
-    strengths as (select *, {strength} from spreads),
-    verdicts as (select source, greatest({rates}) <= {most} as host_kept from hosts, strengths)
+    means as (select *, {means} from hosts, moments),
+    spreads as (select *, {spread} from means),
+    verdicts as (select source, {good} as host_kept from spreads)
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and host_kept as kept
     from measured m join verdicts v on m.source is not distinct from v.source
     """

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pandas as pd
 import public_tokenizers
@@ -195,6 +196,32 @@ def test_licenses(docs, nothing):
     assert licenses.scan_licenses(nothing).count() == 0
 
 
+def test_license_titles_claims_and_names(spark):
+    """Whole texts below titles and claims of any form, notices as phrases and names, against the SQL as well."""
+    mit, bsd = licenses.KNOWN["MIT"], licenses.KNOWN["BSD-3-Clause"]
+    cases = [
+        ("MIT License\n\nCopyright (c) 2022 Foo\n\n" + mit, "MIT", ""),
+        ("The MIT License (MIT)\nCopyright Foo Inc.\r\nCopyright Bar\n" + mit, "MIT", ""),
+        ("Copyright [yyyy] [name]\n\n" + mit.replace("OR COPYRIGHT", "OR\nCOPYRIGHT"), "MIT", ""),
+        ('BSD 3-Clause "New" or "Revised" License\n\nCopyright 2000, X\nAll rights reserved.\n\n' + bsd, "BSD-3-Clause", ""),
+        (bsd.replace("the copyright holder nor", "Foo\nGmbH nor"), "BSD-3-Clause", ""),
+        ("\n" * 50_000 + mit, "MIT", ""),
+        (mit + "\nand more", None, ""),
+        ("Released under CC BY 4.0\nThis work is licensed under the BSD License", None, "BSD,CC-BY-4.0"),
+        ("Licensed under the Mozilla Public License 2.0.\n# SPDX-License-Identifier: GPL-2.0-or-later", None, "GPL-2.0-or-later,MPL-2.0"),
+        ("It is distributed under water\nlicensed under the sun", None, ""),
+        (None, None, ""),
+    ]
+    frame = spark.createDataFrame([(n, c[0], "x") for n, c in enumerate(cases)], "doc_id long, text string, digest string")
+    got = sorted(map(tuple, licenses.scan_licenses(frame).collect()))
+    assert [(r[2], r[3]) for r in got] == [c[1:] for c in cases]
+    con = duckdb.connect()
+    con.register("documents", frame.toPandas())
+    assert sorted(con.sql(licenses.licenses_sql()).fetchall()) == got
+    own = {r.doc_id: r for r in licenses.scan_licenses(frame.limit(10), {"and more": "X"}, {"the sun": "SUN"}).collect()}
+    assert own[9].notices == "SUN" and own[0].license is None
+
+
 def measured(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
@@ -225,6 +252,21 @@ def test_bad_hosts_lose_their_documents(spark):
     assert got[201].host_rate < got[100].host_rate  # a host with one document is shrunk towards the average
 
 
+def test_hosts_fall_in_a_corpus(spark):
+    """A host of the given documents whose texts are spoiled falls by the prior, far below the fixed limit; the others stay."""
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source")
+    spoil = (F.col("source") == "src3") & (F.floor(F.col("doc_id") / 20) % 2 == 0)
+    docs = given.withColumn("text", F.when(spoil, F.repeat(F.lit("buy now "), 60)).otherwise(F.col("text")))
+    rows = quality.judge_documents(docs).join(given.select("doc_id", "source"), "doc_id").toPandas()
+    lost = set(rows[~rows.kept & ~rows.base_failed].source)
+    assert lost == {"src3"} and rows[rows.source == "src3"].host_rate.max() < 0.75
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = con.sql(quality.quality_sql()).df()
+    assert set(want[want.kept].doc_id) == set(rows[rows.kept].doc_id)
+    assert quality.judge_documents(given).where("not kept and not base_failed").isEmpty()
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet="ab1@.+-() \n29%", max_size=60))
 def test_base_spans(text):
@@ -360,6 +402,13 @@ def test_line_runs(spark, docs, nothing):
     assert linededup.dedup_lines(nothing).count() == 0
 
 
+def test_line_runs_under_text_ids(spark):
+    run = "\n".join(long_text(9, 60).split(" ", 15))
+    rows = [("b", run), ("a", f"first\n{run}"), (None, f"{run}\nlast"), ("", run), ("a", f"first\n{run}"), ("c", None)]
+    got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter([("b", ""), ("a", "first"), ("a", "first"), (None, f"{run}\nlast"), ("", ""), ("c", None)])
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(2)
     centres = rng.standard_normal((40, 32))
