@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from pathlib import PurePosixPath
 from urllib.parse import unquote
 
@@ -15,11 +15,9 @@ from .layouts import layout_rows
 from .readers import DELIMITERS
 
 FILE_COLUMNS = ("path", "name", "size_bytes", "modified_at", "suffix")
-# Files up to this size are hashed from their content column; larger ones are streamed.
-CONTENT_LIMIT = 64 * 1024 * 1024
 CHUNK_BYTES = 4 * 1024 * 1024
-# Names that Spark and the streaming library give to the same store.
-STREAM_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+# Settings of object stores begin with these.
+STORES = ("fs.s3a.", "fs.azure.")
 
 
 def audit_files(spark: SparkSession, path: str | Sequence[str], recursive: bool = True) -> DataFrame:
@@ -51,37 +49,85 @@ def _with_empty_files(files: DataFrame) -> DataFrame:
     return found.unionByName(empty.withColumn("length", F.lit(0).cast("long")), allowMissingColumns=True)
 
 
-def _content_hashes(files: DataFrame, content_limit: int) -> DataFrame:
-    small = files.filter(F.col("length") <= content_limit).select("path", F.sha2("content", 256).alias("sha256"))
-    large = files.filter(F.col("length") > content_limit).select("path")
-    chunk_bytes, schemes = CHUNK_BYTES, dict(STREAM_SCHEMES)
+def store_settings(spark: SparkSession) -> dict[str, str]:
+    """What the session says of its object stores (endpoints, keys, regions), by Hadoop's names."""
+    conf = spark._jsc.hadoopConfiguration()
+    return {f"{store}{name}": value for store in STORES for name, value in conf.getPropsWithPrefix(store).items()}
+
+
+def store_locator(settings: Mapping[str, str]) -> Callable[[str], tuple[str, dict[str, str], str]]:
+    """A function from a file's URI to the kind of its store, the options to open that with, and the place in it.
+
+    The options are those with which Spark reads the same file, a bucket's own before the general ones. It travels
+    to the workers by value, so they need neither this package nor settings of their own.
+    """
+    settings = dict(settings)
+
+    def locate(uri: str) -> tuple[str, dict[str, str], str]:
+        scheme, _, rest = uri.partition(":")
+        place = rest.lstrip("/")
+        if scheme in ("s3", "s3a", "s3n"):
+            bucket = place.partition("/")[0]
+
+            def of(name: str) -> str:
+                return settings.get(f"fs.s3a.bucket.{bucket}.{name}", settings.get(f"fs.s3a.{name}", ""))
+
+            kind, _, host = of("endpoint").rpartition("://")
+            plain = kind == "http" or (not kind and of("connection.ssl.enabled") == "false")
+            options = {
+                "access_key": of("access.key"), "secret_key": of("secret.key"), "session_token": of("session.token"),
+                "role_arn": of("assumed.role.arn"), "region": of("endpoint.region"),
+                "endpoint_override": "" if host == "s3.amazonaws.com" else host.rstrip("/"), "scheme": "http" if plain else "",
+            }
+            return "s3", {k: v for k, v in options.items() if v}, place
+        if scheme in ("abfs", "abfss", "wasb", "wasbs"):
+            authority, _, inside = place.partition("/")
+            container, _, host = authority.partition("@")
+            key = settings.get(f"fs.azure.account.key.{host}", "")
+            return "azure", {"account_name": host.partition(".")[0], **({"account_key": key} if key else {})}, f"{container}/{inside}"
+        return scheme, {}, uri
+
+    return locate
+
+
+def _streamed_hashes(files: DataFrame, chunk_bytes: int) -> DataFrame:
+    """Path and SHA-256 of files, each read a chunk at a time: one way for every size, so memory is one chunk."""
+    spark = files.sparkSession
+    locate = store_locator(store_settings(spark))
 
     # built here, so that it travels to the workers by value: they need not have this package
     def stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """SHA-256 of files too large for one content value, a chunk at a time."""
         import hashlib
         from urllib.parse import quote
 
         from pyarrow import fs
 
+        opened = {}
         for batch in batches:
             digests = []
             for uri in batch["path"]:
-                scheme, _, location = uri.partition(":")
+                kind, options, place = locate(uri)
                 try:
-                    filesystem, location = fs.FileSystem.from_uri(f"{schemes.get(scheme, scheme)}:{quote(location)}")
+                    if kind in ("s3", "azure"):
+                        store = (kind, *sorted(options.items()))
+                        if store not in opened:
+                            opened[store] = (fs.S3FileSystem if kind == "s3" else fs.AzureFileSystem)(**options)
+                        filesystem = opened[store]
+                    else:
+                        scheme, _, location = place.partition(":")
+                        filesystem, place = fs.FileSystem.from_uri(f"{scheme}:{quote(location)}")
                 except Exception as error:
                     raise ValueError(f"Cannot stream {uri} to hash it: {error}") from error
                 digest = hashlib.sha256()
-                with filesystem.open_input_stream(location) as stream:
+                with filesystem.open_input_stream(place) as stream:
                     while chunk := stream.read(chunk_bytes):
                         digest.update(chunk)
                 digests.append(digest.hexdigest())
             yield batch[["path"]].assign(sha256=digests)
 
-    # one file per task where there are that many cores: hashing a large file is serial
-    spread = large.repartition("path")
-    return small.unionByName(spread.mapInPandas(stream_hashes, "path string, sha256 string"))
+    # dealt out one by one, as hashing a file is serial; a stated number is not merged again for its few bytes
+    tasks = max(1, min(len(files.inputFiles()), 4 * spark.sparkContext.defaultParallelism))
+    return files.select("path").repartition(tasks).mapInPandas(stream_hashes, "path string, sha256 string")
 
 
 def collect_file_metadata(
@@ -89,22 +135,23 @@ def collect_file_metadata(
     path: str | Sequence[str],
     include_hash: bool = True,
     recursive: bool = True,
-    content_limit: int = CONTENT_LIMIT,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
+    """``audit_files`` with the SHA-256 of every file, read in chunks of ``chunk_bytes``."""
     metadata = audit_files(spark, path, recursive)
     if not include_hash:
         return metadata
-    hashes = _content_hashes(_binary(spark, path, recursive), content_limit)
+    hashes = _streamed_hashes(_binary(spark, path, recursive), chunk_bytes)
     no_bytes = F.when(F.col("size_bytes") == 0, F.sha2(F.lit("").cast("binary"), 256))
     joined = metadata.join(hashes, "path", "left")
     return joined.withColumn("sha256", F.coalesce("sha256", no_bytes))
 
 
 def file_hashes(
-    spark: SparkSession, path: str | Sequence[str], recursive: bool = True, content_limit: int = CONTENT_LIMIT
+    spark: SparkSession, path: str | Sequence[str], recursive: bool = True, chunk_bytes: int = CHUNK_BYTES
 ) -> DataFrame:
     """Path and SHA-256 of every file, of any size."""
-    return collect_file_metadata(spark, path, True, recursive, content_limit).select("path", "sha256")
+    return collect_file_metadata(spark, path, True, recursive, chunk_bytes).select("path", "sha256")
 
 
 def _listed_files(spark: SparkSession, path: str) -> list[str] | None:

@@ -16,6 +16,7 @@ from concordat.sources import (
     validate_file_input,
     write_table,
 )
+from concordat.sources.audit import store_locator, store_settings
 from concordat.sources.readers import column_index
 
 
@@ -193,11 +194,47 @@ def test_file_audit_and_hashes(spark, tmp_path, rows):
     expected = sorted((n, len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items())
     assert rows(collect_file_metadata(spark, str(tmp_path)), "name", "size_bytes", "sha256") == expected
     assert rows(audit_files(spark, str(tmp_path)), "name", "suffix") == [("a.csv", ".csv"), ("b c%20.TXT", ".txt"), ("noext", "")]
-    # the streamed way gives the same digests
-    streamed = {r.path.rsplit("/", 1)[1]: r.sha256 for r in file_hashes(spark, str(tmp_path), content_limit=10).collect()}
+    # over many chunks of a file the digests are the same
+    streamed = {r.path.rsplit("/", 1)[1]: r.sha256 for r in file_hashes(spark, str(tmp_path), chunk_bytes=7).collect()}
     assert streamed == {name: digest for name, _, digest in expected}
 
 
+def test_files_are_hashed_from_paths_alone(spark, tmp_path):
+    """At every size the same way: no content in the plan, and one task a file, however few bytes their names have."""
+    for n in range(5):
+        (tmp_path / f"{n}.bin").write_bytes(bytes([n]) * 3_000_000 * (n == 4) + b"end")
+    hashes = file_hashes(spark, str(tmp_path))
+    plan = hashes._jdf.queryExecution().optimizedPlan().toString()
+    assert "content#" not in plan.split("Relation")[0] and "MapInPandas" in plan
+    got = {r.path.rsplit("/", 1)[1]: r.sha256 for r in hashes.collect()}
+    assert got == {p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in tmp_path.iterdir()}
+
+
+def test_stores_are_opened_with_the_sessions_settings(spark):
+    conf = spark._jsc.hadoopConfiguration()
+    given = {
+        "fs.s3a.endpoint": "http://store.local:9000", "fs.s3a.access.key": "general", "fs.s3a.secret.key": "hidden",
+        "fs.s3a.bucket.own.access.key": "special", "fs.s3a.bucket.own.endpoint": "https://other.local/",
+        "fs.azure.account.key.acc.dfs.core.windows.net": "k",
+    }
+    before = {name: conf.get(name) for name in given}
+    for name, value in given.items():
+        conf.set(name, value)
+    try:
+        locate = store_locator(store_settings(spark))
+    finally:
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)
+    kind, options, place = locate("s3a://data/a b/c%20.csv")
+    assert (kind, place) == ("s3", "data/a b/c%20.csv") and options["access_key"] == "general"
+    assert (options["endpoint_override"], options["scheme"]) == ("store.local:9000", "http")
+    _, options, _ = locate("s3n://own/x")
+    assert (options["access_key"], options["secret_key"], options["endpoint_override"]) == ("special", "hidden", "other.local")
+    assert "scheme" not in options
+    assert locate("abfss://box@acc.dfs.core.windows.net/in/x") == ("azure", {"account_name": "acc", "account_key": "k"}, "box/in/x")
+    assert locate("file:/tmp/a b") == ("file", {}, "file:/tmp/a b")
+
+
 def test_input_validation(spark, tmp_path, rows):
     (tmp_path / "x.csv").write_text("a,b\n1,2\n")
     found, issues = validate_file_exists(spark, str(tmp_path / "x.csv"), "demo")
