@@ -272,39 +272,73 @@ def exact_counts(chunks: DataFrame, survivors: DataFrame, parts: int, threshold:
     return total.select("lang", phrase.alias("phrase"), F.size(F.split(phrase, " ")).alias("size"), "f")
 
 
-def scored(counts: DataFrame, share: int = 50) -> DataFrame:
-    """(lang, phrase, a, l, r, score) of candidates, without those that a longer candidate holds in ``share`` per cent of cases.
+def least_scores(rows: DataFrame, top: int) -> DataFrame:
+    """(lang, least): a score that at least ``top`` of a language's rows reach; none for languages with fewer rows.
 
-    Products are decimals of 38 digits: exact for counts up to 10^16.
+    Scores are counted by their powers of two in sixteenths, so a language has a few hundred counts; the least score of
+    the last count needed for ``top`` rows is that bound. It is no cut: the first ``top`` rows reach it, ties included.
+    """
+    step = F.floor(F.log2(F.col("score") + 1) * 16)
+    sums = rows.groupBy("lang", step.alias("step")).agg(F.count(F.lit(1)).alias("rows"), F.min("score").alias("least"))
+    reached = sums.withColumn("reached", F.sum("rows").over(Window.partitionBy("lang").orderBy(F.desc("step"))))
+    return reached.where(F.col("reached") >= top).groupBy("lang").agg(F.max("least").alias("least"))
+
+
+def reaching(rows: DataFrame, found: DataFrame, top: int, score: str) -> DataFrame:
+    """``rows`` whose ``score``, an expression that may use ``least``, reaches what ``top`` rows of ``found`` reach."""
+    return rows.join(F.broadcast(least_scores(found, top)), "lang", "left").where(f"least is null or {score} >= least").drop("least")
+
+
+def judged(counts: DataFrame, share: int = 50, top: int | None = None) -> list[DataFrame]:
+    """(lang, phrase, a, l, r, score) of candidates by size, without those that a longer candidate holds in ``share`` per cent of cases.
+
+    Products are decimals of 38 digits: exact for counts up to 10^16. With ``top``, the tables are stored, and those of
+    longer phrases lack rows that ``top`` shorter ones surpass: a part occurs as often as the phrase at least, so
+    a million times a / l bounds the score from above, and such rows go nowhere beyond the first join.
     """
     w = F.split("phrase", " ")
+    found: list[DataFrame] = []
+    cut: list[DataFrame] = []
 
     def words(first: int, last: int) -> Column:
         return F.array_join(F.slice(w, first, last - first + 1), " ")
 
+    def with_count(rows: DataFrame, name: str, part: Column, of: int) -> DataFrame:
+        part_counts = counts.where(F.col("size") == of).select(F.col("lang").alias("_lang"), F.col("phrase").alias("_part"), F.col("f").alias(name))
+        return rows.join(part_counts, (F.col("lang") == F.col("_lang")) & (part == F.col("_part"))).drop("_lang", "_part")
+
     def with_cut(rows: DataFrame, size: int, k: int) -> DataFrame:
         """``cut``: the score of the cut after k words, k, and the counts of its parts."""
-        for name, part, of in (("l", words(1, k), k), ("r", words(k + 1, size), size - k)):
-            part_counts = counts.where(F.col("size") == of).select(F.col("lang").alias("_lang"), F.col("phrase").alias("_part"), F.col("f").alias(name))
-            rows = rows.join(part_counts, (F.col("lang") == F.col("_lang")) & (part == F.col("_part"))).drop("_lang", "_part")
+        rows = with_count(rows, "l", words(1, k), k)
+        if k == 1 and found and top is not None:
+            # stored, so that Spark knows how few are left and need not shuffle the parts of the further joins
+            rows = stored(reaching(rows, reduce(DataFrame.union, found), top, "cast(1000000 as decimal(7,0)) * a div l"))
+            cut.append(rows)
+        rows = with_count(rows, "r", words(k + 1, size), size - k)
         a, l, r = (F.col(c).cast("decimal(19,0)") for c in "alr")
         rows = rows.withColumns({"up": a * a * F.lit(1_000_000).cast("decimal(7,0)"), "down": l * r}).withColumn("score", F.expr("up div down"))
         return rows.withColumn(f"cut{k}", F.struct("score", F.lit(k).alias("k"), "l", "r")).drop("up", "down", "score", "l", "r")
 
-    judged = []
     for size in range(2, LONGEST + 1):
         rows = counts.where(F.col("size") == size).select("lang", "phrase", F.col("f").alias("a"))
-        for k in range(1, size):
-            rows = with_cut(rows, size, k)
-        cuts = [F.col(f"cut{k}") for k in range(1, size)]
-        rows = rows.withColumn("best", F.least(*cuts) if len(cuts) > 1 else cuts[0])
         if size < LONGEST:
             inner = [F.array_join(F.slice(w, n, size), " ") for n in range(1, LONGEST - size + 2)]
             holds = counts.where(F.col("size") == LONGEST).select("lang", F.explode(F.array(*inner)).alias("phrase"), "f")
             longer = holds.groupBy("lang", "phrase").agg(F.max("f").alias("longer"))
-            rows = rows.join(longer, ["lang", "phrase"], "left").where(f"longer is null or 100 * longer < {share} * a")
-        judged.append(rows.select("lang", "phrase", "a", "best.l", "best.r", "best.score"))
-    return reduce(DataFrame.union, judged)
+            rows = rows.join(longer, ["lang", "phrase"], "left").where(f"longer is null or 100 * longer < {share} * a").drop("longer")
+        for k in range(1, size):
+            rows = with_cut(rows, size, k)
+        cuts = [F.col(f"cut{k}") for k in range(1, size)]
+        rows = rows.withColumn("best", F.least(*cuts) if len(cuts) > 1 else cuts[0])
+        rows = rows.select("lang", "phrase", "a", "best.l", "best.r", "best.score")
+        found.append(rows if top is None else stored(rows))
+    discard(*cut)
+    return found
+
+
+def scored(counts: DataFrame, share: int = 50) -> DataFrame:
+    """All rows of ``judged`` in one table."""
+    return reduce(DataFrame.union, judged(counts, share))
 
 
 def mined_phrases(docs: DataFrame, threshold: int = 10, share: int = 50, top: int = 2000) -> DataFrame:
@@ -323,15 +357,17 @@ def mined_phrases(docs: DataFrame, threshold: int = 10, share: int = 50, top: in
     survivors = surviving_keys(bunch_summaries(chunks, parts), threshold)
     counts = stored(exact_counts(chunks, survivors, parts, threshold))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    few, most = scored(counts, share), partitions(docs.sparkSession)
+    found, most = judged(counts, share, top), partitions(docs.sparkSession)
+    candidates = reduce(DataFrame.union, found)
+    few = reaching(candidates, candidates, top, "score")
     # first within slices of a language, so that no task sorts all its phrases
     for slices in (most, math.isqrt(most)):
         some = few.withColumn("slice", F.pmod(F.xxhash64("phrase"), F.lit(slices)))
         few = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "slice").orderBy(*order))).where(F.col("rank") <= top)
     ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
-    found = stored(ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
-    discard(chunks, counts)
-    return found
+    first = stored(ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
+    discard(chunks, counts, *found)
+    return first
 
 
 def phrases_sql(threshold: int = 10, share: int = 50, top: int = 2000) -> str:

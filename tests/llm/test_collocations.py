@@ -115,3 +115,24 @@ def test_summaries_keep_every_frequent_key(seed):
     assert all(n <= exact[k] <= n + summary.lost for k, n in zip(summary.keys.tolist(), summary.counts.tolist()))
     some = np.unique(keys)
     assert (collocations.unpacked(collocations.packed(some)) == some).all() and len(collocations.unpacked(b"")) == 0
+
+
+def test_rows_below_the_first_are_left_before_further_joins(spark):
+    """What ``top`` rows surpass is not joined with further parts; ties at the bound stay, small languages stay whole."""
+    rng = random.Random(5)
+    rows = [("en", f"{n % 40}x", 1, 10_000 + n) for n in range(40)]
+    rows += [("en", f"{i}x {j}x", 2, rng.choice([10, 10, 500, 900])) for i in range(40) for j in range(40)]
+    rows += [("en", f"{i}x {j}x {k}x", 3, 10) for i in range(40) for j in range(0, 40, 9) for k in range(3)]
+    rows += [("de", "a", 1, 30), ("de", "b", 1, 40), ("de", "a b", 2, 30), ("de", "b a", 2, 10), ("de", "a b a", 3, 10)]
+    counts = spark.createDataFrame(rows, "lang string, phrase string, size int, f long")
+    whole = sorted((tuple(r) for r in collocations.scored(counts).collect()), key=lambda r: (-r[5], -r[2], r[1].encode()))
+    found = collocations.judged(counts, top=100)
+    got = {tuple(r) for t in found for r in t.collect()}
+    assert got <= set(whole)
+    for lang, n in (("en", 100), ("de", 3)):
+        assert set([r for r in whole if r[0] == lang][:n]) <= got
+    longer = [r for r in found[1].collect() if r.lang == "en"]
+    assert not longer and any(len(r[1].split()) == 3 and r[0] == "en" for r in whole)
+    bound = {r.lang: r.least for r in collocations.least_scores(found[0], 100).collect()}
+    scores = sorted((r.score for r in found[0].where("lang = 'en'").collect()), reverse=True)
+    assert set(bound) == {"en"} and 0 < bound["en"] <= scores[99]
