@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F, types as
 
 from ..functions.text import ref
 from ..model import CheckResult, ERROR, MergeStep, WARNING, issue, issues_frame, local_table
-from ..session import discard, stored
+from ..session import discard, settings, stored
 from .probes import Probe, probe_findings, probe_issues, run_probes
 
 INDICATOR = "_merge"
@@ -27,6 +27,10 @@ HOW = ("left", "right", "inner", "outer", "cross")
 # than a hundred times as many rows. The same numbers bound a slice.
 HOT_KEY_ROWS = 2_000_000
 HOT_KEY_FANOUT = 100
+# A task of a join sorts about as many rows of both sides, or as many shuffled bytes where that is more rows: its
+# memory does not grow with the tables.
+TASK_ROWS = 250_000
+TASK_BYTES = 16 * 1024 * 1024
 # The largest long: what a count beyond it is reported as.
 MOST_ROWS = 2**63 - 1
 
@@ -388,6 +392,20 @@ class MergeResult:
     def table(self) -> DataFrame:
         return self.merged.drop(INDICATOR)
 
+    def write_settings(self) -> dict[str, str]:
+        """Session settings to write ``merged`` with: partitions by the rows the audit counted, which adaptive execution
+        merges to TASK_BYTES; one open file per origin of rows instead of a sort of all rows. What the session names
+        beyond them stays."""
+        conf = self.merged.sparkSession.conf
+        sides = self.metrics_row["left_rows"] + self.metrics_row["right_rows"]
+        partitions = max(int(conf.get("spark.sql.shuffle.partitions")), -(-sides // TASK_ROWS))
+        found = {"spark.sql.shuffle.partitions": str(partitions)}
+        if int(conf.get("spark.sql.maxConcurrentOutputFileWriters")) < 3:
+            found["spark.sql.maxConcurrentOutputFileWriters"] = "8"
+        if conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) is None:
+            found["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(TASK_BYTES)
+        return found
+
     @property
     def metrics(self) -> DataFrame:
         return local_table(self.merged.sparkSession, [tuple(self.metrics_row.values())], self.schema)
@@ -470,7 +488,8 @@ def merge_chain(tables: Mapping[str, DataFrame], steps: Sequence[MergeStep]) ->
         if result.refused:
             raise ValueError("; ".join(row[4] for row in result.findings()))
         if any(step.name in (later.left, later.right) for later in steps[position + 1 :]):
-            result = replace(result, merged=stored(result.merged))
+            with settings(result.merged.sparkSession, result.write_settings()):
+                result = replace(result, merged=stored(result.merged))
         results[step.name] = result
         working[step.name] = result.table
     return results

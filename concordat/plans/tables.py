@@ -17,6 +17,7 @@ from ..operators.checks import SuitePlan, SuiteResult, step_row, suite_result
 from ..operators.headers import HeaderMapping, clean_base_table, domain_views, map_headers
 from ..operators.merge import INDICATOR, MOST_ROWS, absent_keys, perform_merge
 from ..operators.reports import counts_by_stage, exclusion_totals, run_summary
+from ..session import settings
 from ..sources import read_table_from_spec, validate_file_input, write_table
 
 
@@ -205,7 +206,8 @@ def merge_and_write(
             continue
         path = f"{out_dir}/{step.name}.parquet"
         table = result.merged.withColumnRenamed(INDICATOR, ORIGIN_PARTITION)
-        write_table(table, path, partition_by=[ORIGIN_PARTITION])
+        with settings(spark, result.write_settings()):
+            write_table(table, path, partition_by=[ORIGIN_PARTITION])
         written[step.name] = WrittenMerge(path, spark.read.schema(table.schema).parquet(path))
         working[step.name] = written[step.name].table
         log.add_step(

@@ -2,8 +2,9 @@ import datetime as dt
 
 import pytest
 
-from concordat import plans
+from concordat import plans, session
 from concordat.model import STEP_ISSUE_SCHEMA, STEP_SCHEMA, DatasetSpec, MergeStep, local_table
+from concordat.operators import merge
 from concordat.plans import tables
 
 AS_OF = dt.date(2024, 1, 1)
@@ -212,3 +213,32 @@ def test_catalog(spark, tmp_path, rows):
     step = result.run.step_results.first()
     assert step.step_name == "variable_catalog_build" and step.success and step.metrics["selected_rows"] == "1"
     assert dict(result.summary.collect())["input_rows"] == 2
+
+
+def test_merges_are_written_in_tasks_of_bounded_size(spark, tmp_path, rows, monkeypatch):
+    """Partitions follow the rows that the audit counted, no rows are sorted to be written, and the session stays as it was."""
+    names = ["shuffle.partitions", "maxConcurrentOutputFileWriters", "adaptive.advisoryPartitionSizeInBytes"]
+    get = lambda: [spark.conf.get(f"spark.sql.{name}", None) for name in names]
+    seen, write = [], tables.write_table
+
+    def writing(*args, **options):
+        seen.append(get())
+        return write(*args, **options)
+
+    monkeypatch.setattr(tables, "write_table", writing)
+    monkeypatch.setattr(merge, "TASK_ROWS", 100)
+    kept = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "0")
+    try:
+        before = get()
+        left, right = spark.range(1000).selectExpr("id % 500 as k", "id as a"), spark.range(250, 850).selectExpr("id as k", "id as b")
+        steps = [MergeStep("both", "left", "right", "outer", ["k"])]
+        written, _ = tables.merge_and_write({"left": left, "right": right}, steps, str(tmp_path), tables.RunLog(spark))
+        assert get() == before and seen == [["16", "8", str(merge.TASK_BYTES)]]
+        got = written["both"].merged.groupBy("_merge").count()
+        assert rows(got) == [("both", 500), ("left_only", 500), ("right_only", 350)]
+    finally:
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", kept)
+    with pytest.raises(ZeroDivisionError), session.settings(spark, {"spark.sql.shuffle.partitions": "7"}):
+        1 / 0
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before[0]
