@@ -496,3 +496,21 @@ def test_addresses_with_endless_parts():
     assert not pii.holds("ip", "1.2.3." + "9" * 5000)
     assert pii.holds("ip", "1.2.3." + "0" * 5000 + "4") and not pii.holds("ip", "1.2.3.256")
     pii.base_spans("at 1.2.3." + "9" * 5000 + " or 10.0.0.1")
+
+
+def test_classes_of_like_size_are_multiplied_at_once():
+    """Each row is in one block, with its own class; logits that are large or far below zero have exact probabilities."""
+    sizes = [0, 400, 1, 60, 59, 0, 7, 50]
+    edges = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+    blocks = list(lm.blocks_of(edges))
+    got = sorted((int(r), int(c)) for some, rows, filled in blocks for c, of, no in zip(some, rows, filled, strict=True) for r in of[~no])
+    assert got == [(r, c) for c in range(len(sizes)) for r in range(edges[c], edges[c + 1])]
+    assert len(blocks) < np.count_nonzero(sizes) and sum(rows.size for _, rows, _ in blocks) < 1.4 * sum(sizes)
+    assert list(lm.blocks_of([0, 0, 0])) == []
+    for shift in (0.0, 500.0, -500.0):
+        hidden = np.random.default_rng(1).standard_normal((20, 3)).astype("float32")
+        weight, bias = np.full((3, 5), 0.5, "float32"), np.array([0, 1, 2, 3, -1e30], "float32")
+        bias[:4] += np.float32(shift)
+        x = (hidden @ weight + bias).astype("float64")
+        want = x[:, 1] - x.max(1) - np.log(np.exp(x - x.max(1, keepdims=True)).sum(1))
+        assert np.abs(lm.log_probability(hidden, weight, bias, np.ones(20, int)) - want).max() < 1e-3
