@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -514,3 +515,44 @@ def test_classes_of_like_size_are_multiplied_at_once():
         x = (hidden @ weight + bias).astype("float64")
         want = x[:, 1] - x.max(1) - np.log(np.exp(x - x.max(1, keepdims=True)).sum(1))
         assert np.abs(lm.log_probability(hidden, weight, bias, np.ones(20, int)) - want).max() < 1e-3
+
+
+@pytest.mark.parametrize("groups", [1, 3])
+def test_gradients_of_all_levels(groups):
+    """By differences, for classes of one level and for groups of classes; what a word passes grows with the cube root of the vocabulary."""
+    classes, members, many = lm.shape_of(17702)
+    assert many > 1 and many + classes // many + members < 100 and classes * members >= 17702 + lm.BUCKETS
+    rng = np.random.default_rng(3)
+    weights = {k: v.astype("float64") for k, v in lm.fresh_weights(1, 12, 6, groups).items()}
+    flat = np.concatenate([[72, 72], np.minimum(rng.geometric(0.1, 300) - 1, 71), [72, 72]]).astype("int32")
+    at = rng.permutation(np.arange(2, 302))
+    trainer = lm.Trainer(weights)
+    trainer._adam = lambda: None
+    trainer.step(flat, at)
+    for name, values in weights.items():
+        for spot in rng.integers(0, values.size, 6):
+            loss = []
+            for step in (1e-5, -1e-5):
+                moved = {k: v.copy() for k, v in weights.items()}
+                moved[name].ravel()[spot] += step
+                loss.append(-lm.log_probabilities(moved, flat, at).sum())
+            assert abs(trainer.g[name].ravel()[spot] - 0.1 / 300 * (loss[0] - loss[1]) / 2e-5) < 1e-6
+    given = lm.log_probabilities(weights, np.array([72, 72, 0, 72, 72], "int32"), np.array([2]))
+    every = [lm.log_probabilities(weights, np.array([72, 72, n, 72, 72], "int32"), np.array([2]))[0] for n in range(72)]
+    assert every[0] == given[0] and abs(np.exp(every).sum() - 1) < 1e-6
+
+
+@pytest.mark.parametrize("slice_bytes", [1 << 25, 40])
+def test_word_ids_are_those_of_the_tokens(spark, monkeypatch, slice_bytes):
+    """Blanks of all kinds, other letters, nulls, slices: the ids, and the words that have none, by times."""
+    monkeypatch.setattr(lm, "SLICE_BYTES", slice_bytes)
+    texts = [" a B\tb\x0bc\x0cé É\r\nzz \x1c zz a ", None, "", "  ", "zz zz q", "a", "İ ß   x y"]
+    words = ["a", "b", "é"]
+    found = [row for part in lm.numbered(pa.array(texts, pa.string()), pa.array(words), 1024) for row in zip(np.split(part[0], np.cumsum(part[1])[:-1]), part[2].to_pylist())]
+    assert len(found) == len(texts)
+    for text, (ids, others) in zip(texts, found, strict=True):
+        tokens = [t.decode() for t in lm.tokens_of(text)]
+        assert ids.tolist() == [words.index(t) if t in words else 960 + zlib.crc32(t.encode()) % 64 for t in tokens]
+        assert {r["word"]: r["times"] for r in others} == Counter(t for t in tokens if t not in words)
+    counts = lm.word_counts(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert {r.word: r.n for r in counts.collect()} == Counter(t.decode() for x in texts for t in lm.tokens_of(x))
