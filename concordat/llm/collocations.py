@@ -26,6 +26,9 @@ LONGEST = 3
 #: Text that is numbered at once, texts of a language that are counted together, n-grams of a hash partition, and bits of a key within one: one false survivor in a hundred.
 CHUNK_BYTES, GROUP_CHUNKS, PART_MASS, KEY_BITS = 1 << 22, 4, 1 << 21, np.uint64(28)
 
+#: Chunks of a language from neighbouring tasks that are counted together, twice as many at most.
+MET_CHUNKS = 8
+
 #: Distinct phrases of bunches that a task holds.
 MOST_CODES = 5_000_000
 
@@ -84,6 +87,19 @@ def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     return texts.mapInArrow(gather, "bunch long, lang string, words long, size long, text binary")
 
 
+def met(chunks: DataFrame) -> DataFrame:
+    """``chunks`` with the bunches of neighbouring tasks as one, up to MET_CHUNKS chunks of a language or so.
+
+    A phrase is shuffled once for each bunch that has it, and a task that reads little text has few chunks of each language.
+    Only the numbers of the bunches are sorted.
+    """
+    bunches = chunks.groupBy("lang", "bunch").agg(F.count(F.lit(1)).alias("chunks"))
+    before = F.sum("chunks").over(Window.partitionBy("lang").orderBy("bunch")) - F.col("chunks")
+    groups = bunches.select("bunch", "lang", F.floor(before / MET_CHUNKS).alias("group"))
+    names = groups.select("bunch", F.min("bunch").over(Window.partitionBy("lang", "group")).alias("first"))
+    return chunks.join(F.broadcast(names), "bunch").withColumn("bunch", F.col("first")).drop("first")
+
+
 def numbered(compressed: bytes, size: int) -> tuple[list[bytes], np.ndarray]:
     """The distinct words of a chunk, and the number of each word of it; 0 and 1 are blanks and ends of pieces."""
     names: dict[bytes, int] = {b"": 0, b"\n": 1}
@@ -232,10 +248,11 @@ def exact_counts(chunks: DataFrame, survivors: DataFrame, parts: int, threshold:
 
     A phrase is looked at only where its first words are a survivor as well: they occur as often at least.
     """
-    kept_bits = np.uint64((1 << 20) - 1)
+    kept_bits = np.uint64((1 << 22) - 1)
 
     def count(_: tuple, texts: pd.DataFrame, lists: pd.DataFrame) -> pd.DataFrame:
-        rows: list[tuple[bytes, int, str]] = []  # neighbours begin alike, which compresses
+        phrases: list[bytes] = []  # neighbours begin alike, which compresses
+        counts: list[int] = []
         if len(lists):
             wanted = [unpacked(k).astype("uint64") | (np.uint64(p) << KEY_BITS) for p, k in zip(lists["part"], lists["keys"], strict=True)]
             frequent = np.sort(np.concatenate(wanted))
@@ -261,9 +278,11 @@ def exact_counts(chunks: DataFrame, survivors: DataFrame, parts: int, threshold:
                         spelt = zip(*(ids[at[first] + d].tolist() for d in range(n)), strict=True)
                     before = np.zeros(len(ids), bool)
                     before[at] = True
-                    rows += sorted(zip((b" ".join([words[i] for i in w]) for w in spelt), times.tolist(), [lang] * len(times), strict=True))
-        values = zip(*((lang, phrase, n) for phrase, n, lang in rows), strict=True) if rows else ((), (), ())
-        return pd.DataFrame({k: pd.Series(list(v), dtype=t) for k, v, t in zip(("lang", "phrase", "n"), values, (object, object, "int64"), strict=True)})
+                    for phrase, times_seen in sorted(zip((b" ".join([words[i] for i in w]) for w in spelt), times.tolist(), strict=True)):
+                        phrases.append(phrase)
+                        counts.append(times_seen)
+        lang = texts["lang"].iloc[0] if len(texts) else ""
+        return pd.DataFrame({"lang": pd.Series([lang] * len(phrases), dtype=object), "phrase": pd.Series(phrases, dtype=object), "n": pd.Series(counts, dtype="int64")})
 
     pairs = chunks.select("bunch", "lang", "size", "text").groupBy("bunch").cogroup(survivors.groupBy("bunch"))
     local = pairs.applyInPandas(count, "lang string, phrase binary, n long")
@@ -354,8 +373,9 @@ def mined_phrases(docs: DataFrame, threshold: int = 10, share: int = 50, top: in
     totals = chunks.groupBy("lang").agg(F.sum("words").alias("n"))
     mass = LONGEST * (totals.agg(F.sum("n")).first()[0] or 0)
     parts = max(1, -(-mass // PART_MASS))
-    survivors = surviving_keys(bunch_summaries(chunks, parts), threshold)
-    counts = stored(exact_counts(chunks, survivors, parts, threshold))
+    together = met(chunks)
+    survivors = surviving_keys(bunch_summaries(together, parts), threshold)
+    counts = stored(exact_counts(together, survivors, parts, threshold))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     found, most = judged(counts, share, top), partitions(docs.sparkSession)
     candidates = reduce(DataFrame.union, found)

@@ -136,3 +136,23 @@ def test_rows_below_the_first_are_left_before_further_joins(spark):
     bound = {r.lang: r.least for r in collocations.least_scores(found[0], 100).collect()}
     scores = sorted((r.score for r in found[0].where("lang = 'en'").collect()), reverse=True)
     assert set(bound) == {"en"} and 0 < bound["en"] <= scores[99]
+
+
+def test_bunches_of_neighbouring_tasks_meet(spark):
+    """However few texts a task reads: a language has about one bunch for MET_CHUNKS chunks, none of two languages, no chunk is lost."""
+    rng = random.Random(3)
+    rows = [(("en", "de", None)[n % 3], " ".join(rng.choice("abcdefgh") * 3 for _ in range(200))) for n in range(120)]
+    docs = frame(spark, rows).repartition(20)
+    chunks = collocations.chunked(docs, 2000).localCheckpoint()
+    before, after = ([tuple(r) for r in t.select("bunch", "lang", "size", "text").collect()] for t in (chunks, collocations.met(chunks)))
+    assert sorted(r[1:] for r in before) == sorted(r[1:] for r in after)
+    held = Counter((r[0], r[1]) for r in after)
+    assert len({b for b, _ in held}) == len(held) and max(held.values()) < 2 * collocations.MET_CHUNKS
+    for lang in ("en", "de", "und"):
+        of, n = ([r[1] for r in t].count(lang) for t in (before, after))
+        assert of == n and len([1 for _, x in held if x == lang]) <= n / collocations.MET_CHUNKS + 1 < len({r[0] for r in before if r[1] == lang})
+    counts = []
+    for some in (chunks, collocations.met(chunks)):
+        survivors = collocations.surviving_keys(collocations.bunch_summaries(some, 3), 10)
+        counts.append(sorted(tuple(r) for r in collocations.exact_counts(some, survivors, 3, 10).collect()))
+    assert counts[0] == counts[1] and len(counts[0]) > 100
