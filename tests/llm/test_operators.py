@@ -556,3 +556,45 @@ def test_word_ids_are_those_of_the_tokens(spark, monkeypatch, slice_bytes):
         assert {r["word"]: r["times"] for r in others} == Counter(t for t in tokens if t not in words)
     counts = lm.word_counts(spark.createDataFrame([(t,) for t in texts], "text string"))
     assert {r.word: r.n for r in counts.collect()} == Counter(t.decode() for x in texts for t in lm.tokens_of(x))
+
+
+def test_products_of_nodes_of_all_sizes():
+    """Nodes with no row, a few, some and many rows: values and gradients by brute force; a few rows are neither filled up nor copied."""
+    rng = np.random.default_rng(5)
+    sizes = rng.permutation([*range(40), 0, 0, *[n for n in range(1, 8) for _ in range(4)]])
+    node = np.repeat(np.arange(len(sizes)), sizes)
+    hidden, w, bias = rng.standard_normal((len(node), 5)), rng.standard_normal((len(sizes), 5, 7)), rng.standard_normal((len(sizes), 7))
+    products, d = lm.Products(hidden, node, w), rng.standard_normal((len(node), 7))
+    assert sorted(sizes[products.few.node].tolist()) == sorted(n for n in sizes.tolist() if 0 < n <= lm.FEW)
+    assert len(products.few.rows) == sum(n for n in sizes.tolist() if n <= lm.FEW)
+    assert np.allclose(products.forward(bias), np.einsum("rh,rhm->rm", hidden, w[node]) + bias[node])
+    g, g_bias = np.full_like(w, 9), np.full_like(bias, 9)
+    assert np.allclose(products.backward(d, g, g_bias), np.einsum("rm,rhm->rh", d, w[node]))
+    for n in range(len(sizes)):
+        assert np.allclose(g[n], hidden[node == n].T @ d[node == n]) and np.allclose(g_bias[n], d[node == n].sum(0))
+
+
+def test_steps_are_those_of_adam():
+    """Beyond the steps after which growing squares begin anew."""
+    rng = np.random.default_rng(6)
+    trainer = lm.Trainer({k: v.astype("float64") for k, v in lm.fresh_weights(1, 4, 3).items()})
+    want, m, v = trainer.all.copy(), 0.0, 0.0
+    for step in range(1, 1601):
+        x = rng.standard_normal(len(want)) * 1e-4
+        trainer.change[:] = 0.1 * x * trainer.grown
+        trainer.steps += 1
+        trainer._adam()
+        m, v = 0.9 * m + 0.1 * x, 0.99 * v + 0.01 * x * x
+        known = 1 - 0.99**step
+        want -= 0.02 * m / (1 - 0.9**step) / (np.sqrt(v / known) + 1e-6)
+    assert trainer.grown < 1000 and np.abs(trainer.all - want).max() < 1e-9
+
+
+def test_other_words_are_one_text(spark):
+    """Blanks, nulls and repeated words: the words of a text that are not in the vocabulary, as often as they occur."""
+    texts = [" a zz b zz ", None, "", "a b", "\tq é\nq zz q", "İ x"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    for r in lm.numbered_texts(frame, ["a", "b"], 1024, "doc_id").collect():
+        tokens = [t.decode() for t in lm.tokens_of(texts[r.id])]
+        assert len(r.ids) == 2 * len(tokens)
+        assert Counter((r.others or "").split()) == Counter(t for t in tokens if t not in ("a", "b"))
