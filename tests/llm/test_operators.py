@@ -559,7 +559,7 @@ def test_word_ids_are_those_of_the_tokens(spark, monkeypatch, slice_bytes):
 
 
 def test_products_of_nodes_of_all_sizes():
-    """Nodes with no row, a few, some and many rows: values and gradients by brute force; a few rows are neither filled up nor copied."""
+    """Nodes with no row, a few, some and many rows: values and gradients by brute force; a few rows are not filled up."""
     rng = np.random.default_rng(5)
     sizes = rng.permutation([*range(40), 0, 0, *[n for n in range(1, 8) for _ in range(4)]])
     node = np.repeat(np.arange(len(sizes)), sizes)
